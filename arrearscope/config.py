@@ -125,6 +125,7 @@ class BoostedTreesParams:
     min_rows_per_leaf: int = 20
     max_bins: int = 32
     seed: int = 42
+    early_stopping: bool = True
 
 
 @dataclass(frozen=True)
@@ -139,6 +140,7 @@ class ForestParams:
 class LogisticParams:
     c: float = 0.1
     iterations: int = 500
+    tolerance: float = 1e-4
 
 
 @dataclass(frozen=True)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from arrearscope.config import LOAN, MISSING_INDICATOR_COLUMNS, RiskConfig
@@ -10,20 +10,33 @@ from arrearscope.functions import features as f
 from arrearscope.operators.ordered import exact_quantiles
 
 
-def median_of(df: DataFrame, column: str, fallback: float, approximate: bool = False):
-    """Median of a column as a scalar subquery; ``fallback`` when there is no value."""
+def medians_of(df: DataFrame, fallbacks: dict[str, float], approximate: bool = False) -> dict[str, Column]:
+    """Median of each column as a scalar subquery; the fallback where a column has no value.
+
+    All columns go through one counting pass. The result is a single row, so nothing is
+    joined and nothing passes through the driver.
+    """
     if approximate:
-        found = df.select(F.percentile_approx(column, 0.5).alias("median"))
+        row = df.agg(*[F.percentile_approx(name, 0.5).cast("double").alias(name) for name in fallbacks])
     else:
-        # the outer aggregate keeps one row when the column holds no value at all
-        found = exact_quantiles(df, column, {"median": 0.5}).agg(F.max("median").alias("median"))
-    return F.coalesce(found.scalar(), F.lit(fallback))
+        pairs = F.array(*[
+            F.struct(F.lit(name).alias("_column"), F.col(name).cast("double").alias("_value"))
+            for name in fallbacks
+        ])
+        found = exact_quantiles(df.select(F.inline(pairs)), "_value", {"_median": 0.5}, ["_column"])
+        row = found.agg(*[
+            F.max(F.when(F.col("_column") == name, F.col("_median"))).alias(name) for name in fallbacks
+        ])
+    medians = row.select(F.struct(*fallbacks)).scalar()
+    return {name: F.coalesce(medians.getField(name), F.lit(value)) for name, value in fallbacks.items()}
 
 
 def add_ltv_dti_interaction(orig: DataFrame, approximate: bool = False) -> DataFrame:
     """LTV times DTI with missing values set to the median over all origination rows."""
-    ltv = F.coalesce("ORIG_LTV", median_of(orig, "ORIG_LTV", f.FALLBACK_MEDIAN_LTV, approximate))
-    dti = F.coalesce("ORIG_DTI", median_of(orig, "ORIG_DTI", f.FALLBACK_MEDIAN_DTI, approximate))
+    medians = medians_of(
+        orig, {"ORIG_LTV": f.FALLBACK_MEDIAN_LTV, "ORIG_DTI": f.FALLBACK_MEDIAN_DTI}, approximate
+    )
+    ltv, dti = (F.coalesce(F.col(name), medians[name]) for name in ("ORIG_LTV", "ORIG_DTI"))
     return orig.withColumn("ltv_dti_interaction", ltv * dti)
 
 

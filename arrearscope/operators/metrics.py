@@ -48,23 +48,28 @@ def score_curve(
     return prefix_sums(counts, groups, score, ["n_pos", "n_neg"], edges, following=following)
 
 
-_POS, _NEG = F.col("total_n_pos"), F.col("total_n_neg")
+def _all_pos() -> Column:
+    return F.col("total_n_pos")
+
+
+def _all_neg() -> Column:
+    return F.col("total_n_neg")
 
 
 def _auc() -> Column:
     # a tied pair counts one half
     wins = F.col("n_neg") * (F.col("cum_n_pos") - F.col("n_pos") / 2)
-    return F.try_divide(F.sum(wins), F.max(_POS.cast("double") * _NEG))
+    return F.try_divide(F.sum(wins), F.max(_all_pos().cast("double") * _all_neg()))
 
 
 def _ks() -> Column:
-    gap = F.abs(F.try_divide(F.col("cum_n_pos"), _POS) - F.try_divide(F.col("cum_n_neg"), _NEG))
-    return F.when(F.max(_POS) == 0, 0.0).otherwise(F.max(gap))
+    gap = F.abs(F.try_divide(F.col("cum_n_pos"), _all_pos()) - F.try_divide(F.col("cum_n_neg"), _all_neg()))
+    return F.when(F.max(_all_pos()) == 0, 0.0).otherwise(F.max(gap))
 
 
 def _average_precision() -> Column:
     hits = F.col("n_pos") * (F.col("cum_n_pos") / (F.col("cum_n_pos") + F.col("cum_n_neg")))
-    return F.try_divide(F.sum(hits), F.max(_POS))
+    return F.try_divide(F.sum(hits), F.max(_all_pos()))
 
 
 def _brier(score: str) -> Column:
@@ -185,8 +190,8 @@ def roc_points(
     first = F.col("cum_n_pos") + F.col("cum_n_neg") == F.col("n_pos") + F.col("n_neg")
     point = F.struct(
         F.col(score).cast("double").alias("threshold"),
-        F.try_divide(F.col("cum_n_neg"), _NEG).alias("fpr"),
-        F.try_divide(F.col("cum_n_pos"), _POS).alias("tpr"),
+        F.try_divide(F.col("cum_n_neg"), _all_neg()).alias("fpr"),
+        F.try_divide(F.col("cum_n_pos"), _all_pos()).alias("tpr"),
     )
     origin = F.struct(
         F.lit(None).cast("double").alias("threshold"), F.lit(0.0).alias("fpr"), F.lit(0.0).alias("tpr")
@@ -214,7 +219,7 @@ def pr_points(
     point = F.struct(
         F.col(score).cast("double").alias("threshold"),
         (F.col("cum_n_pos") / found).alias("precision"),
-        F.coalesce(F.try_divide(F.col("cum_n_pos"), _POS), F.lit(1.0)).alias("recall"),
+        F.coalesce(F.try_divide(F.col("cum_n_pos"), _all_pos()), F.lit(1.0)).alias("recall"),
     )
     closing = F.struct(
         F.lit(None).cast("double").alias("threshold"), F.lit(1.0).alias("precision"), F.lit(0.0).alias("recall")

@@ -23,6 +23,7 @@ logger = logging.getLogger(__name__)
 
 ENSEMBLE = "ensemble"
 MAX_CATEGORIES = 10_000  # the encoder keeps its category lists on the driver
+ROWS_PER_PARTITION = 50_000
 
 
 @dataclass
@@ -100,24 +101,30 @@ def fit_features(train: DataFrame, numeric: Sequence[str], categorical: Sequence
     return PipelineModel(stages)
 
 
-def _outputs(name: str) -> dict[str, str]:
-    return {"probabilityCol": f"_prob_{name}", "rawPredictionCol": f"_raw_{name}", "predictionCol": f"_pred_{name}"}
+def _named(learner, name: str):
+    """Own output columns per model, so that several models can score one row."""
+    return (
+        learner.setProbabilityCol(f"_prob_{name}")
+        .setRawPredictionCol(f"_raw_{name}")
+        .setPredictionCol(f"_pred_{name}")
+    )
 
 
 def _fit_boosted(name: str, params: BoostedTreesParams):
     def fit(rows: DataFrame, stats: TrainingStats) -> PipelineModel:
-        # stops early once the validation rows no longer improve
         learner = GBTClassifier(
-            featuresCol="features", labelCol="label", weightCol="weight",
-            validationIndicatorCol="is_validation", maxIter=params.trees, maxDepth=params.depth,
+            featuresCol="features", labelCol="label", weightCol="weight", maxIter=params.trees, maxDepth=params.depth,
             stepSize=params.learning_rate, subsamplingRate=params.row_sample,
             featureSubsetStrategy=str(params.column_sample),
             minInstancesPerNode=params.min_rows_per_leaf, maxBins=params.max_bins,
-            seed=params.seed, **_outputs(name),
+            seed=params.seed,
         )
-        if rows.filter("is_validation").isEmpty():
-            learner.clear(learner.validationIndicatorCol)
-        return PipelineModel([learner.fit(rows)])
+        if params.early_stopping and not rows.filter("is_validation").isEmpty():
+            # stop as soon as another tree no longer lowers the loss on the validation rows
+            learner = learner.setValidationIndicatorCol("is_validation").setParams(validationTol=0.0)
+        else:
+            rows = rows.filter(~F.col("is_validation"))
+        return PipelineModel([_named(learner, name).fit(rows)])
 
     return fit
 
@@ -127,9 +134,9 @@ def _fit_forest(name: str, config: RiskConfig):
         learner = RandomForestClassifier(
             featuresCol="features", labelCol="label", weightCol="weight",
             numTrees=config.forest.trees, maxDepth=config.forest.depth,
-            minInstancesPerNode=config.forest.min_rows_per_leaf, seed=config.forest.seed, **_outputs(name),
+            minInstancesPerNode=config.forest.min_rows_per_leaf, seed=config.forest.seed,
         )
-        return PipelineModel([learner.fit(rows.filter(~F.col("is_validation")))])
+        return PipelineModel([_named(learner, name).fit(rows.filter(~F.col("is_validation")))])
 
     return fit
 
@@ -143,9 +150,9 @@ def _fit_logistic(name: str, config: RiskConfig):
             featuresCol=scaled, labelCol="label", weightCol="weight",
             # the penalty is given per summed weight, MLlib averages the loss
             regParam=1.0 / (config.logistic.c * stats.weight_sum), elasticNetParam=0.0,
-            maxIter=config.logistic.iterations, standardization=False, **_outputs(name),
+            maxIter=config.logistic.iterations, tol=config.logistic.tolerance, standardization=False,
         )
-        return PipelineModel([scaler, learner.fit(scaler.transform(train))])
+        return PipelineModel([scaler, _named(learner, name).fit(scaler.transform(train))])
 
     return fit
 
@@ -161,56 +168,60 @@ def learners(config: RiskConfig = RiskConfig()) -> dict[str, Callable[[DataFrame
 
 
 def train_all(
-    train: DataFrame,
-    validation: DataFrame,
+    rows: DataFrame,
     config: RiskConfig = RiskConfig(),
     only: Sequence[str] | None = None,
     target: str = TARGET,
 ) -> TrainedModels:
     """Fit the learners with class weights, then the ensemble weights on the validation rows.
 
-    A learner that fails is logged and left out. With two or more models the ensemble
-    weights are their validation AUCs divided by the sum.
+    ``rows`` has an ``is_validation`` column (see ``splits.training_frame``) and is read
+    several times: pass a stored table. A learner that fails is logged and left out. With
+    two or more models the ensemble weights are their validation AUCs divided by the sum.
     """
-    spark = train.sparkSession
-    use_checkpoints(spark)
-    numeric, categorical = present_features(train, config)
-    needed = [*numeric, *categorical, target]
+    use_checkpoints(rows.sparkSession)
+    numeric, categorical = present_features(rows, config)
+    train = rows.filter(~F.col("is_validation"))
     stats = training_stats(train, categorical, target)
     features = fit_features(train, numeric, categorical)
-    flagged = train.select(*needed, F.lit(False).alias("is_validation")).unionByName(
-        validation.select(*needed, F.lit(True).alias("is_validation"))
-    )
     label = F.col(target).cast("double")
-    rows = features.transform(flagged).select(
+    weighted = features.transform(rows).select(
         "features",
         label.alias("label"),
         F.when(label == 1, stats.imbalance_ratio).otherwise(1.0).alias("weight"),
         "is_validation",
     )
+    # every iteration is a pass over all partitions: no more of them than the rows are worth
+    partitions = (stats.n_neg + stats.n_pos) // ROWS_PER_PARTITION + 1
+    weighted = weighted.coalesce(partitions).persist(StorageLevel.MEMORY_AND_DISK)
     trained = TrainedModels(features, [*numeric, *categorical])
-    rows = rows.persist(StorageLevel.MEMORY_AND_DISK)  # read once per learner and pass
     try:
         for name, fit in learners(config).items():
             if only is not None and name not in only:
                 continue
             try:
-                trained.models[name] = fit(rows, stats)
+                trained.models[name] = fit(weighted, stats)
             except Exception as error:  # noqa: BLE001 - one bad learner must not stop the others
                 logger.exception("training %s failed", name)
                 trained.failures[name] = str(error)
         if len(trained.models) >= 2:
-            held_out = rows.filter("is_validation").withColumn("y", F.col("label").cast("int"))
-            scored = long_scores(_probabilities(trained, held_out), trained.models, ["y"])
-            aucs = ranking_metrics(score_curve(scored, ["model"]), ["model"]).collect()  # one row per model
-            trained.validation_auc = {row["model"]: row["auc_roc"] for row in aucs if row["auc_roc"] is not None}
-            total = sum(trained.validation_auc.values())
-            trained.weights = {name: auc / total for name, auc in trained.validation_auc.items()} if total else {}
+            _weigh(trained, weighted.filter("is_validation"))
     finally:
-        rows.unpersist()
+        weighted.unpersist()
     return trained
 
 
+def _weigh(trained: TrainedModels, held_out: DataFrame) -> None:
+    """Ensemble weights from the exact AUC of every model; one number per model is collected."""
+    labelled = held_out.select("features", F.col("label").cast("int").alias("y"))
+    scored = long_scores(_probabilities(trained, labelled), list(trained.models), ["y"])
+    aucs = ranking_metrics(score_curve(scored, ["model"]), ["model"]).collect()
+    trained.validation_auc = {row["model"]: row["auc_roc"] for row in aucs if row["auc_roc"] is not None}
+    total = sum(trained.validation_auc.values())
+    if total:
+        trained.weights = {name: auc / total for name, auc in trained.validation_auc.items()}
+
+
 def _probabilities(trained: TrainedModels, assembled: DataFrame) -> DataFrame:
     """One probability column per model, and ``ensemble`` if there are weights."""
     kept = [name for name in assembled.columns if name != "features"]

@@ -37,23 +37,24 @@ def split_parts(split: DataFrame) -> DataFrame:
     return split.withColumn(PART, F.explode(parts))
 
 
-def training_rows(split: DataFrame, scheme: str = "oot") -> DataFrame:
-    """Train rows of the ``oot`` or ``oos`` scheme."""
-    return split.filter(F.col(f"split_{scheme}") == "train")
+def training_frame(split: DataFrame, scheme: str = "oot", allow_overlap: bool = False) -> DataFrame:
+    """Training rows of a scheme and the validation rows, told apart by ``is_validation``.
 
-
-def validation_rows(split: DataFrame, scheme: str = "oot", allow_overlap: bool = False) -> DataFrame:
-    """Out-of-sample validation rows; rows also used for training are left out by default."""
-    rows = split.filter(F.col("split_oos") == "val")
-    if allow_overlap or scheme == "oos":
-        return rows
-    return rows.filter(~F.col(f"split_{scheme}").eqNullSafe("train"))
+    Validation rows are the out-of-sample ones that are not also training rows. With
+    ``allow_overlap`` a row that is both comes out twice, once in each role.
+    """
+    trains = F.coalesce(F.col(f"split_{scheme}") == "train", F.lit(False))
+    validates = F.col("split_oos") == "val"
+    if not allow_overlap:
+        validates &= ~trains
+    roles = F.array_compact(F.array(F.when(trains, False), F.when(validates, True)))
+    return split.withColumn("is_validation", F.explode(roles))
 
 
-def holdout(
+def holdout_frame(
     train: DataFrame, pct: int = 20, config: RiskConfig = RiskConfig(), loan: str = LOAN
-) -> tuple[DataFrame, DataFrame]:
-    """Split training rows in two by hash, for data without a validation part."""
+) -> DataFrame:
+    """Training rows with ``is_validation`` set by hash, for data without a validation part."""
     # own salt: independent of the bucket behind the out-of-sample parts
-    chosen = hash_bucket(F.concat(F.col(loan), F.lit("|holdout")), config.split_seed) < pct
-    return train.filter(~chosen), train.filter(chosen)
+    bucket = hash_bucket(F.concat(F.col(loan), F.lit("|holdout")), config.split_seed)
+    return train.withColumn("is_validation", bucket < pct)
