@@ -419,12 +419,17 @@ def outcome_histogram(spark, folder):
 # --- validation metrics ------------------------------------------------------
 
 
+def _scored(spark, folder) -> DataFrame:
+    """The scored rows as a stored table: ordered metrics read them two or three times."""
+    return stored(scored_test(spark, folder), "scored")
+
+
 def _metrics(spark, folder) -> DataFrame:
-    return metrics.metric_rows(scored_test(spark, folder))
+    return metrics.metric_rows(_scored(spark, folder))
 
 
 def _ranking(spark, folder) -> DataFrame:
-    return metrics.ranking_metrics(metrics.score_curve(scored_test(spark, folder)))
+    return metrics.ranking_metrics(metrics.score_curve(_scored(spark, folder)))
 
 
 @query
@@ -459,35 +464,35 @@ def metric_rows(spark, folder):
 
 @query
 def roc_points(spark, folder):
-    return rounded(metrics.roc_points(scored_test(spark, folder)), 9, "fpr", "tpr")
+    return rounded(metrics.roc_points(_scored(spark, folder)), 9, "fpr", "tpr")
 
 
 @query
 def pr_points(spark, folder):
-    return rounded(metrics.pr_points(scored_test(spark, folder)), 9, "precision", "recall")
+    return rounded(metrics.pr_points(_scored(spark, folder)), 9, "precision", "recall")
 
 
 @query
 def ks_decile(spark, folder):
-    table = reports.ks_deciles(scored_test(spark, folder))
+    table = reports.ks_deciles(_scored(spark, folder))
     return rounded(table, 6, "default_rate", "cum_default_pct", "cum_non_default_pct", "ks")
 
 
 @query
 def psi_bins(spark, folder):
-    table = reports.psi_bins(scored_test(spark, folder))
+    table = reports.psi_bins(_scored(spark, folder))
     return rounded(table, 9, "share_expected", "share_actual", "contribution")
 
 
 @query
 def psi(spark, folder):
-    return rounded(reports.psi(reports.psi_bins(scored_test(spark, folder))), 9, "psi")
+    return rounded(reports.psi(reports.psi_bins(_scored(spark, folder))), 9, "psi")
 
 
 @query
 def exact_quantiles_query(spark, folder):
     shares = {"q25": 0.25, "q50": 0.5, "q90": 0.9}
-    return rounded(exact_quantiles(scored_test(spark, folder), "p", shares, ["model", "split"]), 9, *shares)
+    return rounded(exact_quantiles(_scored(spark, folder), "p", shares, ["model", "split"]), 9, *shares)
 
 
 QUERIES["exact_quantiles"] = QUERIES.pop("exact_quantiles_query")
@@ -527,7 +532,7 @@ def ensemble_weights(spark, folder):
 @query
 def ensemble_scores(spark, folder):
     """Soft vote of the closed-form scores, weighted by each one's AUC share."""
-    scored = stored(scored_test(spark, folder), "scored")
+    scored = _scored(spark, folder)
     weights = metrics.ensemble_weights(metrics.ranking_metrics(metrics.score_curve(scored)))
     wide = weights.groupBy("split").pivot("model", list(MODELS)).agg(F.first("weight"))
     wide = wide.select("split", *[F.col(name).alias(f"w_{name}") for name in MODELS])

@@ -18,6 +18,9 @@ TABLES = (
 ).split()
 
 
+EXACT = bool(os.environ.get("EXACT"))
+
+
 def connect(folder):
     con = duckdb.connect()
     con.execute("SET TimeZone='UTC'")
@@ -31,6 +34,8 @@ def _value(value):
         return value
     if isinstance(value, (int, float)):
         value = float(value)
+        if EXACT:
+            return repr(value)
         return "nan" if math.isnan(value) else round(value, 9) + 0.0
     if value is not None and type(value).__name__ == "Decimal":
         return round(float(value), 9)
