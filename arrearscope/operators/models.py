@@ -215,8 +215,8 @@ def _weigh(trained: TrainedModels, held_out: DataFrame) -> None:
     """Ensemble weights from the exact AUC of every model; one number per model is collected."""
     labelled = held_out.select("features", F.col("label").cast("int").alias("y"))
     scored = long_scores(_probabilities(trained, labelled), list(trained.models), ["y"])
-    aucs = ranking_metrics(score_curve(scored, ["model"]), ["model"]).collect()
-    trained.validation_auc = {row["model"]: row["auc_roc"] for row in aucs if row["auc_roc"] is not None}
+    aucs = {row["model"]: row["auc_roc"] for row in ranking_metrics(score_curve(scored, ["model"]), ["model"]).collect()}
+    trained.validation_auc = {name: aucs[name] for name in trained.models if aucs.get(name) is not None}
     total = sum(trained.validation_auc.values())
     if total:
         trained.weights = {name: auc / total for name, auc in trained.validation_auc.items()}
@@ -300,14 +300,15 @@ def save_models(spark: SparkSession, trained: TrainedModels, path: str) -> None:
     names = [(i, name) for i, name in enumerate(trained.feature_names)]
     spark.createDataFrame(names, "position int, feature string").coalesce(1).write.mode("overwrite").parquet(
         f"{path}/feature_names")
-    weights = [(name, trained.validation_auc.get(name), trained.weights.get(name)) for name in trained.models]
-    spark.createDataFrame(weights, "model string, auc double, weight double").coalesce(1).write.mode(
+    table = [(i, name, trained.validation_auc.get(name), trained.weights.get(name))
+             for i, name in enumerate(trained.models)]
+    spark.createDataFrame(table, "position int, model string, auc double, weight double").coalesce(1).write.mode(
         "overwrite").parquet(f"{path}/models")
 
 
 def load_models(spark: SparkSession, path: str) -> TrainedModels:
     names = spark.read.parquet(f"{path}/feature_names").orderBy("position").collect()
-    table = spark.read.parquet(f"{path}/models").collect()  # one row per model
+    table = spark.read.parquet(f"{path}/models").orderBy("position").collect()  # one row per model
     return TrainedModels(
         features=PipelineModel.load(f"{path}/features"),
         feature_names=[row["feature"] for row in names],

@@ -16,14 +16,13 @@ def shared_folder(spark: SparkSession) -> str:
     Only a local master may go without: executors on other machines cannot see a
     temporary folder of the driver.
     """
-    folder = spark.conf.get(CHECKPOINT_SETTING, None)
+    folder = spark.conf.get(CHECKPOINT_SETTING, None) or spark.sparkContext.getCheckpointDir()
     if folder:
         return folder
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError(f"set {CHECKPOINT_SETTING} to a folder that all executors can reach")
-    folder = tempfile.mkdtemp(prefix="arrearscope-")
-    spark.conf.set(CHECKPOINT_SETTING, folder)
-    return folder
+    spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="arrearscope-"))
+    return spark.sparkContext.getCheckpointDir()
 
 
 def use_checkpoints(spark: SparkSession) -> None:
