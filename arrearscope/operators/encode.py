@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 UNSEEN = -1
 MISSING = "UNKNOWN"
+BROADCAST_CODES = 100_000  # a few megabytes
 
 
 def fit_codes(train: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -28,16 +29,17 @@ def fit_codes(train: DataFrame, columns: Sequence[str]) -> DataFrame:
 def apply_codes(df: DataFrame, codes: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Replace categories by their codes; a category the fit has not seen becomes -1.
 
-    The join side is one row per category; Spark broadcasts it when its measured size is
-    below the broadcast threshold and shuffles it otherwise.
+    ``codes`` is counted first (pass a stored table): up to ``BROADCAST_CODES`` rows it is
+    broadcast, beyond that the join is left to Spark.
     """
+    small = codes.count() <= BROADCAST_CODES
     for name in columns:
         lookup = codes.filter(F.col("column") == name).select(
             F.col("category").alias("_category"), F.col("code").alias("_code")
         )
         df = (
             df.withColumn("_category", F.coalesce(F.col(name).cast("string"), F.lit(MISSING)))
-            .join(lookup, "_category", "left")
+            .join(F.broadcast(lookup) if small else lookup, "_category", "left")
             .withColumn(name, F.coalesce(F.col("_code"), F.lit(UNSEEN)))
             .drop("_category", "_code")
         )

@@ -1,8 +1,9 @@
 """Exact validation metrics of scored rows, grouped by any columns (model, split, ...).
 
-Everything is computed from one table: distinct scores with their counts of events and
-non-events. It is built with map-side combining, so a score that many rows share costs
-one row, and :func:`arrearscope.operators.ordered.prefix_sums` puts it in order.
+Ranking metrics are computed from one table: distinct scores with their counts of events
+and non-events. It is built with map-side combining, so a score that many rows share costs
+one row, and :func:`arrearscope.operators.ordered.prefix_sums` puts it in order. Metrics
+that need no order are plain sums over the rows.
 """
 
 from __future__ import annotations
@@ -17,17 +18,20 @@ from arrearscope.operators.ordered import prefix_sums, range_edges
 MODEL_SPLIT = ("model", "split")
 
 
+def _labelled_scores(scored: DataFrame, groups: Sequence[str], score: str, label: str) -> DataFrame:
+    """Every labelled row as ``n_pos``/``n_neg`` of one; other rows are left out."""
+    event = (F.col(label) == 1).cast("int")
+    return scored.filter(F.col(label).isNotNull() & F.col(score).isNotNull()).select(
+        *groups, score, event.alias("n_pos"), (1 - event).alias("n_neg")
+    )
+
+
 def score_counts(
     scored: DataFrame, groups: Sequence[str] = MODEL_SPLIT, score: str = "p", label: str = "y"
 ) -> DataFrame:
     """Distinct scores per group with ``n_pos`` and ``n_neg``; unlabelled rows are left out."""
-    return (
-        scored.filter(F.col(label).isNotNull() & F.col(score).isNotNull())
-        .groupBy(*groups, score)
-        .agg(
-            F.sum(F.when(F.col(label) == 1, 1).otherwise(0)).alias("n_pos"),
-            F.sum(F.when(F.col(label) == 1, 0).otherwise(1)).alias("n_neg"),
-        )
+    return _labelled_scores(scored, groups, score, label).groupBy(*groups, score).agg(
+        F.sum("n_pos").alias("n_pos"), F.sum("n_neg").alias("n_neg")
     )
 
 
@@ -121,7 +125,7 @@ def confusion_metrics(
     """Confusion counts at ``score >= threshold`` with precision, recall and F1 (0 if undefined)."""
     counts = {name: column.alias(name) for name, column in _confusion_counts(score, threshold).items()}
     return (
-        score_counts(scored, groups, score, label).groupBy(*groups).agg(*counts.values())
+        _labelled_scores(scored, groups, score, label).groupBy(*groups).agg(*counts.values())
         .withColumns({name: F.bround(rate, 4) for name, rate in _threshold_rates().items()})
     )
 
@@ -129,7 +133,7 @@ def confusion_metrics(
 def brier_score(
     scored: DataFrame, groups: Sequence[str] = MODEL_SPLIT, score: str = "p", label: str = "y"
 ) -> DataFrame:
-    return score_counts(scored, groups, score, label).groupBy(*groups).agg(
+    return _labelled_scores(scored, groups, score, label).groupBy(*groups).agg(
         F.bround(_brier(score), 5).alias("brier_score")
     )
 

@@ -81,6 +81,17 @@ def score_distribution(
     )
 
 
+def _attach(rows: DataFrame, per_group: DataFrame, groups: Sequence[str]) -> DataFrame:
+    """Columns of a table with one row per report group, next to every row.
+
+    The table is broadcast: a shuffle on so few keys would send each group to one task.
+    Without groups it is a single row and comes in as scalar subqueries.
+    """
+    if groups:
+        return rows.join(F.broadcast(per_group), list(groups))
+    return rows.withColumns({name: per_group.select(name).scalar() for name in per_group.columns})
+
+
 def histogram(
     df: DataFrame,
     value: str,
@@ -91,31 +102,29 @@ def histogram(
 ) -> DataFrame:
     """Equal-width histogram with density per group; the last bin includes its upper edge.
 
-    Without ``low`` and ``high`` every group's own minimum and maximum are used. Values
-    outside the range are not counted; all bins come out, also empty ones.
+    Without ``low`` and ``high`` every group's own minimum and maximum are used, which takes
+    a second pass over ``df``. Values outside the range are not counted; all bins come out,
+    also empty ones.
     """
     values = df.filter(F.col(value).isNotNull()).select(*groups, F.col(value).cast("double").alias("_v"))
-    # distinct values with counts: one scan, and a value held by many rows is one row
-    counted = values.groupBy(*groups, "_v").agg(F.count(F.lit(1)).alias("_n"))
     if low is None or high is None:
-        limits = counted.groupBy(*groups).agg(F.min("_v").alias("_low"), F.max("_v").alias("_high"))
-        ranged = counted.join(F.broadcast(limits), list(groups)) if groups else counted.withColumns({
-            "_low": limits.select("_low").scalar(), "_high": limits.select("_high").scalar()})
+        limits = values.groupBy(*groups).agg(F.min("_v").alias("_low"), F.max("_v").alias("_high"))
         # a single distinct value gets a range of width one around it
         flat = F.col("_low") == F.col("_high")
-        ranged = ranged.withColumns({
+        limits = limits.withColumns({
             "_low": F.when(flat, F.col("_low") - 0.5).otherwise(F.col("_low")),
             "_high": F.when(flat, F.col("_high") + 0.5).otherwise(F.col("_high")),
         })
+        ranged = _attach(values, limits, groups)
     else:
-        ranged = counted.withColumns({"_low": F.lit(float(low)), "_high": F.lit(float(high))})
+        ranged = values.withColumns({"_low": F.lit(float(low)), "_high": F.lit(float(high))})
     width = (F.col("_high") - F.col("_low")) / bins
     position = F.least(F.floor((F.col("_v") - F.col("_low")) / width), F.lit(bins - 1)).cast("int")
     filled = (
         ranged.filter(F.col("_v").between(F.col("_low"), F.col("_high")))
         .withColumn("bin", position)
         .groupBy(*groups, "bin")
-        .agg(F.sum("_n").alias("n"), F.min("_low").alias("_low"), F.min("_high").alias("_high"))
+        .agg(F.count(F.lit(1)).alias("n"), F.min("_low").alias("_low"), F.min("_high").alias("_high"))
     )
     table = _with_every(filled, groups, "bin", range(bins), {
         "n": F.lit(0).cast("bigint"), "_low": F.lit(None).cast("double"), "_high": F.lit(None).cast("double"),
@@ -226,20 +235,11 @@ def psi_bins(
     rows = scored.filter(F.col(split).isin(expected, actual) & F.col(value).isNotNull())
     names = {f"_q{i}": i / bins for i in range(1, bins)}
     cuts = exact_quantiles(rows.filter(F.col(split) == expected), value, names, groups, edges)
-    cuts = cuts.select(*groups, F.array(*names).alias("_cuts"))
-    counted = rows.groupBy(*groups, value).agg(
-        F.sum((F.col(split) == expected).cast("int")).alias("_e"),
-        F.sum((F.col(split) == actual).cast("int")).alias("_a"),
-    )
-    if groups:
-        # one row per group; a shuffle on so few keys would send each group to one task
-        cut = counted.join(F.broadcast(cuts), list(groups))
-    else:
-        cut = counted.withColumn("_cuts", cuts.scalar())
-    # number of cut points below the value: a value on a cut point stays in the lower bin
-    position = F.size(F.filter("_cuts", lambda edge: edge < F.col(value))) + 1
-    per_bin = cut.groupBy(*groups, position.alias("bin")).agg(
-        F.sum("_e").alias("n_expected"), F.sum("_a").alias("n_actual")
+    # one plus the number of cut points below: a value on a cut point stays in the lower bin
+    position = sum((F.coalesce(F.col(value) > F.col(name), F.lit(False)).cast("int") for name in names), F.lit(1))
+    per_bin = _attach(rows, cuts, groups).groupBy(*groups, position.alias("bin")).agg(
+        F.sum((F.col(split) == expected).cast("int")).alias("n_expected"),
+        F.sum((F.col(split) == actual).cast("int")).alias("n_actual"),
     )
     zero = F.lit(0).cast("bigint")
     table = _with_every(per_bin, groups, "bin", range(1, bins + 1), {"n_expected": zero, "n_actual": zero})

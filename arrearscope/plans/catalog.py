@@ -349,9 +349,9 @@ def holdout(spark, folder):
 
 @query
 def ordinal_encode(spark, folder):
-    rows = _split(spark, folder).select(LOAN, "PROPERTY_STATE", "econ_regime", "split_oot")
+    rows = stored(_split(spark, folder).select(LOAN, "PROPERTY_STATE", "econ_regime", "split_oot"), "split")
     columns = ["PROPERTY_STATE", "econ_regime"]
-    codes = encode.fit_codes(rows.filter(F.col("split_oot") == "train"), columns)
+    codes = stored(encode.fit_codes(rows.filter(F.col("split_oot") == "train"), columns), "codes")
     return encode.apply_codes(rows, codes, columns).select(LOAN, *columns)
 
 
@@ -363,13 +363,18 @@ def class_imbalance(spark, folder):
 # --- scores ------------------------------------------------------------------
 
 
-def _points(spark, folder) -> DataFrame:
-    return scored_test(spark, folder).withColumn("score", score_points(F.col("p")))
+def _scored(spark, folder) -> DataFrame:
+    """The scored rows as a stored table, for reports that read them two or three times."""
+    return stored(scored_test(spark, folder), "scored")
+
+
+def _points(scored: DataFrame) -> DataFrame:
+    return scored.withColumn("score", score_points(F.col("p")))
 
 
 @query
 def score_points_query(spark, folder):
-    return _points(spark, folder).select("model", "split", LOAN, "p", "score")
+    return _points(scored_test(spark, folder)).select("model", "split", LOAN, "p", "score")
 
 
 QUERIES["score_points"] = QUERIES.pop("score_points_query")
@@ -392,13 +397,13 @@ def action_lookup(spark, folder):
 
 @query
 def score_distribution(spark, folder):
-    table = reports.score_distribution(_points(spark, folder), ["model", "split"])
+    table = reports.score_distribution(_points(scored_test(spark, folder)), ["model", "split"])
     return rounded(table, 6, "mean_score")
 
 
 @query
 def score_histogram(spark, folder):
-    oot = _points(spark, folder).filter(F.col("split") == "oot")
+    oot = _points(scored_test(spark, folder)).filter(F.col("split") == "oot")
     table = reports.histogram(oot, "score", 30, 300, 900, ["model", "y"])
     return rounded(rounded(table, 6, "bin_start", "bin_end"), 9, "density")
 
@@ -411,7 +416,7 @@ def probability_histogram(spark, folder):
 
 @query
 def outcome_histogram(spark, folder):
-    oot = _points(spark, folder).filter(F.col("split") == "oot")
+    oot = _points(_scored(spark, folder)).filter(F.col("split") == "oot")
     table = reports.histogram(oot, "score", 30, groups=["model", "y"])
     return rounded(rounded(table, 6, "bin_start", "bin_end"), 9, "density")
 
@@ -419,11 +424,6 @@ def outcome_histogram(spark, folder):
 # --- validation metrics ------------------------------------------------------
 
 
-def _scored(spark, folder) -> DataFrame:
-    """The scored rows as a stored table: ordered metrics read them two or three times."""
-    return stored(scored_test(spark, folder), "scored")
-
-
 def _metrics(spark, folder) -> DataFrame:
     return metrics.metric_rows(_scored(spark, folder))
 
