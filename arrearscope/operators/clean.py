@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from arrearscope.config import (
@@ -24,55 +24,52 @@ _ORIGINATION_NUMBERS = (
 _SERVICING_NUMBERS = ("CURR_ACTUAL_UPB", "LOAN_AGE", "REM_MONTHS_MATURITY", "CURR_INTEREST_RATE")
 
 
-def _origination_number(name: str):
-    value = c.number(F.col(name))
-    if name in SENTINELS:
-        value = c.without_sentinel(value, SENTINELS[name])
-    if name in VALID_RANGES:
-        value = c.within(value, *VALID_RANGES[name])
-    return value
+def _checked(name: str) -> Column:
+    """The number, or null for its sentinel and outside its valid range."""
+    value = c.without_sentinel(F.col(name), SENTINELS[name])
+    return c.within(value, *VALID_RANGES[name])
 
 
-def has_key(name: str = LOAN):
+def has_key(name: str = LOAN) -> Column:
     return F.col(name).isNotNull() & (F.col(name) != "")
 
 
 def clean_origination(raw: DataFrame) -> DataFrame:
     """Typed origination rows: numbers checked against sentinels and ranges, vintage parsed."""
-    first_payment = F.trim("FIRST_PAYMENT_DATE")
-    columns = {name: _origination_number(name) for name in _ORIGINATION_NUMBERS if name in raw.columns}
-    columns |= {
-        "FIRST_PAYMENT_DATE": first_payment,
-        "orig_year": c.year_of(first_payment),
-        "orig_month": c.month_of(first_payment),
+    # trimmed first, so that fields used several times are trimmed once
+    trimmed = raw.withColumns({
+        "FIRST_PAYMENT_DATE": F.trim("FIRST_PAYMENT_DATE"),
         "PPM_FLAG": c.upper_code(F.col("PPM_FLAG")),
         "PROPERTY_STATE": c.upper_code(F.col("PROPERTY_STATE")),
         "SERVICER_NAME": F.trim("SERVICER_NAME"),
         LOAN: F.trim(LOAN),
-    }
-    return raw.withColumns(columns).filter(has_key())
+    } | {name: c.number(F.col(name)) for name in _ORIGINATION_NUMBERS if name in raw.columns})
+    first_payment = F.col("FIRST_PAYMENT_DATE")
+    checked = {name: _checked(name) for name in SENTINELS if name in raw.columns}
+    parsed = {"orig_year": c.year_of(first_payment), "orig_month": c.month_of(first_payment)}
+    return trimmed.filter(has_key()).withColumns(checked | parsed)
 
 
 def clean_servicing(raw: DataFrame) -> DataFrame:
     """Typed servicing rows with a month index, a numeric delinquency level and a modification flag."""
-    period = F.trim("MONTHLY_RPT_PRD")
-    status = F.trim("DLQCY_STATUS")
-    modification = c.upper_code(F.col("MOD_FLAG"))
-    year, month = c.year_of(period), c.month_of(period)
-    columns = {name: c.number(F.col(name)) for name in _SERVICING_NUMBERS if name in raw.columns}
-    columns |= {
+    trimmed = raw.withColumns({
         LOAN: F.trim(LOAN),
-        "MONTHLY_RPT_PRD": period,
-        "DLQCY_STATUS": status,
-        "MOD_FLAG": modification,
-        "ZERO_BAL_CD": c.without_tokens(F.trim("ZERO_BAL_CD"), NULL_TOKENS),
-        "rpt_year": year,
-        "rpt_month": month,
-        MONTH: c.month_index(year, month),
-        "DLQCY_STATUS_NUM": c.delinquency_level(status),
-        "MODIFIED": c.is_one_of(modification, MODIFIED_FLAGS).cast("short"),
-    }
-    return raw.withColumns(columns).filter(has_key())
+        "MONTHLY_RPT_PRD": F.trim("MONTHLY_RPT_PRD"),
+        "DLQCY_STATUS": F.trim("DLQCY_STATUS"),
+        "MOD_FLAG": c.upper_code(F.col("MOD_FLAG")),
+        "ZERO_BAL_CD": F.trim("ZERO_BAL_CD"),
+    } | {name: c.number(F.col(name)) for name in _SERVICING_NUMBERS if name in raw.columns})
+    period = F.col("MONTHLY_RPT_PRD")
+    parsed = trimmed.filter(has_key()).withColumns({
+        "rpt_year": c.year_of(period),
+        "rpt_month": c.month_of(period),
+    })
+    return parsed.withColumns({
+        MONTH: c.month_index(F.col("rpt_year"), F.col("rpt_month")),
+        "ZERO_BAL_CD": c.without_tokens(F.col("ZERO_BAL_CD"), NULL_TOKENS),
+        "DLQCY_STATUS_NUM": c.delinquency_level(F.col("DLQCY_STATUS")),
+        "MODIFIED": c.is_one_of(F.col("MOD_FLAG"), MODIFIED_FLAGS).cast("short"),
+    })
 
 
 def one_row_per_month(panel: DataFrame, loan: str = LOAN, month: str = MONTH) -> DataFrame:
