@@ -110,6 +110,17 @@ def _named(learner, name: str):
     )
 
 
+def _without_summary(model):
+    """The fitted model without its training summary.
+
+    The summary refers to the session, which cannot be sent to executors any more once the
+    session has observed a metric; scoring would then fail.
+    """
+    if model.hasSummary:
+        model._java_obj.setSummary(model._java_obj.trainingSummary().empty())
+    return model
+
+
 def _fit_boosted(name: str, params: BoostedTreesParams):
     def fit(rows: DataFrame, stats: TrainingStats) -> PipelineModel:
         learner = GBTClassifier(
@@ -136,7 +147,7 @@ def _fit_forest(name: str, config: RiskConfig):
             numTrees=config.forest.trees, maxDepth=config.forest.depth,
             minInstancesPerNode=config.forest.min_rows_per_leaf, seed=config.forest.seed,
         )
-        return PipelineModel([_named(learner, name).fit(rows.filter(~F.col("is_validation")))])
+        return PipelineModel([_without_summary(_named(learner, name).fit(rows.filter(~F.col("is_validation"))))])
 
     return fit
 
@@ -152,7 +163,7 @@ def _fit_logistic(name: str, config: RiskConfig):
             regParam=1.0 / (config.logistic.c * stats.weight_sum), elasticNetParam=0.0,
             maxIter=config.logistic.iterations, tol=config.logistic.tolerance, standardization=False,
         )
-        return PipelineModel([scaler, _named(learner, name).fit(scaler.transform(train))])
+        return PipelineModel([scaler, _without_summary(_named(learner, name).fit(scaler.transform(train)))])
 
     return fit
 

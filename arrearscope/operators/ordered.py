@@ -14,19 +14,23 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 RANGE = "_range"
+MIN_RANGES = 64
+MAX_RANGES = 1024
 
 
 def range_edges(df: DataFrame, value: str, ranges: int | None = None) -> list[float]:
     """Cut points that put about the same number of rows into each range of ``value``.
 
     Runs one narrow aggregate over ``df`` and returns at most ``ranges`` numbers. They
-    only balance the work: any list of edges gives the same results.
+    only balance the work: any list of edges gives the same results. The accuracy (half
+    a range) keeps the sketches small that one task has to merge.
     """
     if ranges is None:
-        ranges = max(64, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+        partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        ranges = min(max(MIN_RANGES, partitions), MAX_RANGES)
     shares = [i / ranges for i in range(1, ranges)]
     cuts = df.agg(
-        F.percentile_approx(F.col(value).cast("double"), shares, 10 * ranges).alias("cuts")
+        F.percentile_approx(F.col(value).cast("double"), shares, 2 * ranges).alias("cuts")
     ).first()["cuts"]
     distinct = sorted({cut for cut in cuts or [] if cut == cut})
     return [float("-inf"), *(distinct or [0.0]), float("inf")]

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from arrearscope.config import RiskConfig
 from arrearscope.operators import clean, features, metrics, models, panel, reports, splits
+from arrearscope.operators.ordered import range_edges
 from arrearscope.sources.raw_files import load_origination, load_servicing
 from arrearscope.sources.tables import is_complete, load_table, materialize, save_report, save_splits
 
@@ -97,7 +98,8 @@ def evaluate(
     rows = split(spark, paths, config, direction)
     models.score_splits(trained, rows).write.mode("overwrite").parquet(paths.of(f"scored_{direction}"))
     scored = load_table(spark, paths.of(f"scored_{direction}"))
-    rated = metrics.metric_rows(scored)
+    metrics.metric_rows(scored).write.mode("overwrite").parquet(paths.of(f"metrics_{direction}"))
+    rated = load_table(spark, paths.of(f"metrics_{direction}"))
     tables = {
         "metrics": rated,
         "model_comparison": metrics.comparison_table(rated),
@@ -106,11 +108,12 @@ def evaluate(
     }
     if trained.weights:
         voted = scored.filter(F.col("model") == models.ENSEMBLE)
+        edges = range_edges(voted, "p")
         points = reports.add_scores(voted, score="score", scale=config.score_scale)
         tables |= {
             "score_distribution": reports.score_distribution(points.filter(F.col("split") == "oot")),
-            "ks_deciles": reports.ks_deciles(voted),
-            "psi": reports.psi(reports.psi_bins(voted)),
+            "ks_deciles": reports.ks_deciles(voted, edges=edges),
+            "psi": reports.psi(reports.psi_bins(voted, edges=edges)),
         }
     for name, table in tables.items():
         save_report(table, paths.of(f"reports_{direction}/{name}"))

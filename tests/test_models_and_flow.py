@@ -17,7 +17,7 @@ from arrearscope.operators import features, metrics, models, panel, splits
 from arrearscope.plans import flow, testbed
 from arrearscope.plans.catalog import _raw_lines
 from arrearscope.sources.storage import stored
-from arrearscope.sources.tables import load_split
+from arrearscope.sources.tables import load_split, save_with_counts
 
 FAST = replace(
     RiskConfig(),
@@ -36,7 +36,9 @@ def split(spark):
 
 
 @pytest.fixture(scope="module")
-def trained(split):
+def trained(spark, split, tmp_path_factory):
+    # a session that has observed a metric must still be able to score
+    save_with_counts(spark.range(3), str(tmp_path_factory.mktemp("observed") / "t"), label=None)
     return models.train_all(splits.training_frame(split), FAST)
 
 
