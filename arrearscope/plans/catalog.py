@@ -7,7 +7,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from arrearscope.config import CATEGORICAL_FEATURES, LOAN, MONTH, NUMERIC_FEATURES, TARGET
+from arrearscope.config import (
+    CATEGORICAL_FEATURES,
+    LOAN,
+    MONTH,
+    NUMERIC_FEATURES,
+    ORIGINATION_LAYOUT,
+    SERVICING_LAYOUT,
+    TARGET,
+)
 from arrearscope.functions import features as f
 from arrearscope.functions.scoring import score_band, score_points
 from arrearscope.operators import clean, encode, features, metrics, models, panel, reports, splits
@@ -76,16 +84,12 @@ def _written_raw(spark, raw: DataFrame, layout: dict[int, str], kind: str) -> st
 
 @query
 def csv_source_origination(spark, folder):
-    from arrearscope.config import ORIGINATION_LAYOUT
-
     raw_dir = _written_raw(spark, testbed.raw_origination(spark, folder), ORIGINATION_LAYOUT, "orig")
     return clean.clean_origination(load_origination(spark, raw_dir, 1999, 2012))
 
 
 @query
 def csv_source_servicing(spark, folder):
-    from arrearscope.config import SERVICING_LAYOUT
-
     raw_dir = _written_raw(spark, testbed.raw_servicing(spark, folder), SERVICING_LAYOUT, "svcg")
     return clean.clean_servicing(load_servicing(spark, raw_dir, 1999, 2012))
 
