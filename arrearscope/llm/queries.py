@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from arrearscope.llm import sharding, url_filters
+from arrearscope.llm import packing, sharding, url_filters
 from arrearscope.llm.common import table
 
 RULES = [
@@ -27,9 +27,14 @@ def op6_minimax_shards(spark: SparkSession, folder: str) -> DataFrame:
     return sharding.shard_documents(table(spark, folder, "documents"))
 
 
+def op10_pack_sequences(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.pack_documents(table(spark, folder, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_url_filter": op4_url_filter,
     "op6_minimax_shards": op6_minimax_shards,
+    "op10_pack_sequences": op10_pack_sequences,
 }
 
 SQL = {
