@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from arrearscope.llm import packing, sharding, url_filters
+from arrearscope.llm import near_duplicates, packing, sharding, toxicity, url_filters
 from arrearscope.llm.common import table
 
 RULES = [
@@ -18,11 +18,21 @@ RULES = [
 ]
 
 
+def op1_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return toxicity.score_toxicity(docs, table(spark, folder, "labels")).select(
+        "doc_id", "held_out", "score", "predicted", "toxic_ll", "ordinary_ll", "whole", "passage")
+
+
 def op4_url_filter(spark: SparkSession, folder: str) -> DataFrame:
     pages = table(spark, folder, "pages").select("page_id", "url")
     return url_filters.judge_urls(spark, pages, RULES).drop("url")
 
 
+def op5_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
+    return near_duplicates.link_documents(table(spark, folder, "documents"))
+
+
 def op6_minimax_shards(spark: SparkSession, folder: str) -> DataFrame:
     return sharding.shard_documents(table(spark, folder, "documents"))
 
@@ -32,7 +42,9 @@ def op10_pack_sequences(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_toxicity": op1_toxicity,
     "op4_url_filter": op4_url_filter,
+    "op5_near_duplicates": op5_near_duplicates,
     "op6_minimax_shards": op6_minimax_shards,
     "op10_pack_sequences": op10_pack_sequences,
 }
