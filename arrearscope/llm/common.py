@@ -84,42 +84,71 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
     return stars.unionByName(stars.select(F.col("root").alias("node"), "root").distinct())
 
 
-def spans_text(spans: Column) -> Column:
-    """``kind:start:end`` of an array of (start, rank, kind, end), by start and then rank, comma-joined."""
-    return F.array_join(
-        F.transform(F.array_sort(spans), lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ","
-    )
+SPANS = "array<struct<start:int,rank:int,kind:string,end:int,found:string,part:string>>"
 
 
-def matches(text: Column, pattern: str, kind: str, rank: int, group: int = 0) -> Column:
-    """All leftmost non-overlapping matches as an array of (start, rank, kind, end, found, part).
+def with_matches(docs: DataFrame, text: str, kinds: dict[str, tuple[str, int]], hints: dict[str, str] | None = None) -> DataFrame:
+    """``docs`` with a column ``_kind`` for each kind: its leftmost non-overlapping matches as ``SPANS``.
 
-    Positions are code points: the pieces between the matches, from ``split``, and the matches
-    themselves alternate, so running lengths give every start. ``part`` is the text of ``group``.
+    ``kinds``: pattern and the number of the group that ``part`` holds. ``hints``: a string without which
+    there can be no match. Positions are code points: the pieces between the matches, from
+    ``split``, and the matches alternate, so running lengths give every start. Built in steps,
+    each a projection of its own, so that no pattern is applied twice for the same thing.
     """
-    found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    part = F.regexp_extract_all(text, F.lit(pattern), F.lit(group)) if group else found
-    pieces = F.split(text, pattern, -1)
-    none = F.array().cast(SPANS)
-    lengths = F.zip_with(
-        F.slice(pieces, 1, F.size(found)), F.arrays_zip(found.alias("found"), part.alias("part")),
-        lambda gap, m: F.struct(F.length(gap).alias("gap"), m["found"].alias("found"), m["part"].alias("part")),
+    found, parts, pieces = {}, {}, {}
+    for k, (pattern, group) in kinds.items():
+        whole = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
+        hint = (hints or {}).get(k)
+        found[f"_{k}_found"] = F.when(F.col(text).contains(hint), whole).otherwise(F.array().cast("array<string>")) if hint else whole
+        some = F.size(f"_{k}_found") > 0
+        parts[f"_{k}_part"] = F.when(some, F.regexp_extract_all(text, F.lit(pattern), F.lit(group)) if group else F.col(f"_{k}_found"))
+        pieces[f"_{k}_piece"] = F.when(some, F.split(text, pattern, -1))
+    out = docs.withColumns(found).withColumns(parts | pieces)
+    spans = {f"_{k}": _placed(k, rank) for rank, k in enumerate(kinds)}
+    return out.withColumns(spans).drop(*found, *parts, *pieces)
+
+
+def _placed(kind: str, rank: int) -> Column:
+    """``SPANS`` from the columns that hold the matches, their parts and the pieces between them."""
+    found, part, piece = (F.col(f"_{kind}_{x}") for x in ("found", "part", "piece"))
+
+    def after(acc: Column, i: Column) -> Column:
+        start = F.element_at(acc, -1)["end"] + F.length(F.element_at(piece, i))
+        return F.struct(start.alias("start"), (start + F.length(F.element_at(found, i))).alias("end"))
+
+    ends = F.aggregate(
+        F.sequence(F.lit(1), F.size(found)), F.array(F.struct(F.lit(0).alias("start"), F.lit(0).alias("end"))),
+        lambda acc, i: F.concat(acc, F.array(after(acc, i))),
     )
-    placed = F.aggregate(
-        lengths, F.struct(F.lit(0).alias("at"), none.alias("spans")),
-        lambda acc, m: F.struct(
-            (acc["at"] + m["gap"] + F.length(m["found"])).alias("at"),
-            F.concat(acc["spans"], F.array(F.struct(
-                (acc["at"] + m["gap"]).alias("start"), F.lit(rank).alias("rank"), F.lit(kind).alias("kind"),
-                (acc["at"] + m["gap"] + F.length(m["found"])).alias("end"), m["found"].alias("found"),
-                m["part"].alias("part"),
-            ))).alias("spans"),
-        ),
+    spans = F.zip_with(
+        F.slice(ends, 2, F.size(found)), F.arrays_zip(found.alias("found"), part.alias("part")),
+        lambda at, m: F.struct(
+            at["start"].alias("start"), F.lit(rank).alias("rank"), F.lit(kind).alias("kind"), at["end"].alias("end"),
+            m["found"].alias("found"), m["part"].alias("part")),
     )
-    return F.when(F.size(found) == 0, none).otherwise(placed["spans"])
+    return F.when(F.size(found) > 0, spans).otherwise(F.array()).cast(SPANS)
 
 
-SPANS = "array<struct<start:int,rank:int,kind:string,end:int,found:string,part:string>>"
+def spans_text(spans: Column) -> Column:
+    """``kind:start:end`` of ``SPANS``, by start and then rank, comma-joined."""
+    return F.array_join(
+        F.transform(F.array_sort(spans), lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ","
+    )
+
+
+def redacted(text: Column, spans: Column) -> Column:
+    """``text`` with ``<kind>`` instead of each span; of overlapping spans the first one's kind stands for all."""
+    state = F.struct(F.lit(0).alias("at"), F.lit("").alias("text"))
+    done = F.aggregate(
+        F.array_sort(spans), state,
+        lambda acc, s: F.struct(
+            F.greatest(acc["at"], s["end"]).alias("at"),
+            F.when(s["start"] >= acc["at"], F.concat(
+                acc["text"], F.substring(text, acc["at"] + 1, s["start"] - acc["at"]), F.lit("<"), s["kind"], F.lit(">"),
+            )).otherwise(acc["text"]).alias("text"),
+        ),
+    )
+    return F.concat(done["text"], F.substring(text, done["at"] + 1, F.length(text)))
 
 
 def union_find(n: int, pairs: Iterable[tuple[int, int]]) -> list[int]:

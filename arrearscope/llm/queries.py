@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from arrearscope.llm import near_duplicates, packing, sharding, toxicity, url_filters
+from arrearscope.llm import near_duplicates, packing, secret_scan, sharding, toxicity, url_filters
 from arrearscope.llm.common import table
 
 RULES = [
@@ -24,6 +24,10 @@ def op1_toxicity(spark: SparkSession, folder: str) -> DataFrame:
         "doc_id", "held_out", "score", "predicted", "toxic_ll", "ordinary_ll", "whole", "passage")
 
 
+def op3_secrets(spark: SparkSession, folder: str) -> DataFrame:
+    return secret_scan.scan_secrets(table(spark, folder, "documents"))
+
+
 def op4_url_filter(spark: SparkSession, folder: str) -> DataFrame:
     pages = table(spark, folder, "pages").select("page_id", "url")
     return url_filters.judge_urls(spark, pages, RULES).drop("url")
@@ -43,6 +47,7 @@ def op10_pack_sequences(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
+    "op3_secrets": op3_secrets,
     "op4_url_filter": op4_url_filter,
     "op5_near_duplicates": op5_near_duplicates,
     "op6_minimax_shards": op6_minimax_shards,
