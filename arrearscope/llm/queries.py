@@ -6,7 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from arrearscope.llm import near_duplicates, packing, secret_scan, sharding, toxicity, url_filters
+from arrearscope.llm import (
+    decontamination,
+    near_duplicates,
+    packing,
+    personal_data,
+    secret_scan,
+    sharding,
+    toxicity,
+    url_filters,
+)
 from arrearscope.llm.common import table
 
 RULES = [
@@ -41,6 +50,14 @@ def op6_minimax_shards(spark: SparkSession, folder: str) -> DataFrame:
     return sharding.shard_documents(table(spark, folder, "documents"))
 
 
+def op8_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
+    return decontamination.find_contamination(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+def op9_personal_data(spark: SparkSession, folder: str) -> DataFrame:
+    return personal_data.scan_personal_data(table(spark, folder, "documents"))
+
+
 def op10_pack_sequences(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack_documents(table(spark, folder, "documents"))
 
@@ -51,6 +68,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_url_filter": op4_url_filter,
     "op5_near_duplicates": op5_near_duplicates,
     "op6_minimax_shards": op6_minimax_shards,
+    "op8_decontaminate": op8_decontaminate,
+    "op9_personal_data": op9_personal_data,
     "op10_pack_sequences": op10_pack_sequences,
 }
 
