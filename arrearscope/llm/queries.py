@@ -5,10 +5,12 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from arrearscope.llm import (
     decontamination,
     near_duplicates,
+    nearest_neighbours,
     packing,
     personal_data,
     secret_scan,
@@ -50,6 +52,10 @@ def op6_minimax_shards(spark: SparkSession, folder: str) -> DataFrame:
     return sharding.shard_documents(table(spark, folder, "documents"))
 
 
+def op7_nearest_neighbours(spark: SparkSession, folder: str) -> DataFrame:
+    return nearest_neighbours.search_nearest(table(spark, folder, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
 def op8_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
     return decontamination.find_contamination(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
 
@@ -68,6 +74,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_url_filter": op4_url_filter,
     "op5_near_duplicates": op5_near_duplicates,
     "op6_minimax_shards": op6_minimax_shards,
+    "op7_nearest_neighbours": op7_nearest_neighbours,
     "op8_decontaminate": op8_decontaminate,
     "op9_personal_data": op9_personal_data,
     "op10_pack_sequences": op10_pack_sequences,
