@@ -38,7 +38,7 @@ CURVE_ROWS = 20_000
 #: Folds of ``crc32(doc_id) mod 5``: 0 is held out, these are counted, the last one fits the curve.
 FOLDS, HELD_OUT, COUNTED, CURVE = 5, 0, (1, 2, 3), 4
 #: Word scores that one worker keeps, and characters it looks at in one go.
-CACHE_WORDS, CHUNK_CHARS = 200_000, 1_000_000
+CACHE_WORDS, CHUNK_CHARS = 300_000, 2_000_000
 DISCOUNT = 0.75
 
 _WORD = re.compile(r"[^\W\d_]+")
@@ -103,24 +103,29 @@ class Model:
         pad = _START * (ORDER - 1)
         joined = "".join(f"{pad}{w}{_END}" for w in words)
         codes = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
-        shared = np.full(len(codes), 1.0 / self.alphabet)
-        both = np.empty((len(codes), 2))
-        hashes, context = codes + np.uint64(1), np.zeros(len(codes), np.uint64)
+        hashes, levels = codes + np.uint64(1), []
         for order in range(1, ORDER + 1):
             if order > 1:
-                context = np.concatenate([np.zeros(1, np.uint64), hashes[:-1]])
                 hashes = hashes.copy()
                 hashes[order - 1:] += (codes[:len(codes) - order + 1] + np.uint64(1)) * _POWERS[order - 1]
-            count = _look_up(self.grams[order - 1], self.counts[order - 1], hashes)
+            levels.append(hashes)
+        # everything follows from the longest n-gram: each different one is looked up once
+        _, at, back = np.unique(hashes, return_index=True, return_inverse=True)
+        shared = np.full(len(at), 1.0 / self.alphabet)
+        both = np.empty((len(at), 2))
+        for order in range(1, ORDER + 1):
+            context = np.zeros(len(at), np.uint64) if order == 1 else levels[order - 2][at - 1]
+            count = _look_up(self.grams[order - 1], self.counts[order - 1], levels[order - 1][at])
             total = _look_up(self.contexts[order - 1], self.totals[order - 1], context)
             if order < ORDER:
                 shared = _kneser_ney(count, total[:, 0], total[:, 1], DISCOUNT, shared)
             else:
                 for c in (0, 1):
                     both[:, c] = _kneser_ney(count[:, c], total[:, 2 * c], total[:, 2 * c + 1], self.discount[c], shared)
+        both = np.log(both)[back]
+        both[codes == ord(_START)] = 0.0  # the padding is given, not predicted
         starts = np.cumsum([0, *(len(w) + ORDER for w in words[:-1])])
-        both[codes == ord(_START)] = 1.0  # the padding is given, not predicted
-        return np.add.reduceat(np.log(both), starts, axis=0)
+        return np.add.reduceat(both, starts, axis=0)
 
 
 def _kneser_ney(count, total, types, discount, lower):
@@ -150,9 +155,12 @@ def _hash_grams(grams: list[str], order: int) -> np.ndarray:
 
 def fit_models(docs: DataFrame, texts: DataFrame) -> Model | None:
     """Both models from the ``COUNTED`` folds of ``texts``; None unless both classes occur."""
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").filter(F.col("text").isNotNull())
+    # the folds are known without the labels, so the other texts needn't move; labels grow with the
+    # texts, so they are never broadcast
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").filter(
+        F.col("text").isNotNull() & fold_of(F.col("doc_id").cast("long")).isin(*COUNTED))
     chosen = texts.filter(F.col("fold").isin(*COUNTED)).select("doc_id", "toxic")
-    words = rows.join(chosen, "doc_id").select("text", "toxic").mapInArrow(
+    words = rows.join(chosen.hint("merge"), "doc_id").select("text", "toxic").mapInArrow(
         _count_words, "word string, ordinary long, toxic long")
     words = words.groupBy("word").agg(F.sum("ordinary").alias("ordinary"), F.sum("toxic").alias("toxic"))
     padded = F.concat(F.lit(_START * (ORDER - 1)), "word", F.lit(_END))
@@ -226,20 +234,22 @@ def measures(spark, model: Model):
 
     @F.pandas_udf(MEASURES)
     def measured(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        model, known = Model(**shared.value), {}
+        model, known, table = Model(**shared.value), {}, np.zeros((0, 2))
         for texts in batches:
             out, chunk, size = [], [], 0
 
             def close() -> None:
+                nonlocal table
                 new = list({w for words in chunk for w in words if w not in known})
-                for at in range(0, len(new), 50_000):
-                    part = new[at:at + 50_000]
-                    known.update(zip(part, model.log_likelihoods(part)))
+                if new:
+                    known.update(zip(new, range(len(table), len(table) + len(new))))
+                    table = np.concatenate([table, model.log_likelihoods(new)])
                 for words in chunk:
-                    out.append(_measure(np.array([known[w] for w in words])))
+                    out.append(_measure(table[np.fromiter(map(known.__getitem__, words), np.int64, len(words))]))
                 chunk.clear()
                 if len(known) > CACHE_WORDS:
                     known.clear()
+                    table = table[:0]
 
             for text in texts:
                 words = _WORD.findall(text.lower()) if text else []
