@@ -125,7 +125,7 @@ class BoostedTreesParams:
     min_rows_per_leaf: int = 20
     max_bins: int = 32
     seed: int = 42
-    early_stopping: bool = True
+    early_stopping: bool = False  # True: stop at the first tree that doesn't lower the validation loss
 
 
 @dataclass(frozen=True)

@@ -21,17 +21,18 @@ def score_points(probability: Column, scale: ScoreScale = ScoreScale()) -> Colum
     return F.least(F.greatest(points, F.lit(float(scale.low))), F.lit(float(scale.high))).cast("int")
 
 
-def _by_band(points: Column, column: int) -> Column:
+def _by_band(points: Column, column: int, scale: ScoreScale) -> Column:
+    """Entry of the band that holds ``points``. The outer bands reach to the ends of the scale."""
     chain = None
-    for entry in SCORE_BANDS:
+    for entry in SCORE_BANDS[:-1]:
         upper, value = entry[0], entry[column]
         chain = F.when(points <= upper, value) if chain is None else chain.when(points <= upper, value)
-    return F.when(points.between(ScoreScale.low, ScoreScale.high), chain)
+    return F.when(points.between(scale.low, scale.high), chain.otherwise(SCORE_BANDS[-1][column]))
 
 
-def score_band(points: Column) -> Column:
-    return _by_band(points, 1)
+def score_band(points: Column, scale: ScoreScale = ScoreScale()) -> Column:
+    return _by_band(points, 1, scale)
 
 
-def risk_label(points: Column) -> Column:
-    return _by_band(points, 2)
+def risk_label(points: Column, scale: ScoreScale = ScoreScale()) -> Column:
+    return _by_band(points, 2, scale)

@@ -15,8 +15,6 @@ from arrearscope.config import (
 )
 from arrearscope.functions import cleaning as c
 
-ROWS_PER_LOAN_LIMIT = 10_000  # far above any monthly history, far below what a task can hold
-
 _ORIGINATION_NUMBERS = (
     "CREDIT_SCORE", "ORIG_CLTV", "ORIG_DTI", "ORIG_LOAN_TERM",
     "MI_PCT", "ORIG_UPB", "ORIG_LTV", "ORIG_INTEREST_RATE",
@@ -73,47 +71,20 @@ def clean_servicing(raw: DataFrame) -> DataFrame:
 
 
 def one_row_per_month(panel: DataFrame, loan: str = LOAN, month: str = MONTH) -> DataFrame:
-    """One row per (loan, month): of several, the greatest by all other columns.
+    """One row per (loan, month): of several, the greatest by all other columns. Rows without a month all stay.
 
     Row-based windows have no defined order among repeated months, and a loan that is
-    repeated without limit would not fit one task. Repeats are combined before the
-    shuffle, so afterwards a loan has at most one row per calendar month, whatever
-    share of the input it held.
-    """
-    rest = [name for name in panel.columns if name not in (loan, month)]
-    return (
-        panel.groupBy(loan, month)
-        .agg(F.max(F.struct(*rest)).alias("_row"))
-        .select(*[F.col(name) if name in (loan, month) else F.col(f"_row.{name}").alias(name)
-                  for name in panel.columns])
-    )
-
-
-def one_row_per_month_in_loan(panel: DataFrame, loan: str = LOAN, month: str = MONTH) -> DataFrame:
-    """Same result as :func:`one_row_per_month` for loans of bounded length.
-
-    The rows are moved once, by loan, and sorted once, by loan and month; panel windows on
-    the result need no further exchange or sort.
+    repeated without limit would not fit one task. The repeats are limited to one before
+    the shuffle as well as after it, and the shuffle is by loan and month, so no loan, whatever
+    share of the input it holds, meets in one task before it is down to a row for each month.
     """
     rest = [name for name in panel.columns if name not in (loan, month)]
     repeats = Window.partitionBy(loan, month).orderBy(*[F.desc(name) for name in rest])
-    return (
-        panel.repartition(F.col(loan))
+    dated = (
+        panel.filter(F.col(month).isNotNull())
         .withColumn("_repeat", F.row_number().over(repeats))
         .filter(F.col("_repeat") == 1)
         .drop("_repeat")
     )
+    return dated.unionByName(panel.filter(F.col(month).isNull()))
 
-
-def longest_history(panel: DataFrame, loan: str = LOAN) -> int:
-    """Most rows that one loan has. Reads the key column only and combines before the shuffle."""
-    return panel.groupBy(loan).count().agg(F.max("count")).first()[0] or 0
-
-
-def collapse_months(
-    panel: DataFrame, loan: str = LOAN, month: str = MONTH, row_limit: int = ROWS_PER_LOAN_LIMIT
-) -> DataFrame:
-    """One row per (loan, month), the cheap way if no loan has more than ``row_limit`` rows."""
-    if longest_history(panel, loan) <= row_limit:
-        return one_row_per_month_in_loan(panel, loan, month)
-    return one_row_per_month(panel, loan, month)

@@ -301,3 +301,9 @@ def ensemble_weights(metrics: DataFrame, groups: Sequence[str] = ("split",)) ->
     return metrics.select(
         *groups, "model", (F.col("auc_roc") / F.sum("auc_roc").over(whole)).alias("weight")
     )
+
+
+def soft_vote(scored: DataFrame, weights: DataFrame, keys: Sequence[str], group: str = "split") -> DataFrame:
+    """Mean of the models' ``p`` for each row of ``keys``, weighted by ``weights`` (group, model, weight: one row a model)."""
+    weighted = scored.join(weights.select(group, "model", "weight"), [group, "model"])
+    return weighted.groupBy(*keys).agg((F.sum(F.col("p") * F.col("weight")) / F.sum("weight")).alias("p"))

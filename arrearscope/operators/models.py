@@ -9,20 +9,19 @@ from dataclasses import dataclass, field
 from pyspark import StorageLevel
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
-from pyspark.ml.feature import SQLTransformer, StandardScaler, StringIndexer, VectorAssembler
+from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from arrearscope.config import LOAN, TARGET, BoostedTreesParams, RiskConfig
-from arrearscope.operators.encode import MISSING, UNSEEN
+from arrearscope.operators.encode import apply_codes, fit_codes
 from arrearscope.operators.metrics import ranking_metrics, score_curve
 from arrearscope.sources.storage import use_checkpoints
 
 logger = logging.getLogger(__name__)
 
 ENSEMBLE = "ensemble"
-MAX_CATEGORIES = 10_000  # the encoder keeps its category lists on the driver
 ROWS_PER_PARTITION = 50_000
 
 
@@ -40,9 +39,31 @@ class TrainingStats:
         return self.n_neg + self.n_pos * self.imbalance_ratio
 
 
+@dataclass
+class Features:
+    """Encoder and assembler: numeric columns, then ordinal codes of the categories.
+
+    Missing numbers become -1. Categories are numbered alphabetically on the training
+    rows; a category they do not contain becomes -1. ``codes`` is a table, whatever its size.
+    """
+
+    codes: DataFrame
+    numeric: list[str]
+    categorical: list[str]
+
+    def transform(self, df: DataFrame) -> DataFrame:
+        """``df`` with ``features``; its own columns stay as they are."""
+        copies = {f"_code_{name}": F.col(name) for name in self.categorical}
+        codes = self.codes.withColumn("column", F.concat(F.lit("_code_"), "column"))
+        filled = {f"_num_{name}": F.coalesce(F.col(name).cast("double"), F.lit(-1.0)) for name in self.numeric}
+        coded = apply_codes(df.withColumns(copies | filled), codes, list(copies))
+        assembled = VectorAssembler(inputCols=[*filled, *copies], outputCol="features").transform(coded)
+        return assembled.drop(*filled, *copies)
+
+
 @dataclass
 class TrainedModels:
-    features: PipelineModel
+    features: Features
     feature_names: list[str]
     models: dict[str, PipelineModel] = field(default_factory=dict)
     validation_auc: dict[str, float] = field(default_factory=dict)
@@ -58,47 +79,17 @@ def present_features(df: DataFrame, config: RiskConfig = RiskConfig()) -> tuple[
     )
 
 
-def training_stats(train: DataFrame, categorical: Sequence[str], target: str = TARGET) -> TrainingStats:
-    """Class counts in one aggregate, which also checks how many categories there are."""
+def training_stats(train: DataFrame, target: str = TARGET) -> TrainingStats:
+    """Class counts in one aggregate."""
     row = train.agg(
         F.count(F.when(F.col(target) == 0, 1)).alias("n_neg"),
         F.count(F.when(F.col(target) == 1, 1)).alias("n_pos"),
-        *[F.approx_count_distinct(name).alias(f"_{name}") for name in categorical],
     ).first()
-    for name in categorical:
-        if row[f"_{name}"] > MAX_CATEGORIES:
-            raise ValueError(f"{name} has about {row[f'_{name}']} categories, more than {MAX_CATEGORIES}")
     return TrainingStats(row["n_neg"], row["n_pos"])
 
 
-def fit_features(train: DataFrame, numeric: Sequence[str], categorical: Sequence[str]) -> PipelineModel:
-    """Encoder and assembler: numeric columns, then ordinal codes of the categories.
-
-    Missing numbers become -1. Categories are numbered alphabetically on the training
-    rows; a category they do not contain becomes -1.
-    """
-    text = [f"coalesce(cast(`{name}` as string), '{MISSING}') AS `_text_{name}`" for name in categorical]
-    as_text = SQLTransformer(statement="SELECT " + ", ".join(["*", *text]) + " FROM __THIS__")
-    stages = [as_text]
-    codes = []
-    if categorical:
-        indexer = StringIndexer(
-            inputCols=[f"_text_{name}" for name in categorical],
-            outputCols=[f"_index_{name}" for name in categorical],
-            stringOrderType="alphabetAsc",
-            handleInvalid="keep",
-        ).fit(as_text.transform(train))
-        stages.append(indexer)
-        for name, labels in zip(categorical, indexer.labelsArray):
-            known = f"`_index_{name}` < {len(labels)}"
-            codes.append(f"CASE WHEN {known} THEN `_index_{name}` ELSE {float(UNSEEN)}D END AS `_code_{name}`")
-    filled = [f"coalesce(cast(`{name}` as double), -1D) AS `_num_{name}`" for name in numeric]
-    stages.append(SQLTransformer(statement="SELECT " + ", ".join(["*", *filled, *codes]) + " FROM __THIS__"))
-    stages.append(VectorAssembler(
-        inputCols=[f"_num_{name}" for name in numeric] + [f"_code_{name}" for name in categorical],
-        outputCol="features",
-    ))
-    return PipelineModel(stages)
+def fit_features(train: DataFrame, numeric: Sequence[str], categorical: Sequence[str]) -> Features:
+    return Features(fit_codes(train, categorical), list(numeric), list(categorical))
 
 
 def _named(learner, name: str):
@@ -193,7 +184,7 @@ def train_all(
     use_checkpoints(rows.sparkSession)
     numeric, categorical = present_features(rows, config)
     train = rows.filter(~F.col("is_validation"))
-    stats = training_stats(train, categorical, target)
+    stats = training_stats(train, target)
     features = fit_features(train, numeric, categorical)
     label = F.col(target).cast("double")
     weighted = features.transform(rows).select(
@@ -202,9 +193,8 @@ def train_all(
         F.when(label == 1, stats.imbalance_ratio).otherwise(1.0).alias("weight"),
         "is_validation",
     )
-    # every iteration is a pass over all partitions: no more of them than the rows are worth
-    partitions = (stats.n_neg + stats.n_pos) // ROWS_PER_PARTITION + 1
-    weighted = weighted.coalesce(partitions).persist(StorageLevel.MEMORY_AND_DISK)
+    partitions = max(rows.sparkSession.sparkContext.defaultParallelism, weighted.count() // ROWS_PER_PARTITION + 1)
+    weighted = weighted.repartition(partitions).persist(StorageLevel.MEMORY_AND_DISK)
     trained = TrainedModels(features, [*numeric, *categorical])
     try:
         for name, fit in learners(config).items():
@@ -305,7 +295,11 @@ def top_features(importances: DataFrame, model: str, n: int = 15) -> DataFrame:
 
 def save_models(spark: SparkSession, trained: TrainedModels, path: str) -> None:
     """Encoder, models, feature list and ensemble weights under one folder."""
-    trained.features.write().overwrite().save(f"{path}/features")
+    trained.features.codes.write.mode("overwrite").parquet(f"{path}/codes")
+    columns = [(i, kind, name) for kind, names in (("numeric", trained.features.numeric), ("categorical", trained.features.categorical))
+               for i, name in enumerate(names)]
+    spark.createDataFrame(columns, "position int, kind string, name string").coalesce(1).write.mode("overwrite").parquet(
+        f"{path}/columns")
     for name, model in trained.models.items():
         model.write().overwrite().save(f"{path}/{name}")
     names = [(i, name) for i, name in enumerate(trained.feature_names)]
@@ -320,8 +314,10 @@ def save_models(spark: SparkSession, trained: TrainedModels, path: str) -> None:
 def load_models(spark: SparkSession, path: str) -> TrainedModels:
     names = spark.read.parquet(f"{path}/feature_names").orderBy("position").collect()
     table = spark.read.parquet(f"{path}/models").orderBy("position").collect()  # one row per model
+    columns = spark.read.parquet(f"{path}/columns").orderBy("position").collect()
     return TrainedModels(
-        features=PipelineModel.load(f"{path}/features"),
+        features=Features(spark.read.parquet(f"{path}/codes"), *(
+            [row["name"] for row in columns if row["kind"] == kind] for kind in ("numeric", "categorical"))),
         feature_names=[row["feature"] for row in names],
         models={row["model"]: PipelineModel.load(f"{path}/{row['model']}") for row in table},
         validation_auc={row["model"]: row["auc"] for row in table if row["auc"] is not None},

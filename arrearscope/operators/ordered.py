@@ -13,6 +13,8 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from arrearscope.operators.joins import null_safe_join
+
 RANGE = "_range"
 MIN_RANGES = 64
 MAX_RANGES = 1024
@@ -50,7 +52,7 @@ def prefix_sums(
 
     The order is ``order`` (numeric), then ``ties`` ascending; together with ``groups``
     it should be unique per row. ``following`` columns also come back as ``next_<c>``
-    from the next row in that order. Group values must not be null.
+    from the next row in that order. A null group is a group.
     """
     groups = list(groups)
     ranged = Bucketizer(
@@ -81,7 +83,7 @@ def prefix_sums(
         {f"_sum_{name}": F.sum(name).over(running) for name in sums}
         | {f"_lead_{name}": F.lead(name).over(inside) for name in following}
     )
-    return inner.join(offsets, [*groups, RANGE]).select(
+    return null_safe_join(inner, offsets, [*groups, RANGE]).select(
         *rows.columns,
         *[(F.col(f"_before_{name}") + F.col(f"_sum_{name}")).alias(f"cum_{name}") for name in sums],
         *[F.col(f"total_{name}") for name in sums],

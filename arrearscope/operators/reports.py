@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from arrearscope.config import LOAN, SCORE_BANDS, ScoreScale
 from arrearscope.functions.scoring import risk_label, score_band, score_points
+from arrearscope.operators.joins import null_safe_join, small_side
 from arrearscope.operators.metrics import MODEL_SPLIT
 from arrearscope.operators.ordered import exact_quantiles, prefix_sums, range_edges
 
@@ -23,7 +24,7 @@ def add_scores(
 ) -> DataFrame:
     """Append the score and its ``risk_bucket``."""
     return df.withColumn(score, score_points(F.col(probability), scale)).withColumn(
-        "risk_bucket", risk_label(F.col(score))
+        "risk_bucket", risk_label(F.col(score), scale)
     )
 
 
@@ -53,7 +54,8 @@ def _with_every(table: DataFrame, groups: Sequence[str], key: str, values: Seque
 
 
 def score_distribution(
-    scored: DataFrame, groups: Sequence[str] = (), score: str = "score", label: str | None = "y"
+    scored: DataFrame, groups: Sequence[str] = (), score: str = "score", label: str | None = "y",
+    scale: ScoreScale = ScoreScale(),
 ) -> DataFrame:
     """Loans, mean/min/max score, default rate and share of every score band, empty bands included."""
     aggregates = [
@@ -71,7 +73,7 @@ def score_distribution(
     if label is not None:
         aggregates.append(F.bround(100.0 * F.avg(F.col(label).cast("double")), 2).alias("default_rate_pct"))
         empty["default_rate_pct"] = F.lit(None).cast("double")
-    banded = scored.withColumn("score_bucket", score_band(F.col(score)))
+    banded = scored.withColumn("score_bucket", score_band(F.col(score), scale))
     found = banded.groupBy(*groups, "score_bucket").agg(*aggregates)
     found = found.filter(F.col("score_bucket").isNotNull())
     table = _with_every(found, groups, "score_bucket", [name for _, name, _, _ in SCORE_BANDS], empty)
@@ -81,14 +83,14 @@ def score_distribution(
     )
 
 
-def _attach(rows: DataFrame, per_group: DataFrame, groups: Sequence[str]) -> DataFrame:
+def _attach(rows: DataFrame, per_group: DataFrame, groups: Sequence[str], how: str = "inner") -> DataFrame:
     """Columns of a table with one row per report group, next to every row.
 
-    The table is broadcast: a shuffle on so few keys would send each group to one task.
-    Without groups it is a single row and comes in as scalar subqueries.
+    A shuffle on few keys would send each group to one task, so the table is broadcast
+    after it was counted. Without groups it is a single row and comes in as scalar subqueries.
     """
     if groups:
-        return rows.join(F.broadcast(per_group), list(groups))
+        return null_safe_join(rows, small_side(per_group, "per-group"), list(groups), how)
     return rows.withColumns({name: per_group.select(name).scalar() for name in per_group.columns})
 
 
@@ -183,10 +185,11 @@ def ks_deciles(
     whole_blocks = placed.filter("_bin = _last_bin").select(
         *groups, F.col("_bin").alias("decile"), "_n", "_pos", score
     )
-    straddling = placed.filter("_bin < _last_bin").select(*block_keys, "_start", "total__n")
+    # at most bins - 1 rows per group
+    straddling = small_side(placed.filter("_bin < _last_bin").select(*block_keys, "_start", "total__n"), "straddling")
     inside = Window.partitionBy(*block_keys).orderBy("_digest", "_key")
     single_rows = (
-        rows.join(F.broadcast(straddling), block_keys)  # at most bins - 1 rows per group
+        null_safe_join(rows, straddling, block_keys)
         .withColumn("_rank", F.col("_start") + F.row_number().over(inside) - 1)
         .select(*groups, bin_of(F.col("_rank")).alias("decile"), F.lit(1).cast("bigint").alias("_n"),
                 F.col("_event").cast("bigint").alias("_pos"), score)
@@ -230,14 +233,15 @@ def psi_bins(
 ) -> DataFrame:
     """Share of expected and actual rows between the expected sample's quantiles.
 
-    The outer bins are open; shares are floored before the logarithm.
+    The outer bins are open; shares are floored before the logarithm. A group without expected
+    rows has no quantiles: its rows are all in the first bin and its contributions are null.
     """
     rows = scored.filter(F.col(split).isin(expected, actual) & F.col(value).isNotNull())
     names = {f"_q{i}": i / bins for i in range(1, bins)}
     cuts = exact_quantiles(rows.filter(F.col(split) == expected), value, names, groups, edges)
     # one plus the number of cut points below: a value on a cut point stays in the lower bin
     position = sum((F.coalesce(F.col(value) > F.col(name), F.lit(False)).cast("int") for name in names), F.lit(1))
-    per_bin = _attach(rows, cuts, groups).groupBy(*groups, position.alias("bin")).agg(
+    per_bin = _attach(rows, cuts, groups, "left").groupBy(*groups, position.alias("bin")).agg(
         F.sum((F.col(split) == expected).cast("int")).alias("n_expected"),
         F.sum((F.col(split) == actual).cast("int")).alias("n_actual"),
     )
@@ -255,8 +259,8 @@ def psi_bins(
         *groups, "bin", "n_expected", "n_actual", e.alias("share_expected"), a.alias("share_actual"),
     ).withColumn(
         "contribution",
-        (F.col("share_actual") - F.col("share_expected"))
-        * F.log(F.col("share_actual") / F.col("share_expected")),
+        F.when(F.sum("n_expected").over(whole) > 0, (F.col("share_actual") - F.col("share_expected"))
+               * F.log(F.col("share_actual") / F.col("share_expected"))),
     )
 
 
@@ -265,7 +269,7 @@ def psi(bins: DataFrame, groups: Sequence[str] = ("model",)) -> DataFrame:
     total = bins.groupBy(*groups).agg(F.sum("contribution").alias("psi"))
     return total.withColumn(
         "status",
-        F.when(F.col("psi") < 0.10, "STABLE").when(F.col("psi") < 0.25, "MODERATE SHIFT")
+        F.when(F.col("psi").isNull(), "NO EXPECTED ROWS").when(F.col("psi") < 0.10, "STABLE").when(F.col("psi") < 0.25, "MODERATE SHIFT")
         .otherwise("SIGNIFICANT SHIFT"),
     )
 

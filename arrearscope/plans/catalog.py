@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.ml.functions import vector_to_array
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from arrearscope.config import (
@@ -25,7 +26,7 @@ from arrearscope.plans.oracle import BEHAVIOUR
 from arrearscope.plans.scored import MODELS, scored_test
 from arrearscope.sources.raw_files import load_origination, load_servicing
 from arrearscope.sources.storage import scratch_path, stored
-from arrearscope.sources.tables import save_splits
+from arrearscope.sources.tables import load_table, materialize, save_report, save_splits, save_table, save_with_counts
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -113,6 +114,72 @@ def one_row_per_month(spark, folder):
     return clean.one_row_per_month(rows)
 
 
+@query
+def collapse_months(spark, folder):
+    """Noisy servicing rows, each with a lesser repeat: one row a month stays, rows without a month all stay."""
+    cleaned = clean.clean_servicing(testbed.raw_servicing(spark, folder))
+    again = cleaned.withColumn("CURR_ACTUAL_UPB", F.col("CURR_ACTUAL_UPB") / 2)
+    return clean.one_row_per_month(cleaned.unionByName(again))
+
+
+def _chain_snapshot(spark, folder):
+    """Raw text to labelled rows, as the flow does it; rows without a month have no place in time."""
+    svcg = clean.clean_servicing(testbed.raw_servicing(spark, folder))
+    return panel.snapshot(clean.one_row_per_month(svcg).filter(F.col(MONTH).isNotNull()))
+
+
+@query
+def flow_snapshot(spark, folder):
+    snap = _chain_snapshot(spark, folder).select(LOAN, MONTH, *BEHAVIOUR, TARGET)
+    return rounded(snap, 6, *[name for name in BEHAVIOUR if name.startswith("mean")])
+
+
+@query
+def flow_modeling(spark, folder):
+    """Raw text to the split modeling table."""
+    orig = clean.clean_origination(testbed.raw_origination(spark, folder))
+    table = splits.add_splits(features.modeling_table(_chain_snapshot(spark, folder), orig))
+    return rounded(table.select(LOAN, MONTH, TARGET, "split_oos", "split_oot", "credit_score_bucket", "max_delinq_12m",
+                                "loan_age_ratio", "rate_spread"), 6, "loan_age_ratio", "rate_spread")
+
+
+@query
+def yearly_files(spark, folder):
+    """Origination files of three years, of which a range takes two: row counts by vintage."""
+    raw = testbed.raw_origination(spark, folder)
+    raw_dir = scratch_path(spark, "raw-years")
+    for year in (1998, 1999, 2005):
+        part = raw.withColumn("SERVICER_NAME", F.lit(str(year)))
+        _raw_lines(part, ORIGINATION_LAYOUT).write.text(f"{raw_dir}/sample_orig_{year}.txt")
+    loaded = clean.clean_origination(load_origination(spark, raw_dir, 1999, 2012))
+    return loaded.groupBy("SERVICER_NAME", "orig_year").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query
+def saved_and_loaded(spark, folder):
+    """A table through every sink and back: parquet and CSV by format, written once, and as a report."""
+    table = testbed.origination(spark, folder).select(LOAN, "orig_year", "PROPERTY_STATE")
+    base = scratch_path(spark, "formats")
+    save_table(table, f"{base}/parquet")
+    save_table(table, f"{base}/csv", "csv")
+    save_report(table, f"{base}/report")
+    once = [materialize(spark, f"{base}/once", lambda: df) for df in (table, table.limit(0))][-1]
+    loaded = {"parquet": load_table(spark, f"{base}/parquet"), "csv": load_table(spark, f"{base}/csv", "csv"),
+              "report": load_table(spark, f"{base}/report", "csv"), "once": once}
+    parts = [df.select(F.lit(name).alias("sink"), LOAN, F.col("orig_year").cast("int").alias("orig_year"), "PROPERTY_STATE")
+             for name, df in loaded.items()]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2]).unionByName(parts[3])
+
+
+@query
+def stage_counts(spark, folder):
+    """Counts of the split table, taken while it is written."""
+    counts = save_with_counts(_split(spark, folder).select(LOAN, TARGET), scratch_path(spark, "counted"))
+    return spark.createDataFrame(
+        [(counts["n_loans"], counts["n_defaults"], counts["n_non_defaults"], counts["default_rate_pct"])],
+        "n_loans long, n_defaults long, n_non_defaults long, default_rate_pct double")
+
+
 # --- panel -------------------------------------------------------------------
 
 
@@ -482,6 +549,11 @@ def ks_decile(spark, folder):
     return rounded(table, 6, "default_rate", "cum_default_pct", "cum_non_default_pct", "ks")
 
 
+@query
+def max_ks(spark, folder):
+    return rounded(reports.max_ks(reports.ks_deciles(_scored(spark, folder))), 6, "max_ks")
+
+
 @query
 def psi_bins(spark, folder):
     table = reports.psi_bins(_scored(spark, folder))
@@ -538,12 +610,8 @@ def ensemble_scores(spark, folder):
     """Soft vote of the closed-form scores, weighted by each one's AUC share."""
     scored = _scored(spark, folder)
     weights = metrics.ensemble_weights(metrics.ranking_metrics(metrics.score_curve(scored)))
-    wide = weights.groupBy("split").pivot("model", list(MODELS)).agg(F.first("weight"))
-    wide = wide.select("split", *[F.col(name).alias(f"w_{name}") for name in MODELS])
-    by_loan = scored.groupBy("split", LOAN, "y").pivot("model", list(MODELS)).agg(F.first("p"))
-    vote = sum((F.col(name) * F.col(f"w_{name}") for name in MODELS[1:]), F.col(MODELS[0]) * F.col(f"w_{MODELS[0]}"))
-    voted = by_loan.join(F.broadcast(wide), "split")  # one row per split
-    return models.classify(voted.select("split", LOAN, "y", F.round(vote, 6).alias("p")), "p")
+    voted = metrics.soft_vote(scored, weights, ["split", LOAN, "y"])
+    return models.classify(voted.withColumn("p", F.round("p", 6)), "p")
 
 
 # --- training ----------------------------------------------------------------
@@ -554,9 +622,25 @@ def _train(spark, folder, only=None):
     return split, models.train_all(splits.training_frame(split), only=only)
 
 
+#: An AUC every learner must exceed on a test split (the trailing label shares its months with the features).
+AUC_FLOOR = 0.75
+
+
+def _checked(split: DataFrame, trained: models.TrainedModels) -> DataFrame:
+    """What is known about trained models without repeating the training, a row for each model and test split."""
+    scored = stored(models.score_splits(trained, split), "scored")
+    trees = {name: getattr(model.stages[-1], "getNumTrees", 0) for name, model in trained.models.items()}
+    grown = F.create_map(*(x for name in [*trees, models.ENSEMBLE] for x in (F.lit(name), F.lit(trees.get(name, 0)))))
+    outside = scored.groupBy("model", "split").agg(
+        F.count_if(~F.coalesce(F.col("p").between(0, 1), F.lit(False))).alias("n_outside"))
+    rated = metrics.metric_rows(scored).join(outside, ["model", "split"])
+    return rated.select(
+        "model", "split", "n_total", "n_positive", "default_rate_pct", "n_outside", grown[F.col("model")].alias("trees"),
+        (F.col("auc_roc") > AUC_FLOOR).cast("int").alias("auc_above_floor"))
+
+
 def _train_one(spark, folder, name: str) -> DataFrame:
-    split, trained = _train(spark, folder, [name])
-    return metrics.metric_rows(models.score_splits(trained, split))
+    return _checked(*_train(spark, folder, [name]))
 
 
 @query
@@ -581,12 +665,44 @@ def train_logistic_regression(spark, folder):
 
 @query
 def train_ensemble(spark, folder):
-    """All learners and their ensemble, compared on both test splits."""
-    split, trained = _train(spark, folder)
-    return metrics.comparison_table(metrics.metric_rows(models.score_splits(trained, split)))
+    """All learners and their ensemble on both test splits."""
+    return _checked(*_train(spark, folder))
+
+
+def _ranked(importances: DataFrame, top: int | None = None) -> DataFrame:
+    """Ranks with two checks: values fall, and all of a tree model's sum up to one."""
+    by_model = Window.partitionBy("model")  # one row a feature
+    order = by_model.orderBy(F.desc("importance"), "feature")
+    ranked = importances.select(
+        "model", F.row_number().over(order).alias("rank"),
+        F.coalesce(F.col("importance") <= F.lag("importance").over(order), F.lit(True)).cast("int").alias("falls"),
+        (F.abs(F.sum("importance").over(by_model) - 1) < 1e-6).cast("int").alias("sums_to_one"))
+    return ranked if top is None else ranked.filter(F.col("rank") <= top)
 
 
 @query
 def feature_importance_top15(spark, folder):
-    _, trained = _train(spark, folder, ["boosted_a"])
-    return models.top_features(models.feature_importances(spark, trained), "boosted_a")
+    _, trained = _train(spark, folder, ["random_forest"])
+    table = models.feature_importances(spark, trained)
+    assert models.top_features(table, "random_forest").count() == 15
+    return _ranked(table, 15)
+
+
+@query
+def linear_coefficients(spark, folder):
+    _, trained = _train(spark, folder, ["logistic_regression"])
+    table = models.feature_importances(spark, trained)
+    ranked = _ranked(table).drop("sums_to_one")
+    wrong = table.filter(F.coalesce("importance", F.lit(-1.0)) != F.abs("coefficient")).groupBy("model").agg(
+        F.count(F.lit(1)).alias("n_wrong"))
+    return ranked.join(wrong, "model", "left").withColumn("n_wrong", F.coalesce("n_wrong", F.lit(0).cast("long")))
+
+
+@query
+def assembled_features(spark, folder):
+    """The feature vector's last places: ordinal codes as training uses them."""
+    table = stored(_modeling(spark, folder), "modeling")
+    fitted = models.fit_features(table, [], list(CATEGORICAL_FEATURES))
+    place = CATEGORICAL_FEATURES.index("credit_score_bucket")
+    return fitted.transform(table).select(
+        LOAN, "credit_score_bucket", vector_to_array("features")[place].cast("int").alias("code"))

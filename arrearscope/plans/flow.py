@@ -46,7 +46,7 @@ def targets(
     def build() -> DataFrame:
         # unused text columns would only make the rows that are shuffled wider
         svcg = load_table(spark, paths.of("servicing")).drop("MONTHLY_RPT_PRD", "ZERO_BAL_EFF_DATE", "MOD_FLAG")
-        return panel.snapshot(clean.collapse_months(svcg), config, direction)
+        return panel.snapshot(clean.one_row_per_month(svcg), config, direction)
 
     return materialize(spark, paths.of(f"snapshot_{direction}"), build)
 

@@ -14,19 +14,22 @@ CTES = {
    CAST(max(l_quantity) AS INTEGER) AS q, max(l_extendedprice) AS upb,
    max(l_discount) AS disc, max(l_returnflag) AS rf
  FROM lineitem GROUP BY l_partkey, year(l_shipdate)*12+month(l_shipdate)""",
+    # the months of a key after the first 4 + key % 30 are those of a second loan
     "numbered": """
- SELECT months.*, row_number() OVER (PARTITION BY key ORDER BY month_idx) AS rn FROM months""",
+ SELECT months.*, CAST(key AS VARCHAR) || CASE WHEN nth > 4 + key % 30 THEN '-b' ELSE '' END AS loan
+ FROM (SELECT months.*, row_number() OVER (PARTITION BY key ORDER BY month_idx) AS nth FROM months) months""",
     "history": """
- SELECT numbered.*, max(rn) OVER (PARTITION BY key) AS n, min(month_idx) OVER (PARTITION BY key) AS m0,
+ SELECT numbered.*, row_number() OVER (PARTITION BY loan ORDER BY month_idx) AS rn,
+   count(*) OVER (PARTITION BY loan) AS n, min(month_idx) OVER (PARTITION BY loan) AS m0,
    CASE WHEN q<=38 THEN '0' WHEN q<=44 THEN '1' WHEN q<=47 THEN '2' WHEN q=48 AND rf='N' THEN '3'
      WHEN q=49 AND rf='R' THEN 'RA' WHEN q=50 THEN 'XX' WHEN q=49 AND rf='N' THEN '25' ELSE '0' END AS status,
    CASE WHEN rf='A' AND q%5=0 THEN 'Y' WHEN rf='A' AND q%7=0 THEN 'P' ELSE '' END AS mod_flag
- FROM numbered WHERE rn <= 4 + key % 30""",
+ FROM numbered""",
     "zeroed": """
  SELECT history.*, CASE WHEN rn=n AND key%5=0 THEN '01' WHEN rn=n AND key%17=0 THEN '03' END AS zbc
  FROM history""",
     "svcg": """
- SELECT CAST(key AS VARCHAR) AS loan, month_idx, status,
+ SELECT loan, month_idx, status,
    CASE WHEN status='RA' THEN 90.0::DOUBLE WHEN regexp_full_match(status, '[0-9]+') THEN TRY_CAST(status AS DOUBLE) END AS num,
    zbc, mod_flag, CASE WHEN mod_flag IN ('Y','P') THEN 1 ELSE 0 END AS modified,
    upb, CAST(month_idx-m0 AS DOUBLE) AS age, CAST(360-(month_idx-m0) AS DOUBLE) AS remaining,
@@ -73,7 +76,7 @@ CTES = {
     "snap": """
  SELECT * FROM labelled WHERE rev = 1 AND seq > 6""",
     "dirty": """
- SELECT p_partkey AS key, CAST(p_partkey AS VARCHAR) AS loan,
+ SELECT p_partkey AS key, CAST(p_partkey AS VARCHAR) || suffix AS loan,
    CAST(CASE WHEN p_partkey%41=0 THEN 9999 ELSE 290+(p_partkey*7919)%571 END AS DOUBLE) AS s_score,
    CAST(CASE WHEN p_partkey%37=0 THEN 999 ELSE (p_partkey*31)%60 END AS DOUBLE) AS s_mi,
    CAST(CASE WHEN p_partkey%43=0 THEN 999 ELSE 40+(p_partkey*13)%80 END AS DOUBLE) AS s_ltv,
@@ -84,7 +87,7 @@ CTES = {
    CAST(CASE WHEN p_partkey%3=0 THEN 180 ELSE 360 END AS DOUBLE) AS term,
    CASE WHEN p_partkey%11=0 THEN 'Y' ELSE 'N' END AS ppm, upper(trim(p_brand)) AS state,
    CAST(1999+p_partkey%22 AS INTEGER) AS orig_year
- FROM part""",
+ FROM part, (VALUES (''), ('-b')) loans(suffix)""",
     "orig": """
  SELECT key, loan, orig_upb, orig_rate, term, ppm, state, orig_year,
    CASE WHEN s_score BETWEEN 300 AND 850 THEN s_score END AS score,
@@ -212,12 +215,12 @@ CTES = {
    CAST(3+p_partkey%5 AS VARCHAR) || '.25' AS rate,
    CASE WHEN p_partkey%11=0 THEN ' y ' ELSE 'n' END AS ppm,
    lower(CASE WHEN p_partkey%9=0 THEN ' ' || p_brand || ' ' ELSE p_brand END) AS state,
-   CASE WHEN p_partkey%97=0 THEN '  ' WHEN p_partkey%17=0 THEN ' ' || p_partkey || ' ' ELSE CAST(p_partkey AS VARCHAR) END AS loan,
+   CASE WHEN p_partkey%97=0 THEN '  ' WHEN p_partkey%17=0 THEN ' ' || p_partkey || suffix || ' ' ELSE p_partkey || suffix END AS loan,
    CASE WHEN p_partkey%3=0 THEN '180' ELSE '360' END AS term,
    CASE WHEN p_partkey%23=0 THEN '' ELSE ' servicer ' || CAST(p_partkey%4 AS VARCHAR) END AS servicer
- FROM (SELECT *, CAST(1999+p_partkey%22 AS VARCHAR) AS yr, lpad(CAST(1+p_partkey%12 AS VARCHAR), 2, '0') AS mo FROM part)""",
+ FROM (SELECT *, CAST(1999+p_partkey%22 AS VARCHAR) AS yr, lpad(CAST(1+p_partkey%12 AS VARCHAR), 2, '0') AS mo FROM part, (VALUES (''), ('-b')) loans(suffix))""",
     "raw_svcg": """
- SELECT CASE WHEN key%97=0 THEN '' WHEN key%17=0 THEN ' ' || key || ' ' ELSE CAST(key AS VARCHAR) END AS loan,
+ SELECT CASE WHEN key%97=0 THEN '' WHEN key%17=0 THEN ' ' || loan || ' ' ELSE loan END AS loan,
    CASE WHEN mixed=0 THEN '' WHEN mixed=1 THEN yr WHEN mixed=2 THEN yr || 'ab'
      WHEN key%5=0 THEN ' ' || yr || mo || ' ' ELSE yr || mo END AS period,
    CASE WHEN mixed=3 THEN '' WHEN mixed=4 THEN 'unknown' ELSE CAST(CAST(floor(upb) AS BIGINT) AS VARCHAR) END AS upb,
@@ -244,12 +247,14 @@ _NEEDS = {
 }
 
 
-def sql(body: str, *tables: str) -> str:
-    """``body`` behind the common tables it names and what those need."""
+def sql(body: str, *tables: str, instead: dict[str, tuple[str, list[str]]] | None = None) -> str:
+    """``body`` behind the common tables it names and what those need; ``instead`` puts others in the place of some."""
     ordered: list[str] = []
+    needs = _NEEDS | {name: needed for name, (_, needed) in (instead or {}).items()}
+    bodies = CTES | {name: text for name, (text, _) in (instead or {}).items()}
 
     def add(name: str) -> None:
-        for needed in _NEEDS.get(name, []):
+        for needed in needs.get(name, []):
             add(needed)
         if name not in ordered:
             ordered.append(name)
@@ -258,7 +263,7 @@ def sql(body: str, *tables: str) -> str:
         add(name)
     if not ordered:
         return body.strip()
-    parts = ",\n".join(f"{name} AS ({CTES[name].strip()})" for name in ordered)
+    parts = ",\n".join(f"{name} AS ({bodies[name].strip()})" for name in ordered)
     return f"WITH {parts}\n{body.strip()}"
 
 
@@ -294,6 +299,19 @@ SELECT *, rpt_year*12+rpt_month AS month_idx FROM (
   CASE WHEN trim(upper(mod_flag)) IN ('Y','P') THEN 1 ELSE 0 END AS MODIFIED
  FROM raw_svcg) WHERE LOAN_SEQUENCE_NUMBER <> ''"""
 
+# the common tables behind raw text instead of the typed ones
+_CHAIN = {
+    "raw_clean": ("SELECT * FROM clean_rows", ["clean_rows"]),
+    "svcg": ("""
+ SELECT LOAN_SEQUENCE_NUMBER AS loan, month_idx, DLQCY_STATUS AS status, DLQCY_STATUS_NUM AS num, ZERO_BAL_CD AS zbc,
+   MODIFIED AS modified, CURR_ACTUAL_UPB AS upb, LOAN_AGE AS age, REM_MONTHS_MATURITY AS remaining, CURR_INTEREST_RATE AS rate
+ FROM clean_rows WHERE month_idx IS NOT NULL""", ["clean_rows"]),
+    "orig": ("""
+ SELECT LOAN_SEQUENCE_NUMBER AS loan, ORIG_UPB AS orig_upb, ORIG_INTEREST_RATE AS orig_rate, ORIG_LOAN_TERM AS term,
+   PPM_FLAG AS ppm, PROPERTY_STATE AS state, orig_year, CREDIT_SCORE AS score, MI_PCT AS mi, ORIG_CLTV AS cltv, ORIG_DTI AS dti,
+   ORIG_LTV AS ltv FROM clean_orig""", ["clean_orig"]),
+}
+
 # the CSV reader turns empty fields into nulls
 _FROM_FILE = {
     "first": "trim(nullif(first_pay, ''))", "servicer": "trim(nullif(servicer, ''))", "period": "trim(nullif(period, ''))",
@@ -420,6 +438,38 @@ SELECT LOAN_SEQUENCE_NUMBER, month_idx, l_quantity, l_extendedprice, l_discount,
   row_number() OVER (PARTITION BY l_partkey, year(l_shipdate)*12+month(l_shipdate)
    ORDER BY l_quantity DESC, l_extendedprice DESC, l_discount DESC, l_returnflag DESC) AS rn
  FROM lineitem) WHERE rn = 1""".strip()
+    chain = _CHAIN | {"clean_rows": (_CLEAN_SVCG.format(**_FROM_TABLE), ["raw_svcg"]),
+                      "clean_orig": (_CLEAN_ORIG.format(**_FROM_TABLE), ["raw_orig"])}
+    # the test rows repeat every row with half the balance: the whole one is greater, equal ones are one
+    q["collapse_months"] = sql("""
+SELECT * FROM clean_rows
+UNION ALL SELECT * REPLACE (CURR_ACTUAL_UPB / 2 AS CURR_ACTUAL_UPB) FROM clean_rows WHERE month_idx IS NULL""", "clean_rows", instead=chain)
+    q["flow_snapshot"] = sql(f"SELECT {_K}, {_select_behaviour()}, label_back AS TARGET_12M FROM snap", "snap", instead=chain)
+    q["flow_modeling"] = sql(f"""
+SELECT {_K}, y AS TARGET_12M, split_oos, split_oot, credit_score_bucket, max_delinq_12m,
+ round(coalesce(loan_age_ratio, -1), 6) AS loan_age_ratio, round(coalesce(rate_spread, -1), 6) AS rate_spread FROM split""", "split", instead=chain)
+    q["yearly_files"] = sql("""
+SELECT CAST(year AS VARCHAR) AS SERVICER_NAME, orig_year, count(*) AS n
+FROM clean_orig, (VALUES (1999), (2005)) years(year) GROUP BY ALL""", "clean_orig", instead=chain)
+    q["saved_and_loaded"] = sql(f"""
+SELECT sink, {_L}, orig_year, state AS PROPERTY_STATE FROM orig, (VALUES ('parquet'), ('csv'), ('report'), ('once')) sinks(sink)""", "orig")
+    q["stage_counts"] = sql("""
+SELECT count(*) AS n_loans, CAST(sum(y) AS BIGINT) AS n_defaults, CAST(sum(1 - y) AS BIGINT) AS n_non_defaults,
+ round(100.0::DOUBLE * sum(y) / count(*), 2) AS default_rate_pct FROM split""", "split")
+    q["max_ks"] = f"SELECT model, split, max(ks) AS max_ks, arg_max(decile, (ks, -decile)) AS decile FROM ({sql(_DECILES, 'scored')}) GROUP BY ALL"
+    trained = """
+SELECT model, split, count(*) AS n_total, CAST(sum(y) AS BIGINT) AS n_positive, round_even(100.0::DOUBLE*sum(y)/count(*), 2) AS default_rate_pct,
+ CAST(0 AS BIGINT) AS n_outside, trees, 1 AS auc_above_floor FROM parts, (VALUES {learners}) learners(model, trees) GROUP BY ALL"""
+    learners = {"boosted_a": 300, "boosted_b": 300, "random_forest": 200, "logistic_regression": 0, "ensemble": 0}
+    for name in [*learners][:-1]:
+        q[f"train_{name}"] = sql(trained.format(learners=f"('{name}', {learners[name]})"), "parts")
+    q["train_ensemble"] = sql(trained.format(learners=", ".join(f"('{n}', {k})" for n, k in learners.items())), "parts")
+    q["feature_importance_top15"] = """
+SELECT 'random_forest' AS model, CAST(rank AS INTEGER) AS rank, 1 AS falls, 1 AS sums_to_one FROM range(1, 16) ranks(rank)"""
+    q["linear_coefficients"] = """
+SELECT 'logistic_regression' AS model, CAST(rank AS INTEGER) AS rank, 1 AS falls, CAST(0 AS BIGINT) AS n_wrong FROM range(1, 49) ranks(rank)"""
+    q["assembled_features"] = sql(f"""
+SELECT {_L}, credit_score_bucket, CAST(dense_rank() OVER (ORDER BY credit_score_bucket) - 1 AS INTEGER) AS code FROM joined""", "joined")
     q["event_flags"] = sql(f"""
 SELECT {_K}, serious AS IS_90DPD, loss AS IS_ZBC_LOSS, prepay AS IS_PREPAY, event AS IS_DEFAULT_EVENT FROM flags""", "flags")
     for name, columns in _ROLLED.items():

@@ -43,23 +43,33 @@ def _months(spark: SparkSession, folder: str) -> DataFrame:
             # a one-letter flag: its code keeps this a hash aggregate
             F.char(F.max(F.ascii("l_returnflag"))).alias("rf"),
         )
-        .withColumn(LOAN, F.col("key").cast("string"))
     )
 
 
 def _history(spark: SparkSession, folder: str) -> DataFrame:
-    """The first ``4 + key % 30`` months of every loan, with ``rn`` of ``n`` and first month ``m0``."""
-    loan = Window.partitionBy(LOAN)
-    length = F.least(F.count(F.lit(1)).over(loan), 4 + F.col("key") % 30)
-    return (
-        _months(spark, folder)
-        .withColumns({
-            "rn": F.row_number().over(loan.orderBy(MONTH)),
-            "n": length,
-            "m0": F.min(MONTH).over(loan),
-        })
-        .filter(F.col("rn") <= F.col("n"))
-    )
+    """All months, with loan, ``rn`` of ``n`` and first month ``m0``.
+
+    Histories of different lengths come from dealing the months of a key to two loans: the first
+    ``4 + key % 30`` to the loan named by the key, all later ones to a second loan ``<key>-b``.
+    """
+    whole = Window.partitionBy("key")
+    cut = 4 + F.col("key") % 30
+    later = F.col("_nth") > cut
+    total = F.count(F.lit(1)).over(whole)
+    numbered = _months(spark, folder).withColumns({
+        "_nth": F.row_number().over(whole.orderBy(MONTH)).cast("long"), "_total": total})
+    return numbered.withColumns({
+        LOAN: F.concat(F.col("key").cast("string"), F.when(later, "-b").otherwise("")),
+        "rn": F.when(later, F.col("_nth") - cut).otherwise(F.col("_nth")),
+        "n": F.when(later, F.col("_total") - cut).otherwise(F.least("_total", cut)),
+        "m0": F.when(later, F.min(F.when(later, F.col(MONTH))).over(whole)).otherwise(F.min(MONTH).over(whole)),
+    }).drop("_nth", "_total")
+
+
+def _both_loans(part: DataFrame, key: str) -> DataFrame:
+    """``part`` with one row for each of a key's two loans."""
+    return part.withColumn(LOAN, F.explode(F.array(
+        F.col(key).cast("string"), F.concat(F.col(key).cast("string"), F.lit("-b")))))
 
 
 def _status() -> Column:
@@ -107,8 +117,8 @@ def _every(step: int, sentinel: int, otherwise) -> Column:
 def origination_with_sentinels(spark: SparkSession, folder: str) -> DataFrame:
     """Static loan attributes that still hold their sentinel values."""
     key = F.col("p_partkey")
-    return table(spark, folder, "part").select(
-        key.cast("string").alias(LOAN),
+    return _both_loans(table(spark, folder, "part"), "p_partkey").select(
+        LOAN,
         _every(41, 9999, 290 + (key * 7919) % 571).alias("CREDIT_SCORE"),
         _every(37, 999, (key * 31) % 60).alias("MI_PCT"),
         _every(43, 999, 40 + (key * 13) % 80).alias("ORIG_LTV"),
@@ -140,7 +150,8 @@ def raw_origination(spark: SparkSession, folder: str) -> DataFrame:
     key = F.col("key")
     year = (1999 + key % 22).cast("string")
     month = F.lpad((1 + key % 12).cast("string"), 2, "0")
-    text = table(spark, folder, "part").select(F.col("p_partkey").alias("key"), "p_brand", "p_retailprice")
+    text = _both_loans(
+        table(spark, folder, "part").select(F.col("p_partkey").alias("key"), "p_brand", "p_retailprice"), "key")
 
     def blank(step: int, value: Column) -> Column:
         return F.when(key % step == 0, "").otherwise(value.cast("string"))
@@ -159,7 +170,7 @@ def raw_origination(spark: SparkSession, folder: str) -> DataFrame:
         F.concat((3 + key % 5).cast("string"), F.lit(".25")).alias("ORIG_INTEREST_RATE"),
         F.when(key % 11 == 0, " y ").otherwise("n").alias("PPM_FLAG"),
         F.lower(_padded(F.col("p_brand"), 9)).alias("PROPERTY_STATE"),
-        F.when(key % 97 == 0, "  ").otherwise(_padded(key.cast("string"), 17)).alias(LOAN),
+        F.when(key % 97 == 0, "  ").otherwise(_padded(F.col(LOAN), 17)).alias(LOAN),
         F.when(key % 3 == 0, "180").otherwise("360").alias("ORIG_LOAN_TERM"),
         F.when(key % 23 == 0, "").otherwise(F.concat(F.lit(" servicer "), (key % 4).cast("string")))
         .alias("SERVICER_NAME"),
@@ -175,7 +186,7 @@ def raw_servicing(spark: SparkSession, folder: str) -> DataFrame:
     mixed = (key + month_idx) % 61
     age = month_idx - F.col("m0")
     return _history(spark, folder).select(
-        F.when(key % 97 == 0, "").otherwise(_padded(key.cast("string"), 17)).alias(LOAN),
+        F.when(key % 97 == 0, "").otherwise(_padded(F.col(LOAN), 17)).alias(LOAN),
         F.when(mixed == 0, "").when(mixed == 1, year.cast("string")).when(mixed == 2, F.concat(year, F.lit("ab")))
         .otherwise(_padded(yyyymm, 5)).alias("MONTHLY_RPT_PRD"),
         F.when(mixed == 3, "").when(mixed == 4, "unknown")

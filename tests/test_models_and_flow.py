@@ -13,7 +13,7 @@ from arrearscope.config import (
     LogisticParams,
     RiskConfig,
 )
-from arrearscope.operators import features, metrics, models, panel, splits
+from arrearscope.operators import encode, features, metrics, models, panel, splits
 from arrearscope.plans import flow, testbed
 from arrearscope.plans.catalog import _raw_lines
 from arrearscope.sources.storage import stored
@@ -104,11 +104,21 @@ def test_one_failing_learner_is_left_out(split):
     assert result.weights == {}
 
 
-def test_too_many_categories_are_refused(spark, monkeypatch):
-    monkeypatch.setattr(models, "MAX_CATEGORIES", 2)
-    frame = spark.createDataFrame([(str(i), i % 2) for i in range(10)], f"c string, {TARGET} int")
-    with pytest.raises(ValueError, match="categories"):
-        models.training_stats(frame, ["c"])
+def test_wide_column_is_encoded_without_touching_narrow_ones(spark, monkeypatch):
+    monkeypatch.setattr(encode, "BROADCAST_CODES", 100)
+    frame = stored(spark.createDataFrame([(str(i), "ab"[i % 2]) for i in range(5000)], "wide string, narrow string"), "t")
+    codes = encode.fit_codes(frame, ["wide", "narrow"])
+    assert [r["code"] for r in codes.filter("column = 'wide'").orderBy("category").collect()] == list(range(5000))
+    plan = encode.apply_codes(frame, codes, ["wide", "narrow"])._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("BroadcastHashJoin") == 1
+
+
+def test_all_trees_are_grown_by_default(split):
+    params = RiskConfig().boosted_a
+    assert params.trees == 300 and not params.early_stopping and not RiskConfig().boosted_b.early_stopping
+    small = replace(FAST, boosted_b=replace(RiskConfig().boosted_b, trees=40, depth=2))
+    result = models.train_all(splits.training_frame(split), small, only=["boosted_b"])
+    assert result.models["boosted_b"].stages[-1].getNumTrees == 40
 
 
 def test_whole_flow_from_raw_files(spark, tmp_path):

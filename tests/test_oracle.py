@@ -14,12 +14,13 @@ def duck(small):
     return connect(small)
 
 
-def test_every_statement_has_a_query():
+#: Queries whose SQL would be a second implementation: learnt models, signatures, graphs, packing.
+WITHOUT_SQL = ("op1_", "op3_", "op5_", "op6_", "op7_", "op8_", "op9_", "op10_", "pipeline")
+
+
+def test_every_query_has_a_statement():
     assert set(SQL) <= set(QUERIES)
-    assert sorted(set(QUERIES) - set(SQL)) == [
-        "feature_importance_top15", "train_boosted_a", "train_boosted_b", "train_ensemble",
-        "train_logistic_regression", "train_random_forest",
-    ]
+    assert not [name for name in set(QUERIES) - set(SQL) if not name.startswith(WITHOUT_SQL)]
 
 
 @pytest.mark.parametrize("name", sorted(SQL))

@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from arrearscope.config import LOAN, MONTH, TARGET, RiskConfig
 from arrearscope.functions.cleaning import delinquency_level
+from arrearscope.plans import testbed
 from arrearscope.operators import clean, panel
 
 
@@ -91,15 +92,26 @@ def test_code_lists_come_from_the_config(spark):
     assert values(panel.add_event_flags(frame, wider), "IS_90DPD") == [1, 0]
 
 
-def test_both_ways_to_collapse_months_agree(spark):
-    rows = [Row(**{LOAN: f"l{i % 7}", MONTH: 1 + i % 5, "a": i % 3 if i % 4 else None, "b": str(i % 11)}) for i in range(400)]
+def test_months_are_collapsed_and_rows_without_one_stay(spark):
+    rows = [Row(**{LOAN: f"l{i % 7}", MONTH: 1 + i % 5 if i % 6 else None, "a": i % 3 if i % 4 else None, "b": str(i % 11)})
+            for i in range(400)]
     frame = spark.createDataFrame(rows, f"{LOAN} string, {MONTH} int, a int, b string")
-    grouped = sorted(map(tuple, clean.one_row_per_month(frame).collect()))
-    assert len(grouped) == 35
-    assert sorted(map(tuple, clean.one_row_per_month_in_loan(frame).collect())) == grouped
-    assert sorted(map(tuple, clean.collapse_months(frame).collect())) == grouped
-    assert sorted(map(tuple, clean.collapse_months(frame, row_limit=10).collect())) == grouped
-    assert clean.longest_history(frame) == 58
+    got = [tuple(r) for r in clean.one_row_per_month(frame).collect()]
+    best = {}
+    for row in map(tuple, rows):
+        if row[1] is not None:
+            key, rest = row[:2], (row[2] is not None, row[2] or 0, row[3])
+            best[key] = max(best.get(key, rest), rest)
+    dated = {r[:2]: (r[2] is not None, r[2] or 0, r[3]) for r in got if r[1] is not None}
+    assert dated == best and len([r for r in got if r[1] is not None]) == len(best)
+    assert sorted(map(str, (r for r in got if r[1] is None))) == sorted(map(str, (tuple(r) for r in rows if r[1] is None)))
+
+
+def test_test_panel_keeps_every_month(spark, small):
+    months = testbed.table(spark, small, "lineitem").select(
+        "l_partkey", F.year("l_shipdate"), F.month("l_shipdate")).distinct().count()
+    rows = testbed.panel(spark, small)
+    assert rows.count() == rows.select(LOAN, MONTH).distinct().count() == months
 
 
 def test_panel_features_use_one_exchange_and_one_sort(spark):
@@ -109,12 +121,12 @@ def test_panel_features_use_one_exchange_and_one_sort(spark):
     assert plan.count("Sort [") == 1
 
 
-def test_collapsed_panel_is_not_moved_or_sorted_again(spark, tmp_path):
+def test_collapsing_limits_repeats_before_the_shuffle(spark, tmp_path):
     history(spark, ["0"] * 20).select(LOAN, MONTH, "DLQCY_STATUS", "DLQCY_STATUS_NUM", "ZERO_BAL_CD").write.parquet(str(tmp_path / "p"))
     stored = spark.read.parquet(str(tmp_path / "p"))
-    plan = panel.snapshot(clean.one_row_per_month_in_loan(stored))._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("Exchange hashpartitioning") == 1
-    assert plan.count("Sort [") == 1
+    plan = panel.snapshot(clean.one_row_per_month(stored))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 2  # by loan and month, then by loan
+    assert "WindowGroupLimit" in plan and "SortAggregate" not in plan
 
 
 def test_result_does_not_depend_on_partitions_or_input_order(spark):
