@@ -24,9 +24,9 @@ from arrearscope.sources.storage import stored
 
 MOST_TOKENS = 2048
 #: Pricing rounds of the multiplicative weights and configurations taken from each.
-ROUNDS, EACH_ROUND = 120, 16
-#: Largest share of a length's demand that one configuration covers, and the weights' learning rate.
-STEP, RATE = 0.25, 2.0
+ROUNDS, EACH_ROUND = 200, 64
+#: Share of the scarcest demand that a chosen configuration covers, and the weights' learning rate.
+STEP, RATE = 0.1, 1.0
 
 Config = tuple[tuple[int, int], ...]  # ((length, times), ...), longest first
 
@@ -73,14 +73,13 @@ def fractional_cover(histogram: dict[int, int], capacity: int) -> tuple[dict[Con
     covered = np.zeros(len(lengths))
     amounts: dict[Config, float] = {}
     bound = float(np.dot(lengths, demand)) / capacity
-    # prices start in proportion to length, which is the optimum where everything fits together
-    weight = lengths * demand / np.dot(lengths, demand)
-    start = np.log(weight)
     for _ in range(ROUNDS):
-        prices = weight / demand
+        # a piece costs its share of the capacity, more where its length is covered less than others
+        prices = lengths / capacity * np.exp(-RATE * (covered - covered.mean()))
         knapsack.solve(prices)
         bound = max(bound, float(np.dot(prices, demand)) / knapsack.best[capacity])
         for i in np.argsort(covered, kind="stable")[:EACH_ROUND]:
+            # the dearest configuration with a piece of this length
             items = knapsack.items(capacity - int(lengths[i]))
             items[int(i)] = items.get(int(i), 0) + 1
             at = np.fromiter(items, int)
@@ -89,9 +88,6 @@ def fractional_cover(histogram: dict[int, int], capacity: int) -> tuple[dict[Con
             covered[at] += times * amount / demand[at]
             config = tuple(sorted(((int(lengths[k]), n) for k, n in items.items()), reverse=True))
             amounts[config] = amounts.get(config, 0.0) + amount
-        logs = start - RATE * covered / max(1.0, covered.mean())
-        weight = np.exp(logs - logs.max())
-        weight /= weight.sum()
     scale = 1 / max(covered.mean(), 1e-9)
     return {c: x * scale for c, x in amounts.items()}, bound
 

@@ -121,9 +121,9 @@ def test_plans_cover_the_histogram():
             for n, times in config:
                 packed[n] += times * k
         assert packed == counts
-        left = {n: k for n, k in counts.items() if n < 2048}
-        bound = packing.fractional_cover(left, 2048)[1] if left else 0
-        assert sum(k for _, k in planned) <= 1.02 * (bound + counts.get(2048, 0)) + 12
+        number = sum(k for _, k in planned)
+        plain = sum(k for _, k in packing.best_fit_decreasing(counts, 2048))
+        assert sum(n * k for n, k in counts.items()) / 2048 <= number <= 1.002 * plain + 3
 
 
 # ---------------------------------------------------------------- toxicity
