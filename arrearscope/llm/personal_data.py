@@ -105,19 +105,25 @@ def disclosing_terms(texts: DataFrame, terms: DataFrame, mentions: DataFrame) ->
     holding the term, the entity and the term by the entity, the share is
     log(n(t, e) N / (n(t) n(e))) / log(N / n(e)).
     """
-    together = stored(
-        terms.select("entity", "term", "hash").distinct().groupBy("entity", "term").agg(F.count(F.lit(1)).alias("n_both"))
-        .filter(F.col("n_both") >= LEAST_TOGETHER), "together")
-    wanted = _small(stored(together.select("term").distinct(), "terms"))
+    size = float(texts.select("hash").distinct().count())
+    together = terms.select("entity", "term", "hash").distinct().groupBy("entity", "term").agg(
+        F.count(F.lit(1)).alias("n_both")).filter(F.col("n_both") >= LEAST_TOGETHER)
+    owners = mentions.select("entity", "hash").distinct().groupBy("entity").agg(F.count(F.lit(1)).alias("n_entity"))
+    # a term occurs at least in the texts that have it by any entity: what can't reach the threshold even
+    # so, as common words can't, needs no count over all texts
+    around = terms.select("term", "hash").distinct().groupBy("term").agg(F.count(F.lit(1)).alias("n_around"))
+
+    def share(n_term: str) -> Column:
+        return F.log(F.col("n_both") * size / (F.col(n_term) * F.col("n_entity"))) / F.log(size / F.col("n_entity"))
+
+    possible = stored(
+        together.join(owners, "entity").filter(F.col("n_entity") < size).join(around, "term")
+        .filter(share("n_around") >= GENERALISE), "together")
+    wanted = _small(stored(possible.select("term").distinct(), "terms"))
     words = texts.select("hash", F.explode(F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(TERM), F.lit(0)))).alias("term"))
     spread = words.join(wanted, "term").distinct().groupBy("term").agg(F.count(F.lit(1)).alias("n_term"))
-    owners = mentions.select("entity", "hash").distinct().groupBy("entity").agg(F.count(F.lit(1)).alias("n_entity"))
-    size = texts.select("hash").distinct().count()
-    share = F.log(F.col("n_both") * F.lit(float(size)) / (F.col("n_term") * F.col("n_entity"))) / F.log(
-        F.lit(float(size)) / F.col("n_entity"))
-    judged = together.join(spread, "term").join(owners, "entity").filter(F.col("n_entity") < size)
-    return judged.withColumn("share", share).filter(F.col("share") >= GENERALISE).select(
-        "entity", "term", F.when(F.col("share") >= REMOVE, "remove").otherwise("generalise").alias("kind"))
+    judged = possible.join(spread, "term").withColumn("share", share("n_term")).filter(F.col("share") >= GENERALISE)
+    return judged.select("entity", "term", F.when(F.col("share") >= REMOVE, "remove").otherwise("generalise").alias("kind"))
 
 
 def sanitise(docs: DataFrame) -> DataFrame:
