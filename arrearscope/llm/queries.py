@@ -33,7 +33,7 @@ RULES = [
 def op1_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
     return toxicity.score_toxicity(docs, table(spark, folder, "labels")).select(
-        "doc_id", "held_out", "score", "predicted", "toxic_ll", "ordinary_ll", "whole", "passage")
+        "doc_id", "held_out", "score", "predicted", "toxic_ll", "ordinary_ll", "whole", "passage", "phrase")
 
 
 def op2_warc_revisits(spark: SparkSession, folder: str) -> DataFrame:

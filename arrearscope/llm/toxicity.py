@@ -2,10 +2,11 @@
 
 Two models, one of toxic and one of ordinary labelled texts, share all lower orders: the
 highest order keeps a count for each class, and what it discounts is dealt by continuation counts of
-both classes together. So an expression too rare to tell has the same probability in both, and the
+both classes together. So an expression too rare to tell has the same probability in both (an n-gram that
+neither class has takes the pooled value of the shared counts), and the
 difference of the two log-likelihoods comes from what the classes really do differently; inflected
-forms of an expression share its leading characters. The difference is normalised by length twice, over
-the whole document and over its worst passage, and a logistic curve turns both into a score.
+forms of an expression share its leading characters. The difference is normalised by length three times, over
+the whole document, its worst passage and its worst phrase, and a logistic curve turns these into a score.
 
 Counts are grouped sums over all labelled texts (copies of a text once), combined before each shuffle.
 What is broadcast is bounded: an n-gram is kept if it makes up at least ``MIN_SHARE`` of the n-grams
@@ -31,8 +32,8 @@ from arrearscope.sources.storage import stored
 ORDER = 5
 #: Share of a class's n-grams (or of continuation counts) from which one is kept: at most 2 ** 21 of two classes.
 MIN_SHARE = 2.0 ** -20
-#: Words of a passage.
-PASSAGE = 50
+#: Words of a passage and of a phrase.
+PASSAGE, PHRASE = 50, 10
 #: Labelled rows the logistic curve is fitted on at most; counts use all labelled rows.
 CURVE_ROWS = 20_000
 #: Folds of ``crc32(doc_id) mod 5``: 0 is held out, these are counted, the last one fits the curve.
@@ -122,6 +123,10 @@ class Model:
             else:
                 for c in (0, 1):
                     both[:, c] = _kneser_ney(count[:, c], total[:, 2 * c], total[:, 2 * c + 1], self.discount[c], shared)
+                # what neither class has seen says nothing: the smaller class would leave it more room
+                unseen = count.sum(1) == 0
+                pooled = _kneser_ney(count[:, 0], total[:, 0] + total[:, 2], total[:, 1] + total[:, 3], DISCOUNT, shared)
+                both[unseen] = pooled[unseen, None]
         both = np.log(both)[back]
         both[codes == ord(_START)] = 0.0  # the padding is given, not predicted
         starts = np.cumsum([0, *(len(w) + ORDER for w in words[:-1])])
@@ -215,17 +220,18 @@ def fit_models(docs: DataFrame, texts: DataFrame) -> Model | None:
 
 # ---------------------------------------------------------------- scoring
 
-MEASURES = "struct<toxic_ll:double,ordinary_ll:double,whole:double,passage:double>"
+MEASURES = "struct<toxic_ll:double,ordinary_ll:double,whole:double,passage:double,phrase:double>"
+_FEATURES = ["whole", "passage", "phrase"]
 
 
-def _measure(likelihoods: np.ndarray) -> tuple[float, float, float, float]:
-    """Log-likelihoods a word, their difference over the whole text, and the largest over a passage."""
+def _measure(likelihoods: np.ndarray) -> tuple[float, ...]:
+    """Log-likelihoods a word, their difference over the whole text, and the largest over a passage and a phrase."""
     if not len(likelihoods):
-        return 0.0, 0.0, 0.0, 0.0
+        return 0.0, 0.0, 0.0, 0.0, 0.0
     ordinary, toxic = likelihoods.mean(0)
     sums = np.concatenate([[0.0], np.cumsum(likelihoods[:, 1] - likelihoods[:, 0])])
-    size = min(PASSAGE, len(likelihoods))
-    return toxic, ordinary, toxic - ordinary, float((sums[size:] - sums[:-size]).max()) / size
+    worst = [float((sums[size:] - sums[:-size]).max()) / size for size in (min(n, len(likelihoods)) for n in (PASSAGE, PHRASE))]
+    return toxic, ordinary, toxic - ordinary, *worst
 
 
 def measures(spark, model: Model):
@@ -259,7 +265,7 @@ def measures(spark, model: Model):
                     close()
                     size = 0
             close()
-            yield pd.DataFrame(out, columns=["toxic_ll", "ordinary_ll", "whole", "passage"])
+            yield pd.DataFrame(out, columns=["toxic_ll", "ordinary_ll", *_FEATURES])
 
     return measured
 
@@ -298,22 +304,24 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, curve_rows: int = CURVE_R
     model = fit_models(docs, texts)
     result = docs.withColumn("held_out", F.coalesce(fold_of(F.col("doc_id")) == HELD_OUT, F.lit(False)))
     if model is None:
-        nothing = {n: F.lit(0.0) for n in ("score", "toxic_ll", "ordinary_ll", "whole", "passage")}
+        nothing = {n: F.lit(0.0) for n in ("score", "toxic_ll", "ordinary_ll", *_FEATURES)}
         return result.withColumns(nothing | {"predicted": F.lit(0)})
     measured = measures(spark, model)
     sample = texts.filter(F.col("fold") == CURVE).orderBy(F.xxhash64("doc_id"), "doc_id").limit(curve_rows)
     fitted = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(
         F.broadcast(sample.select("doc_id", "toxic")), "doc_id",  # at most curve_rows rows
-    ).select("toxic", measured("text").alias("m")).select("toxic", "m.whole", "m.passage").toPandas()
-    x, y = fitted[["whole", "passage"]].to_numpy(float), fitted["toxic"].to_numpy(float)
+    ).select("toxic", measured("text").alias("m")).select("toxic", *(f"m.{n}" for n in _FEATURES)).toPandas()
+    x, y = fitted[_FEATURES].to_numpy(float), fitted["toxic"].to_numpy(float)
     if 0 < y.sum() < len(y):
-        a, b, c = fit_curve(x, y)
+        *weights, constant = fit_curve(x, y).tolist()
     else:  # too few labels for a curve: one nat a word in the worst passage is the border
-        a, b, c = 0.0, 4.0, -4.0
-    z = F.lit(float(a)) * F.col("_m.whole") + F.lit(float(b)) * F.col("_m.passage") + F.lit(float(c))
+        weights, constant = [0.0, 4.0, 0.0], -4.0
+    z = F.lit(constant)
+    for name, weight in zip(_FEATURES, weights):
+        z = z + F.lit(weight) * F.col(f"_m.{name}")
     return result.withColumn("_m", measured("text")).withColumn(
         "score", 1 / (1 + F.exp(-F.greatest(F.lit(-700.0), F.least(F.lit(700.0), z))))
     ).withColumns({
         "predicted": (F.col("score") >= 0.5).cast("int"),
-        **{n: F.col(f"_m.{n}") for n in ("toxic_ll", "ordinary_ll", "whole", "passage")},
+        **{n: F.col(f"_m.{n}") for n in ("toxic_ll", "ordinary_ll", *_FEATURES)},
     }).drop("_m")
