@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Callable
 
 from pyspark.errors import AnalysisException
@@ -12,6 +13,8 @@ from arrearscope.config import TARGET
 from arrearscope.operators.splits import PART, split_parts
 from arrearscope.sources.storage import path_exists
 
+logger = logging.getLogger(__name__)
+
 
 def load_table(spark: SparkSession, path: str, fmt: str = "parquet", **options) -> DataFrame:
     """Read a file or a folder of part files; CSV is read with its header."""
@@ -50,10 +53,23 @@ def is_complete(spark: SparkSession, path: str) -> bool:
     return path_exists(spark, f"{path.rstrip('/')}/_SUCCESS")
 
 
-def materialize(spark: SparkSession, path: str, build: Callable[[], DataFrame]) -> DataFrame:
-    """The table at ``path``; it is built and written first unless a committed one is there."""
+def materialize(
+    spark: SparkSession, path: str, build: Callable[[], DataFrame], made_from: str | None = None
+) -> DataFrame:
+    """The table at ``path``; it is built and written first unless a committed one is there.
+
+    ``made_from`` says what the table depends on (year range, settings) and is kept beside it: a
+    committed table of something else is a ``ValueError``. Row and label counts of a written table are logged.
+    """
+    origin = f"{path.rstrip('/')}.made_from"
     if not is_complete(spark, path):
-        save_table(build(), path)
+        logger.info("%s: %s", path, save_with_counts(build(), path))
+        if made_from is not None:
+            spark.createDataFrame([(made_from,)], "value string").coalesce(1).write.mode("overwrite").text(origin)
+    elif made_from is not None and is_complete(spark, origin):
+        found = spark.read.option("wholetext", True).text(origin).first()["value"].rstrip("\n")
+        if found != made_from:
+            raise ValueError(f"{path} was made from {found}, not from {made_from}")
     return spark.read.parquet(path)
 
 

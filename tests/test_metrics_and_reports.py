@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from arrearscope.config import LOAN
+from arrearscope.config import LOAN, ScoreScale
 from arrearscope.functions.scoring import risk_label, score_band, score_points
 from arrearscope.operators import metrics, reports
 from arrearscope.operators.ordered import exact_quantiles, prefix_sums, range_edges
@@ -220,3 +220,20 @@ def test_ordered_metrics_never_gather_rows_in_one_task(spark, tmp_path):
     for table in (metrics.metric_rows(frame), metrics.roc_points(frame), reports.ks_deciles(frame)):
         plan = table._jdf.queryExecution().executedPlan().toString()
         assert "SinglePartition" not in plan and "CartesianProduct" not in plan and "NestedLoop" not in plan
+
+
+def test_null_groups_and_models_without_expected_rows_stay(spark):
+    rows = [(m, s, f"l{i}", i % 2, i / 40) for m, s in (("a", "oos"), ("a", "oot"), (None, "oos"), (None, "oot"), ("late", "oot"))
+            for i in range(40)]
+    scored = spark.createDataFrame(rows, f"model string, split string, {LOAN} string, y int, p double")
+    assert {r["model"] for r in metrics.metric_rows(scored).collect()} == {"a", None, "late"}
+    assert reports.ks_deciles(scored).count() == 50
+    found = {r["model"]: (r["psi"], r["status"]) for r in reports.psi(reports.psi_bins(scored)).collect()}
+    assert found["late"] == (None, "NO EXPECTED ROWS") and found["a"][1] == found[None][1] == "STABLE"
+
+
+def test_labels_follow_the_scale(spark):
+    wide = ScoreScale(low=0, high=1200)
+    frame = spark.createDataFrame([(1e-9,), (1 - 1e-9,)], "p double")
+    rows = reports.add_scores(frame, score="s", scale=wide).collect()
+    assert [r["risk_bucket"] for r in rows] == ["Low Risk", "Very High Risk"] and rows[0]["s"] > 900 and rows[1]["s"] < 300

@@ -16,7 +16,7 @@ from arrearscope.config import (
 from arrearscope.operators import encode, features, metrics, models, panel, splits
 from arrearscope.plans import flow, testbed
 from arrearscope.plans.catalog import _raw_lines
-from arrearscope.sources.storage import stored
+from arrearscope.sources.storage import path_exists, scratch, stored
 from arrearscope.sources.tables import load_split, save_with_counts
 
 FAST = replace(
@@ -109,8 +109,12 @@ def test_wide_column_is_encoded_without_touching_narrow_ones(spark, monkeypatch)
     frame = stored(spark.createDataFrame([(str(i), "ab"[i % 2]) for i in range(5000)], "wide string, narrow string"), "t")
     codes = encode.fit_codes(frame, ["wide", "narrow"])
     assert [r["code"] for r in codes.filter("column = 'wide'").orderBy("category").collect()] == list(range(5000))
-    plan = encode.apply_codes(frame, codes, ["wide", "narrow"])._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("BroadcastHashJoin") == 1
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = encode.apply_codes(frame, codes, ["wide", "narrow"])._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert plan.count("BroadcastHashJoin") == 1 and plan.count("SortMergeJoin") == 1
 
 
 def test_all_trees_are_grown_by_default(split):
@@ -129,7 +133,7 @@ def test_whole_flow_from_raw_files(spark, tmp_path):
     with pytest.raises(FileNotFoundError):
         flow.targets(spark, paths, FAST)
     orig, svcg = flow.ingest(spark, raw, paths, 1999, 2012)
-    assert orig.count() < 2000 and svcg.count() > 30000
+    assert 2000 < orig.count() < 4000 and svcg.count() > 45000
     snap = flow.targets(spark, paths, FAST)
     assert snap.count() == snap.select(LOAN).distinct().count() > 1500
     assert flow.modeling(spark, paths, FAST).count() > 1500
@@ -144,6 +148,19 @@ def test_whole_flow_from_raw_files(spark, tmp_path):
     total = bands.agg(F.sum(F.col("n_loans").cast("int"))).first()[0]
     assert bands.count() == 6 and total == rows.filter("split_oot = 'test'").count()
     assert tables["psi"].count() == 1 and tables["ks_deciles"].count() == 20
+    assert tables["top_features"].count() == 15 and tables["max_ks"].count() == 2 and tables["best_model"].count() == 1
+    assert tables["model_ranking"].count() == 5 and tables["score_histogram"].count() == 120
+    used = spark.read.parquet(paths.of("models_trailing/training")).collect()
+    assert {(r["trained_on"], r["validated_on"]) for r in used} == {("oot", "oos_val")}
+    with pytest.raises(ValueError, match="made from"):
+        flow.ingest(spark, raw, paths, 1999, 2005)
     # forward label: same panel, other rows and tables
     forward = flow.targets(spark, paths, FAST, "forward")
     assert 0 < forward.count() < snap.count()
+
+
+def test_scratch_is_removed_by_its_owner(spark, tmp_path):
+    with scratch(spark, str(tmp_path)) as folder:
+        table = stored(spark.range(5), "numbers")
+        assert table.count() == 5 and path_exists(spark, folder)
+    assert not path_exists(spark, folder)
