@@ -1,8 +1,7 @@
-"""Helpers shared by the operators: tables, worker code, gapless numbers, connected components."""
+"""Helpers shared by the operators: tables, gapless numbers, connected components, pattern matches with places."""
 
 from __future__ import annotations
 
-import zlib
 from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -18,15 +17,6 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
 
 
-def text_of(docs: DataFrame) -> DataFrame:
-    """(doc_id, text) alone, so that further columns of any name do no harm; null text is empty."""
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-
-
-def crc_of_id(doc_id: int | None) -> int:
-    return zlib.crc32(str(doc_id).encode())
-
-
 def numbered(rows: DataFrame, group: str, order: list[str], number: str, hint: int) -> DataFrame:
     """``rows`` with a gapless ``number`` from 0 within ``group`` (not null), in no stated order.
 
