@@ -23,7 +23,7 @@ from arrearscope.operators import clean, encode, features, metrics, models, pane
 from arrearscope.operators.ordered import exact_quantiles
 from arrearscope.plans import testbed
 from arrearscope.plans.oracle import BEHAVIOUR
-from arrearscope.plans.scored import MODELS, scored_test
+from arrearscope.plans.scored import scored_test
 from arrearscope.sources.raw_files import load_origination, load_servicing
 from arrearscope.sources.storage import scratch_path, stored
 from arrearscope.sources.tables import load_table, materialize, save_report, save_splits, save_table, save_with_counts

@@ -7,7 +7,6 @@ from arrearscope.config import (
     LOAN,
     ORIGINATION_LAYOUT,
     SERVICING_LAYOUT,
-    TARGET,
     BoostedTreesParams,
     ForestParams,
     LogisticParams,
