@@ -8,9 +8,10 @@ difference of the two log-likelihoods comes from what the classes really do diff
 forms of an expression share its leading characters. The difference is normalised by length three times, over
 the whole document, its worst passage and its worst phrase, and a logistic curve turns these into a score.
 
-Counts are grouped sums over all labelled texts (copies of a text once), combined before each shuffle.
-What is broadcast is bounded: an n-gram is kept if it makes up at least ``MIN_SHARE`` of the n-grams
-of a class, of which there can be no more than 1 / MIN_SHARE; rarer ones back off.
+Counts are grouped sums over labelled texts (copies of a text once), combined before each shuffle, and every
+count is kept. What is broadcast is bounded: up to ``BROADCAST_GRAMS`` n-grams the tables go to the tasks whole;
+beyond, each different word is scored once by joins of its n-grams with the stored tables, and the scores
+meet the words of the texts in another join. Both ways give the same measures.
 """
 
 from __future__ import annotations
@@ -30,8 +31,8 @@ from arrearscope.sources.storage import stored
 
 #: Characters of the longest n-gram.
 ORDER = 5
-#: Share of a class's n-grams (or of continuation counts) from which one is kept: at most 2 ** 21 of two classes.
-MIN_SHARE = 2.0 ** -20
+#: N-grams of all orders up to which the tables are broadcast (contexts come on top, no more than n-grams).
+BROADCAST_GRAMS = 2 ** 21
 #: Words of a passage and of a phrase.
 PASSAGE, PHRASE = 50, 10
 #: Labelled rows the logistic curve is fitted on at most; counts use all labelled rows.
@@ -158,8 +159,58 @@ def _hash_grams(grams: list[str], order: int) -> np.ndarray:
     return hashes
 
 
-def fit_models(docs: DataFrame, texts: DataFrame) -> Model | None:
-    """Both models from the ``COUNTED`` folds of ``texts``; None unless both classes occur."""
+@dataclass
+class Counts:
+    """Stored counts of all n-grams, nothing left out."""
+
+    top: DataFrame  # (gram, ordinary, toxic) of the highest order
+    levels: list[DataFrame]  # (gram, n): continuation counts of the orders 1..ORDER-1
+    discount: tuple[float, float]
+    alphabet: int
+    size: int  # n-grams of all orders
+
+    def contexts(self, order: int) -> DataFrame:
+        """Sums and types by context of the n-grams of ``order``."""
+        if order == ORDER:
+            return self.top.groupBy(_head("gram").alias("context")).agg(
+                *(f(c).alias(n + c) for c in ("ordinary", "toxic")
+                  for n, f in (("sum_", F.sum), ("types_", lambda c: F.count_if(F.col(c) > 0)))))
+        return self.levels[order - 1].groupBy(_head("gram").alias("context")).agg(
+            F.sum("n").alias("s"), F.count(F.lit(1)).alias("t"))
+
+    def model(self) -> Model:
+        """All tables in the driver's memory, for counts of at most ``BROADCAST_GRAMS``."""
+        def load(df: DataFrame, order: int, key: str) -> tuple[np.ndarray, np.ndarray]:
+            found = df.toPandas()
+            hashes = _hash_grams(found[key].tolist(), order)
+            at = np.argsort(hashes)
+            return hashes[at], found.drop(columns=key).to_numpy(np.float32)[at]
+
+        grams = [load(df, k + 1, "gram") for k, df in enumerate([*self.levels, self.top])]
+        contexts = [load(self.contexts(k + 1), k, "context") for k in range(ORDER)]
+        return Model(
+            grams=[k for k, _ in grams], counts=[v[:, 0] for _, v in grams[:-1]] + [grams[-1][1]],
+            contexts=[k for k, _ in contexts], totals=[v for _, v in contexts],
+            discount=self.discount, alphabet=self.alphabet,
+        )
+
+
+def _tail(name: str) -> Column:
+    return F.expr(f"substring({name}, 2)")
+
+
+def _head(name: str) -> Column:
+    return F.expr(f"left({name}, length({name}) - 1)")
+
+
+def _grams_of(word: str) -> Column:
+    """The longest n-grams of a word, one for each of its characters and its end."""
+    padded = F.concat(F.lit(_START * (ORDER - 1)), word, F.lit(_END))
+    return F.transform(F.sequence(F.lit(1), F.length(word) + 1), lambda i: F.substring(padded, i, F.lit(ORDER)))
+
+
+def count_grams(docs: DataFrame, texts: DataFrame) -> Counts | None:
+    """Counts of the ``COUNTED`` folds of ``texts``; None unless both classes occur."""
     # the folds are known without the labels, so the other texts needn't move; labels grow with the
     # texts, so they are never broadcast
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").filter(
@@ -168,54 +219,26 @@ def fit_models(docs: DataFrame, texts: DataFrame) -> Model | None:
     words = rows.join(chosen.hint("merge"), "doc_id").select("text", "toxic").mapInArrow(
         _count_words, "word string, ordinary long, toxic long")
     words = words.groupBy("word").agg(F.sum("ordinary").alias("ordinary"), F.sum("toxic").alias("toxic"))
-    padded = F.concat(F.lit(_START * (ORDER - 1)), "word", F.lit(_END))
-    grams = words.select(
-        F.explode(F.transform(F.sequence(F.lit(1), F.length("word") + 1), lambda i: F.substring(padded, i, F.lit(ORDER))))
-        .alias("gram"), "ordinary", "toxic",
-    ).groupBy("gram").agg(F.sum("ordinary").alias("ordinary"), F.sum("toxic").alias("toxic"))
-    top = stored(grams, "grams")
+    top = stored(words.select(F.explode(_grams_of("word")).alias("gram"), "ordinary", "toxic").groupBy("gram").agg(
+        F.sum("ordinary").alias("ordinary"), F.sum("toxic").alias("toxic")), "grams")
     sums = top.agg(F.sum("ordinary"), F.sum("toxic"), *(
-        F.count_if(F.col(c) == n) for c in ("ordinary", "toxic") for n in (1, 2))).first()
+        F.count_if(F.col(c) == n) for c in ("ordinary", "toxic") for n in (1, 2)), F.count(F.lit(1))).first()
     if not sums[0] or not sums[1]:
         return None
     # absolute discounting; bounded away from 1 so that single occurrences keep some weight
     discount = tuple(min(0.9, max(0.1, one / max(1, one + 2 * two))) for one, two in (sums[2:4], sums[4:6]))
+    level, levels, size = top.select("gram"), [], sums[6]
+    for _ in range(ORDER - 1):
+        level = stored(level.groupBy(_tail("gram").alias("gram")).agg(F.count(F.lit(1)).alias("n")), "grams")
+        levels.append(level)
+        size += (last := level.count())
+    return Counts(top, levels[::-1], discount, max(2, last), size)
 
-    def tail(name: str) -> Column:
-        return F.expr(f"substring({name}, 2)")
-
-    def head(name: str) -> Column:
-        return F.expr(f"left({name}, length({name}) - 1)")
-
-    tables: list[tuple[np.ndarray, np.ndarray]] = []
-
-    def load(df: DataFrame, order: int, key: str) -> None:
-        found = df.toPandas()
-        hashes = _hash_grams(found[key].tolist(), order)
-        at = np.argsort(hashes)
-        tables.append((hashes[at], found.drop(columns=key).to_numpy(np.float32)[at]))
-
-    kept = top.filter((F.col("ordinary") >= MIN_SHARE * sums[0]) | (F.col("toxic") >= MIN_SHARE * sums[1]))
-    load(kept, ORDER, "gram")
-    by_context = top.groupBy(head("gram").alias("context")).agg(
-        *(f(c).alias(n + c) for c in ("ordinary", "toxic")
-          for n, f in (("sum_", F.sum), ("types_", lambda c: F.count_if(F.col(c) > 0)))))
-    load(by_context.filter((F.col("sum_ordinary") >= MIN_SHARE * sums[0]) | (F.col("sum_toxic") >= MIN_SHARE * sums[1])),
-         ORDER - 1, "context")
-    level = top.select("gram")
-    for order in range(ORDER - 1, 0, -1):
-        level = stored(level.groupBy(tail("gram").alias("gram")).agg(F.count(F.lit(1)).alias("n")), "grams")
-        total = level.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
-        load(level.filter(F.col("n") >= MIN_SHARE * total), order, "gram")
-        load(level.groupBy(head("gram").alias("context")).agg(F.sum("n").alias("s"), F.count(F.lit(1)).alias("t"))
-             .filter(F.col("s") >= MIN_SHARE * total), order - 1, "context")
-    tables.reverse()  # contexts and n-grams of order 1 first
-    counts = [v[:, 0] for _, v in tables[1:-1:2]] + [tables[-1][1]]
-    return Model(
-        grams=[k for k, _ in tables[1::2]], counts=counts,
-        contexts=[k for k, _ in tables[0::2]], totals=[v for _, v in tables[0::2]],
-        discount=discount, alphabet=max(2, len(tables[1][0])),
-    )
+
+def fit_models(docs: DataFrame, texts: DataFrame) -> Model | None:
+    """Both models of ``count_grams`` in the driver's memory."""
+    counts = count_grams(docs, texts)
+    return counts and counts.model()
 
 
 # ---------------------------------------------------------------- scoring
@@ -270,6 +293,93 @@ def measures(spark, model: Model):
     return measured
 
 
+# ---------------------------------------------------------------- scoring by joins
+
+def _smoothed(count: str | Column, total: str, types: str, discount: float, lower: Column) -> Column:
+    """``_kneser_ney`` of columns; nulls are what a left join hasn't found."""
+    count, total, types = (F.coalesce(F.col(c) if isinstance(c, str) else c, F.lit(0)) for c in (count, total, types))
+    return F.when(total > 0, F.greatest(count - discount, F.lit(0.0)) / total + discount * types / total * lower).otherwise(lower)
+
+
+def word_scores(words: DataFrame, counts: Counts) -> DataFrame:
+    """(word, ordinary, toxic): log-likelihoods of different ``words`` (word), joined by shuffle with all counts."""
+    parts = words.select("word", F.explode(_grams_of("word")).alias("gram"))
+    wanted = stored(parts.select("gram").distinct(), "wanted")
+    first = counts.contexts(1).first()
+    lower = None
+    for order in range(1, ORDER):
+        grams = wanted.select(F.expr(f"right(gram, {order})").alias("gram")).distinct().join(counts.levels[order - 1], "gram", "left")
+        if order == 1:
+            found = grams.withColumns({"s": F.lit(first["s"]), "t": F.lit(first["t"]), "lower": F.lit(1.0 / counts.alphabet)})
+        else:
+            found = grams.withColumn("context", _head("gram")).join(counts.contexts(order), "context", "left").withColumn(
+                "rest", _tail("gram")).join(lower, "rest")
+        lower = stored(found.select(F.col("gram").alias("rest"), _smoothed("n", "s", "t", DISCOUNT, F.col("lower")).alias("lower")), "shared")
+    found = wanted.join(counts.top, "gram", "left").withColumn("context", _head("gram")).join(
+        counts.contexts(ORDER), "context", "left").withColumn("rest", _tail("gram")).join(lower, "rest").withColumns({
+            c: F.coalesce(c, F.lit(0)) for c in ("ordinary", "toxic", "sum_ordinary", "types_ordinary", "sum_toxic", "types_toxic")}).withColumns({
+                "sum_": F.col("sum_ordinary") + F.col("sum_toxic"), "types_": F.col("types_ordinary") + F.col("types_toxic")})
+    # what neither class has seen says nothing
+    pooled = _smoothed(F.lit(0), "sum_", "types_", DISCOUNT, F.col("lower"))
+    unseen = F.col("ordinary") + F.col("toxic") == 0
+    scored = found.select("gram", *(F.log(F.when(unseen, pooled).otherwise(
+        _smoothed(c, f"sum_{c}", f"types_{c}", d, F.col("lower")))).alias(c)
+        for c, d in zip(("ordinary", "toxic"), counts.discount)))
+    return parts.join(scored, "gram").groupBy("word").agg(F.sum("ordinary").alias("ordinary"), F.sum("toxic").alias("toxic"))
+
+
+def _places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(hash, text) to (hash, word, at): the places of each different word of a text. Copies within a task are skipped."""
+    seen: set[int] = set()
+
+    def block() -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays(
+            [pa.array(out[0], pa.int64()), pa.array(out[1], pa.string()), pa.array(out[2], pa.list_(pa.int32()))],
+            names=["hash", "word", "at"])
+
+    out: tuple[list, list, list] = ([], [], [])
+    for batch in batches:
+        for key, text in zip(batch.column(0).to_pylist(), batch.column(1)):
+            if key in seen:
+                continue
+            if len(seen) > CACHE_WORDS:
+                seen.clear()
+            seen.add(key)
+            places: dict[str, list[int]] = {}
+            for i, word in enumerate(_WORD.findall(text.as_py().lower())):
+                places.setdefault(word, []).append(i)
+            for word, at in places.items():
+                out[0].append(key)
+                out[1].append(word)
+                out[2].append(at)
+            if len(out[0]) > 20_000:
+                yield block()
+                out = ([], [], [])
+    yield block()
+
+
+def _measured_words(words: pd.Series) -> pd.DataFrame:
+    """Measures from the words' places and scores; a place that copies name twice has the same scores."""
+    out = []
+    for parts in words:
+        counts = [len(p["at"]) for p in parts]
+        at = np.concatenate([p["at"] for p in parts])
+        likelihoods = np.empty((int(at.max()) + 1, 2))
+        likelihoods[at] = np.repeat([[p["ordinary"], p["toxic"]] for p in parts], counts, axis=0)
+        out.append(_measure(likelihoods))
+    return pd.DataFrame(out, columns=["toxic_ll", "ordinary_ll", *_FEATURES])
+
+
+def text_measures(docs: DataFrame, counts: Counts) -> DataFrame:
+    """(hash, m): ``MEASURES`` of each different text with words."""
+    places = docs.filter(F.col("text").isNotNull()).select(F.xxhash64("text").alias("hash"), "text").mapInArrow(
+        _places, "hash long, word string, at array<int>")
+    scores = stored(word_scores(stored(places.select("word").distinct(), "vocabulary"), counts), "word_scores")
+    return places.join(scores, "word").groupBy("hash").agg(
+        F.collect_list(F.struct("at", "ordinary", "toxic")).alias("words")).select(
+        "hash", F.pandas_udf(_measured_words, MEASURES)("words").alias("m"))
+
+
 def fit_curve(x: np.ndarray, y: np.ndarray, ridge: float = 1e-3, steps: int = 60) -> np.ndarray:
     """Weights of a logistic curve (last one constant) by damped Newton steps with a small ridge."""
     x = np.column_stack([x, np.ones(len(x))])
@@ -292,25 +402,37 @@ def fit_curve(x: np.ndarray, y: np.ndarray, ridge: float = 1e-3, steps: int = 60
     return w
 
 
-def score_toxicity(docs: DataFrame, labels: DataFrame, curve_rows: int = CURVE_ROWS) -> DataFrame:
+def score_toxicity(docs: DataFrame, labels: DataFrame, curve_rows: int = CURVE_ROWS,
+                   broadcast_grams: int = BROADCAST_GRAMS) -> DataFrame:
     """``docs`` with held_out, score, predicted and the measures of ``MEASURES``.
 
     Every row is scored, repeated ones alike. Null and empty texts have all measures 0 and
     the curve's value there. A null doc_id is not held out. Without labelled texts of both classes
     nothing can be learnt and all scores are 0. Columns of ``docs`` with a result's name are replaced.
     """
-    spark = docs.sparkSession
     texts = stored(labelled_texts(docs, labels), "labelled")
-    model = fit_models(docs, texts)
+    counts = count_grams(docs, texts)
     result = docs.withColumn("held_out", F.coalesce(fold_of(F.col("doc_id")) == HELD_OUT, F.lit(False)))
-    if model is None:
+    if counts is None:
         nothing = {n: F.lit(0.0) for n in ("score", "toxic_ll", "ordinary_ll", *_FEATURES)}
         return result.withColumns(nothing | {"predicted": F.lit(0)})
-    measured = measures(spark, model)
+    if counts.size <= broadcast_grams:
+        measured = measures(docs.sparkSession, counts.model())
+
+        def with_measures(rows: DataFrame) -> DataFrame:
+            return rows.withColumn("_m", measured("text"))
+    else:
+        by_text = stored(text_measures(docs, counts), "measures").select(F.col("hash").alias("_hash"), F.col("m").alias("_m"))
+        zeros = F.struct(*(F.lit(0.0).alias(n) for n in ("toxic_ll", "ordinary_ll", *_FEATURES)))
+
+        def with_measures(rows: DataFrame) -> DataFrame:
+            return rows.join(by_text, F.xxhash64("text") == F.col("_hash"), "left").drop("_hash").withColumn(
+                "_m", F.coalesce("_m", zeros))
+
     sample = texts.filter(F.col("fold") == CURVE).orderBy(F.xxhash64("doc_id"), "doc_id").limit(curve_rows)
-    fitted = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(
+    fitted = with_measures(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(
         F.broadcast(sample.select("doc_id", "toxic")), "doc_id",  # at most curve_rows rows
-    ).select("toxic", measured("text").alias("m")).select("toxic", *(f"m.{n}" for n in _FEATURES)).toPandas()
+    )).select("toxic", *(f"_m.{n}" for n in _FEATURES)).toPandas()
     x, y = fitted[_FEATURES].to_numpy(float), fitted["toxic"].to_numpy(float)
     if 0 < y.sum() < len(y):
         *weights, constant = fit_curve(x, y).tolist()
@@ -319,7 +441,7 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, curve_rows: int = CURVE_R
     z = F.lit(constant)
     for name, weight in zip(_FEATURES, weights):
         z = z + F.lit(weight) * F.col(f"_m.{name}")
-    return result.withColumn("_m", measured("text")).withColumn(
+    return with_measures(result).withColumn(
         "score", 1 / (1 + F.exp(-F.greatest(F.lit(-700.0), F.least(F.lit(700.0), z))))
     ).withColumns({
         "predicted": (F.col("score") >= 0.5).cast("int"),

@@ -185,6 +185,29 @@ def test_unseen_words_are_no_evidence(spark):
     assert abs(toxic[0] - ordinary[0]) < 1 and toxic[1] - ordinary[1] > 5 and abs(toxic[2] - ordinary[2]) < 2
 
 
+def test_rare_grams_count_and_joins_give_the_same_measures(spark):
+    rows, labels = labelled(spark, np.random.default_rng(5))
+    # 1,600,000 n-grams of ordinary words: one occurrence is less than 2 ** -20 of them
+    rows += [(5005, "word1 " * 270_000), (5007, "lonely word2")]
+    rows += [(None, None), (6000, ""), (6001, "qqq vilesortz word2"), (6002, rows[3][1]), (6003, rows[3][1])]
+    marks = labels.unionByName(spark.createDataFrame([(5005, 1, 0, 0.5), (5007, 1, 0, 0.5)], labels.schema))
+    docs = frame(spark, rows)
+    assert all(zlib.crc32(i) % 5 in toxicity.COUNTED for i in (b"5005", b"5007"))
+    counts = toxicity.count_grams(docs, toxicity.labelled_texts(docs, marks))
+    assert counts.top.filter(F.col("gram") == "\x02\x02\x02\x02l").first().ordinary == 1
+    model = counts.model()
+    assert toxicity._hash_grams(["\x02\x02\x02lo"], 5)[0] in model.grams[-1]
+    words = ["zzqqzz", "vilesortz", "word1", "lonely", "x", "\u00e4\U00010400b"]
+    joined = {r.word: (r.ordinary, r.toxic) for r in toxicity.word_scores(
+        spark.createDataFrame([(w,) for w in words], "word string"), counts).collect()}
+    assert np.allclose([joined[w] for w in words], model.log_likelihoods(words), rtol=1e-6)
+    key = ["doc_id", "text", "predicted", "score", "toxic_ll", "ordinary_ll", "whole", "passage", "phrase"]
+    first, second = (sorted(toxicity.score_toxicity(docs, marks, broadcast_grams=n).select(*key).collect(), key=lambda r: (
+        r.doc_id is None, r.doc_id or 0)) for n in (toxicity.BROADCAST_GRAMS, 0))
+    assert len(first) == len(rows) and [r[:3] for r in first] == [r[:3] for r in second]
+    assert np.allclose([r[3:] for r in first], [r[3:] for r in second], rtol=1e-5, atol=1e-7)
+
+
 @pytest.fixture(scope="module")
 def stages(spark, small):
     import corpus_pipeline as cp
