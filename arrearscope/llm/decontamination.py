@@ -2,9 +2,13 @@
 
 Texts and benchmark items are cut into tokens; numbers, units after a number and names (capitalised words inside a
 sentence) become typed slots, everything else stays as a lower-cased word. Windows of templates are
-joined by hash. Hits of a text and an item on one diagonal are one alignment, whose slots must be
-consistent: the same value of the item always stands for the same value of the text and the other
-way round. "3 apples and 3 pears" may be "5 apples and 5 pears", but not "5 apples and 4 pears".
+joined by hash, a run of names being one slot. Hits of a text and an item on one diagonal, or on neighbouring
+diagonals where words were put in or left out, are one alignment, which covers the item's tokens under any of its
+windows and whose slots must be consistent: the same value of the item always stands for the same value of
+the text. "3 apples and 3 pears" may be "5 apples and 5 pears", but not "5 apples and 4 pears".
+
+The plain lower-cased words are joined in the same way, so that copies of an item's own words are found
+whatever their case, their place in a sentence or their number of slots.
 
 The windows of the benchmark are the small side and are broadcast if their counted number allows it. Texts
 are tokenised once for the join, and again only where windows hit, to read the slots. Copies of
@@ -13,7 +17,7 @@ a text are one text from the first hit on. Built-in functions only.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from arrearscope.sources.storage import stored
@@ -22,6 +26,8 @@ from arrearscope.sources.storage import stored
 WINDOW, LEAST_ITEM = 8, 4
 #: Words (not slots) a window must have, in different forms.
 LEAST_WORDS = 3
+#: Distance of diagonals that are put together: words put in or left out between two windows.
+NEIGHBOURS = 8
 #: Share of an item's tokens that one alignment must cover.
 LEAST_COVERED = 0.5
 #: Windows of the benchmark, or texts with hits, that are broadcast; more are joined by shuffle.
@@ -57,28 +63,62 @@ def templates_of(tokens: Column) -> Column:
     return F.transform(tokens, typed)
 
 
-def _windows(template: Column, size: int) -> Column:
-    """Hashes of the windows of ``size`` tokens, none where there are fewer."""
-    starts = F.sequence(F.lit(1), F.size(template) - size + 1)
-    return F.when(F.size(template) >= size, F.transform(
-        starts, lambda i: F.xxhash64(F.array_join(F.slice(template, i, size), " ")))).otherwise(F.array().cast("array<long>"))
+def _plain(tokens: Column) -> Column:
+    return F.transform(tokens, lambda t: F.lower(F.regexp_replace(t, _LEAD, "")))
+
+
+def _kept(template: Column) -> Column:
+    """Positions of a template without those of a name that follows a name."""
+    return F.filter(F.sequence(F.lit(0), F.size(template) - 1), lambda i: (i >= 0) & (i < F.size(template)) & ~(
+        (F.get(template, i) == NAME) & F.coalesce(F.get(template, i - 1) == NAME, F.lit(False))))
+
+
+def _collapsed(template: Column) -> Column:
+    """``template`` with a run of names as one slot."""
+    return F.filter(template, lambda t, i: ~((t == NAME) & F.coalesce(F.get(template, i - 1) == NAME, F.lit(False))))
+
+
+def _hashes(words: Column) -> Column:
+    return F.transform(words, lambda t: F.xxhash64(t))
+
+
+def _windows(hashes: Column, size: int) -> Column:
+    """Hashes of the windows of ``size`` hashed tokens, none where there are fewer."""
+    starts = F.sequence(F.lit(1), F.size(hashes) - size + 1)
+    return F.when(F.size(hashes) >= size, F.transform(
+        starts, lambda i: F.xxhash64(F.slice(hashes, i, size)))).otherwise(F.array().cast("array<long>"))
+
+
+def _told(items: DataFrame) -> DataFrame:
+    return items.filter(F.col("item_id").isNotNull() & F.col("text").isNotNull()).select(
+        F.col("item_id").cast("long").alias("item_id"), tokens_of(F.col("text")).alias("own"))
 
 
 def benchmark_windows(items: DataFrame) -> DataFrame:
-    """(item_id, n_tokens, size, at, hash) of the informative windows; ``size`` is that of the item's windows.
+    """(item_id, plain, n_tokens, size, at, hash) of the windows; ``size`` is that of the item's windows.
 
-    Items without an id or text, or with fewer than ``LEAST_ITEM`` tokens or no informative window, have none.
+    ``plain`` windows are of lower-cased words, the others informative ones of templates, with both readings
+    of a first token that is a capitalised word. Items without an id or text, or with fewer than ``LEAST_ITEM``
+    tokens, have none.
     """
-    told = items.filter(F.col("item_id").isNotNull() & F.col("text").isNotNull()).select(
-        F.col("item_id").cast("long").alias("item_id"), templates_of(tokens_of(F.col("text"))).alias("template"))
-    sized = told.withColumn("n_tokens", F.size("template")).filter(F.col("n_tokens") >= LEAST_ITEM).withColumn(
-        "size", F.least(F.col("n_tokens"), F.lit(WINDOW)))
+    told = _told(items).filter(F.size("own") >= LEAST_ITEM).withColumn("template", templates_of(F.col("own")))
+    words = told.select("item_id", F.lit(True).alias("plain"), "own", _plain(F.col("own")).alias("words"))
+    slots = told.select("item_id", F.lit(False).alias("plain"), F.transform(
+        _kept(F.col("template")), lambda i: F.get("own", i)).alias("own"), _collapsed(F.col("template")).alias("words"))
+    sized = words.unionByName(slots).withColumn("n_tokens", F.size("words")).withColumn("size", F.least(F.col("n_tokens"), F.lit(WINDOW)))
     starts = F.posexplode(F.transform(
-        F.sequence(F.lit(1), F.col("n_tokens") - F.col("size") + 1), lambda i: F.slice("template", i, F.col("size"))))
-    cut = sized.select("item_id", "n_tokens", "size", starts.alias("at", "window"))
-    words = F.size(F.array_distinct(F.filter("window", lambda t: ~t.startswith("<"))))
-    return cut.filter(words >= LEAST_WORDS).select(
-        "item_id", "n_tokens", "size", "at", F.xxhash64(F.array_join("window", " ")).alias("hash"))
+        F.sequence(F.lit(1), F.col("n_tokens") - F.col("size") + 1),
+        lambda i: F.struct(F.slice("words", i, F.col("size")).alias("words"), F.element_at("own", i).alias("first"))))
+    cut = sized.select("item_id", "plain", "n_tokens", "size", starts.alias("at", "w")).select(
+        "item_id", "plain", "n_tokens", "size", "at", F.col("w.words").alias("window"),
+        F.regexp_replace(F.col("w.first"), _LEAD, "").alias("first"))
+    rest = F.slice("window", 2, F.greatest(F.col("size") - 1, F.lit(0)))
+    readings = F.when(~F.col("plain") & F.col("first").rlike(_NAME), F.array_distinct(F.array(
+        "window", F.concat(F.array(F.lit(NAME)), rest), F.concat(F.array(F.lower("first")), rest)))).otherwise(F.array("window"))
+    read = cut.select("item_id", "plain", "n_tokens", "size", "at", F.explode(readings).alias("window"))
+    distinct = F.size(F.array_distinct(F.filter("window", lambda t: ~t.startswith("<"))))
+    return read.filter(F.col("plain") | (distinct >= LEAST_WORDS)).select(
+        "item_id", "plain", "n_tokens", "size", "at", F.xxhash64(_hashes(F.col("window"))).alias("hash"))
 
 
 def _broadcast_if_small(df: DataFrame) -> DataFrame:
@@ -86,61 +126,79 @@ def _broadcast_if_small(df: DataFrame) -> DataFrame:
 
 
 def alignments(docs: DataFrame, items: DataFrame) -> DataFrame:
-    """(hash, item_id, shift, n_tokens, windows, first, last) of texts and items that share windows.
+    """(hash, item_id, plain, n_tokens, size, shift, at) of texts and items that share windows.
 
-    ``hash`` stands for the text. ``shift`` is the distance of text and item positions.
+    ``hash`` stands for the text, ``at`` is a list of the windows' places in the item. ``shift`` is the distance of text and item positions.
     """
     windows = stored(benchmark_windows(items), "windows")
     sizes = [r["size"] for r in windows.select("size").distinct().collect()]  # at most WINDOW
-    texts = docs.filter(F.col("text").isNotNull()).select(
-        F.xxhash64("text").alias("hash"), tokens_of(F.col("text")).alias("tokens")).select(
-        "hash", templates_of(F.col("tokens")).alias("template"))
-    none = F.array().cast("array<struct<size:int,at:int,window:long>>")
+    tokens = docs.filter(F.col("text").isNotNull()).select(
+        F.xxhash64("text").alias("hash"), tokens_of(F.col("text")).alias("tokens"))
+    texts = tokens.select("hash", _hashes(_plain(F.col("tokens"))).alias("words"), templates_of(F.col("tokens")).alias("template")).select(
+        "hash", "words", _hashes(_collapsed(F.col("template"))).alias("slots"))
+    none = F.array().cast("array<struct<plain:boolean,size:int,at:int,window:long>>")
     every = F.concat(none, *(F.transform(
-        _windows(F.col("template"), size), lambda h, i, size=size: F.struct(
-            F.lit(size).alias("size"), i.alias("at"), h.alias("window"))) for size in sizes)) if len(sizes) != 1 else None
-    if every is None:
-        told = texts.select("hash", F.lit(sizes[0]).alias("size"), F.posexplode(_windows(F.col("template"), sizes[0])).alias("d_at", "window"))
-    else:
-        told = texts.select("hash", F.explode(every).alias("w")).select(
-            "hash", "w.size", F.col("w.at").alias("d_at"), F.col("w.window").alias("window"))
-    hits = told.join(_broadcast_if_small(windows.withColumnRenamed("hash", "window")), ["window", "size"])
-    # a text's copies give the same hits: one count for each place
-    places = hits.groupBy("hash", "item_id", "n_tokens", "size", "at", "d_at").agg(F.lit(1).alias("one"))
-    return places.groupBy("hash", "item_id", "n_tokens", "size", (F.col("d_at") - F.col("at")).alias("shift")).agg(
-        F.count(F.lit(1)).alias("windows"), F.min("at").alias("first"), F.max("at").alias("last"))
+        _windows(F.col(name), size), lambda h, i: F.struct(
+            F.lit(name == "words").alias("plain"), F.lit(size).alias("size"), i.alias("at"), h.alias("window")))
+        for size in sizes for name in ("words", "slots")))
+    told = texts.select("hash", F.explode(every).alias("w")).select(
+        "hash", "w.plain", "w.size", F.col("w.at").alias("d_at"), F.col("w.window").alias("window"))
+    hits = told.join(_broadcast_if_small(windows.withColumnRenamed("hash", "window")), ["window", "plain", "size"])
+    # a text's copies give the same hits: each place once
+    return hits.groupBy("hash", "item_id", "plain", "n_tokens", "size", (F.col("d_at") - F.col("at")).alias("shift")).agg(
+        F.collect_set("at").alias("at"))
 
 
 def contaminated(docs: DataFrame, items: DataFrame) -> DataFrame:
     """(hash, item_id, covered, n_tokens, n_slots, changed) of texts that hold an item or its template, consistently."""
     aligned = stored(alignments(docs, items), "alignments")
-    # tokens of the item under the alignment's windows, gaps between its windows included
-    spans = aligned.withColumn("covered", F.least(
-        F.col("last") + F.col("size") - F.col("first"), (F.col("windows") + F.col("size") - 1).cast("int")))
+    # each diagonal alone, and neighbouring ones together
+    order = Window.partitionBy("hash", "item_id", "plain").orderBy("shift")
+    apart = F.coalesce((F.col("shift") - F.lag("shift").over(order) > NEIGHBOURS).cast("int"), F.lit(0))
+    grouped = aligned.withColumn("apart", apart).withColumn("part", F.sum("apart").over(order))
+    many = grouped.withColumn("n", F.count(F.lit(1)).over(Window.partitionBy("hash", "item_id", "plain", "part")))
+    ways = F.explode(F.when(F.col("n") > 1, F.array(F.lit(True), F.lit(False))).otherwise(F.array(F.lit(False)))).alias("joint")
+    places = many.select("hash", "item_id", "plain", "n_tokens", "shift", F.size("at").alias("weight"), "part", F.array_distinct(F.flatten(
+        F.transform("at", lambda a: F.sequence(a, a + F.col("size") - 1)))).alias("at"), ways).select(
+        "hash", "item_id", "plain", "n_tokens", "joint", F.when(F.col("joint"), F.col("part")).otherwise(F.col("shift")).alias("part"),
+        "shift", "weight", F.explode("at").alias("at"))
+    # a token of the item stands for one of the text: that on the diagonal with most windows
+    single = places.groupBy("hash", "item_id", "plain", "n_tokens", "joint", "part", "at").agg(
+        F.max_by("shift", F.struct("weight", "shift")).alias("shift"))
+    spans = single.groupBy("hash", "item_id", "plain", "n_tokens", "joint", "part").agg(
+        F.collect_list(F.struct("at", "shift")).alias("places"), F.count(F.lit(1)).cast("int").alias("covered"))
     likely = stored(spans.filter(F.col("covered") >= LEAST_COVERED * F.col("n_tokens")), "likely")
     # slots of the texts and items in question only
     hit = _broadcast_if_small(stored(likely.select("hash").distinct(), "hit"))
     texts = docs.filter(F.col("text").isNotNull()).select(F.xxhash64("text").alias("hash"), "text").join(hit, "hash").dropDuplicates(["hash"])
-    told = items.filter(F.col("item_id").isNotNull() & F.col("text").isNotNull()).select(
-        F.col("item_id").cast("long").alias("item_id"), tokens_of(F.col("text")).alias("own"))
-    both = likely.join(texts.select("hash", tokens_of(F.col("text")).alias("found")), "hash").join(told, "item_id")
-    length = F.col("last") + F.col("size") - F.col("first")
-    own = F.slice("own", F.col("first") + 1, length)
-    found = F.slice("found", F.col("first") + F.col("shift") + 1, length)
-
-    def value(token: Column) -> Column:
-        return F.lower(F.regexp_replace(token, _LEAD, ""))
-
-    pairs = F.zip_with(F.zip_with(templates_of(own), own, lambda t, v: F.struct(t.alias("kind"), value(v).alias("own"))),
-                       found, lambda s, v: F.struct(s["kind"].alias("kind"), s["own"].alias("own"), value(v).alias("found")))
-    slots = both.withColumn("slots", F.array_distinct(F.filter(pairs, lambda p: p["kind"].startswith("<"))))
-    checked = slots.withColumn("consistent", (
-        (F.size(F.array_distinct(F.transform("slots", lambda p: F.struct(p["kind"], p["own"])))) == F.size("slots"))
-        & (F.size(F.array_distinct(F.transform("slots", lambda p: F.struct(p["kind"], p["found"])))) == F.size("slots"))))
-    return checked.filter("consistent").groupBy("hash", "item_id", "n_tokens").agg(
-        F.max(F.struct("covered", F.size("slots").alias("n_slots"), F.size(F.filter(
-            "slots", lambda p: p["own"] != p["found"])).alias("changed"))).alias("best")).select(
-        "hash", "item_id", "n_tokens", "best.covered", "best.n_slots", "best.changed")
+
+    def read(df: DataFrame, name: str) -> DataFrame:
+        kinds = templates_of(F.col(name))
+        return df.withColumns({f"{name}_kinds": kinds, f"{name}_words": _plain(F.col(name))}).withColumn(
+            f"{name}_kept", _kept(F.col(f"{name}_kinds"))).drop(name)
+
+    both = likely.join(read(texts.select("hash", tokens_of(F.col("text")).alias("found")), "found"), "hash").join(
+        read(_told(items), "own"), "item_id")
+
+    def value(name: str, at: Column) -> Column:
+        """The word, or the whole run of names, at a place of the plain words or of the collapsed template."""
+        kept = F.col(f"{name}_kept")
+        first = F.get(kept, at)
+        run = F.coalesce(F.get(kept, at + 1), F.size(f"{name}_words")) - first
+        return F.when(F.col("plain"), F.get(f"{name}_words", at)).otherwise(
+            F.array_join(F.slice(f"{name}_words", first + 1, run), " "))
+
+    def kind(at: Column) -> Column:
+        return F.get("own_kinds", F.when(F.col("plain"), at).otherwise(F.get("own_kept", at)))
+
+    pairs = F.transform(F.filter("places", lambda p: kind(p["at"]).startswith("<")), lambda p: F.struct(
+        kind(p["at"]).alias("kind"), value("own", p["at"]).alias("own"), value("found", (p["at"] + p["shift"]).cast("int")).alias("found")))
+    slots = both.withColumn("slots", F.array_distinct(pairs))
+    checked = slots.filter(F.size(F.array_distinct(F.transform("slots", lambda p: F.struct(p["kind"], p["own"])))) == F.size("slots"))
+    return checked.groupBy("hash", "item_id").agg(
+        F.max(F.struct((F.col("covered") / F.col("n_tokens")).alias("share"), ~F.col("joint"), ~F.col("plain"), "covered", "n_tokens",
+                       F.size("slots").alias("n_slots"), F.size(F.filter("slots", lambda p: p["own"] != p["found"])).alias("changed"))).alias("best")).select(
+        "hash", "item_id", "best.covered", "best.n_tokens", "best.n_slots", "best.changed")
 
 
 def find_contamination(docs: DataFrame, items: DataFrame) -> DataFrame:

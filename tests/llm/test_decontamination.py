@@ -64,3 +64,25 @@ def test_empty_tables(spark):
     assert dc.find_contamination(none, items).collect() == []
     assert dc.find_contamination(frame(spark, [QUESTION]), bench(spark, [])).collect() == []
     assert dc.without_contaminated(frame(spark, [QUESTION]), bench(spark, [])).count() == 1
+
+
+def holding(spark, texts, items):
+    return {(r.doc_id, r.item_id) for r in dc.find_contamination(frame(spark, texts), bench(spark, items)).collect()}
+
+
+def test_edited_copies_are_found(spark):
+    words = [f"{a}{b}" for a in ("bal", "cor", "dim", "fen", "gul") for b in ("ta", "no", "ri", "su", "ke", "mo", "la", "pi", "du")][:43]
+    broken = [("zz" + w if i in (10, 21, 32) else w) for i, w in enumerate(words)]
+    inserted = words[:14] + ["xx", "yy"] + words[14:28] + ["xx"] + words[28:]
+    names = QUESTION.replace("Martin", "Anna Maria")
+    merged = "Someone buys 3 green apples and 4 yellow pears on the market and carries them home"
+    texts = [" ".join(broken), " ".join(inserted), names, merged.replace("3", "5").replace("4", "5")]
+    found = holding(spark, texts, [" ".join(words), QUESTION, merged])
+    assert found == {(0, 0), (1, 0), (2, 1), (3, 2)}
+
+
+def test_short_and_odd_items_are_found_verbatim(spark):
+    items = ["What is 12 * 7 + 5?", "Which river runs through the old town", "Some Title With Names Only In It Here"]
+    texts = [f"please say: {items[0]} thanks", "he asked, Which river runs through the old town, or so", "**which river runs through the OLD town**",
+             f"see {items[2].lower()} there", "What is 12 * 8 + 5?", OTHER]
+    assert holding(spark, texts, items) == {(0, 0), (1, 1), (2, 1), (3, 2)}
