@@ -3,8 +3,9 @@
 What the patterns find are protected entities. How much a term reveals of an entity is estimated
 from co-occurrence in the corpus, as in C-sanitisation (Sanchez and Batet 2016): the pointwise mutual
 information of term and entity, set against the information of the entity itself. A
-term that occurs by the entity, and hardly anywhere else, reveals it; "the" reveals nothing. Terms in the
-words around a mention are generalised or removed when the revealed share exceeds the thresholds.
+term that occurs with the entity, and hardly anywhere else, reveals it; "the" reveals nothing. All words of a text
+count as terms of each entity in it, and every occurrence of a term in a text with the
+entity is generalised or removed when the revealed share exceeds the thresholds.
 
 All counts are numbers of different texts (copies of a text are one witness, not many) and go over the
 whole corpus: how often a term occurs at all is counted in all texts. Built-in functions only. Term
@@ -13,6 +14,8 @@ occurrences are cut down to terms that co-occur repeatedly with one entity befor
 
 from __future__ import annotations
 
+import sys
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -28,8 +31,8 @@ PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
 KINDS = {"email": (EMAIL, 0), "ip": (IP, 0), "card": (CARD, 0), "phone": (PHONE, 0)}
 BYTE = "0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
 CARD_DIGITS, PHONE_DIGITS = (12, 19), (9, 15)
-#: Characters on either side of a mention whose whole words are looked at.
-CONTEXT = 80
+#: Characters on either side of a mention whose whole words are looked at: the whole text.
+CONTEXT = sys.maxsize
 TERM = r"\p{L}{3,}+"
 #: Different texts a term must share with an entity: a single one is no estimate.
 LEAST_TOGETHER = 2
@@ -66,31 +69,18 @@ def with_entities(docs: DataFrame) -> DataFrame:
 
 
 def _mentions(rows: DataFrame) -> DataFrame:
-    """One row a mention: row, hash, entity, and the context on both sides with its start, cut to whole words."""
-    at = F.explode("_base").alias("s")
-    told = rows.filter(F.size("_base") > 0).select("row", "hash", "text", at)
-    begin = F.greatest(F.lit(0), F.col("s.start") - CONTEXT)
-    left = F.substring(F.col("text"), begin + 1, F.col("s.start") - begin)
-    right = F.substring(F.col("text"), F.col("s.end") + 1, F.lit(CONTEXT))
-    # a word that the window cuts is no whole word
-    cut = F.when(begin > 0, F.regexp_extract(left, r"^\p{L}*+", 0)).otherwise("")
-    tail = F.when(F.length(right) == CONTEXT, F.regexp_replace(right, r"\p{L}++$", "")).otherwise(right)
-    return told.select(
-        "row", "hash",
-        F.xxhash64("s.kind", F.when(F.col("s.kind") == "email", F.lower("s.found")).otherwise(_digits(F.col("s.found")))).alias("entity"),
-        (begin + F.length(cut)).alias("left_at"), F.substring(left, F.length(cut) + 1, F.length(left)).alias("left"),
-        F.col("s.end").alias("right_at"), tail.alias("right"),
-    )
+    """(row, hash, text, entity, places): the spans of each entity of a row."""
+    told = rows.filter(F.size("_base") > 0).select("row", "hash", "text", "_base", F.transform("_base", lambda s: F.xxhash64(
+        s["kind"], F.when(s["kind"] == "email", F.lower(s["found"])).otherwise(_digits(s["found"])))).alias("entities"))
+    return told.select("row", "hash", "text", "_base", "entities", F.explode(F.array_distinct("entities")).alias("entity")).select(
+        "row", "hash", "text", "entity", F.filter("_base", lambda s, i: F.get("entities", i) == F.col("entity")).alias("places"))
 
 
 def _terms(mentions: DataFrame) -> DataFrame:
-    """(row, hash, entity, term, start, end) of the words around mentions, each position once for an entity."""
-    sides = [
-        with_matches(mentions.select("row", "hash", "entity", F.col(f"{s}_at").alias("at"), F.col(s).alias("words")),
-                     "words", {"term": (TERM, 0)}) for s in ("left", "right")]
-    return sides[0].unionByName(sides[1]).select("row", "hash", "entity", "at", F.explode("_term").alias("t")).select(
-        "row", "hash", "entity", F.lower("t.found").alias("term"),
-        (F.col("at") + F.col("t.start")).alias("start"), (F.col("at") + F.col("t.end")).alias("end"))
+    """``mentions`` without text, with ``words``: the text's words outside a mention of the entity, lower-cased, with start and end."""
+    return with_matches(mentions, "text", {"term": (TERM, 0)}).select("row", "hash", "entity", F.transform(
+        F.filter("_term", lambda t: F.exists("places", lambda s: (t["end"] <= s["start"]) | (t["start"] >= s["end"]))),
+        lambda t: F.struct(F.lower(t["found"]).alias("term"), t["start"].alias("start"), t["end"].alias("end"))).alias("words"))
 
 
 def _small(df: DataFrame) -> DataFrame:
@@ -98,20 +88,28 @@ def _small(df: DataFrame) -> DataFrame:
     return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
 
 
-def disclosing_terms(texts: DataFrame, terms: DataFrame, mentions: DataFrame) -> DataFrame:
+def _words_of(text: str) -> Column:
+    """Rows of the different words of a text, as ``term``."""
+    return F.explode(F.array_distinct(F.regexp_extract_all(F.lower(text), F.lit(TERM), F.lit(0)))).alias("term")
+
+
+def disclosing_terms(texts: DataFrame, mentions: DataFrame) -> DataFrame:
     """(entity, term, kind) whose revealed share of the entity's information exceeds a threshold.
 
     ``texts``: (hash, text) of all documents. With N different texts, n(t), n(e) and n(t, e) of them
-    holding the term, the entity and the term by the entity, the share is
+    holding the term, the entity and both, the share is
     log(n(t, e) N / (n(t) n(e))) / log(N / n(e)).
     """
     size = float(texts.select("hash").distinct().count())
-    together = terms.select("entity", "term", "hash").distinct().groupBy("entity", "term").agg(
-        F.count(F.lit(1)).alias("n_both")).filter(F.col("n_both") >= LEAST_TOGETHER)
-    owners = mentions.select("entity", "hash").distinct().groupBy("entity").agg(F.count(F.lit(1)).alias("n_entity"))
-    # a term occurs at least in the texts that have it by any entity: what can't reach the threshold even
+    once = mentions.dropDuplicates(["hash", "entity"])
+    owners = stored(once.groupBy("entity").agg(F.count(F.lit(1)).alias("n_entity")), "owners")
+    # an entity of fewer texts shares fewer with any term
+    several = once.join(owners.filter(F.col("n_entity") >= LEAST_TOGETHER), "entity")
+    together = _terms(several).select("entity", F.explode(F.array_distinct(F.transform("words", lambda t: t["term"]))).alias("term")).groupBy(
+        "entity", "term").agg(F.count(F.lit(1)).alias("n_both")).filter(F.col("n_both") >= LEAST_TOGETHER)
+    # a term occurs at least in the texts that have it with any entity: what can't reach the threshold even
     # so, as common words can't, needs no count over all texts
-    around = terms.select("term", "hash").distinct().groupBy("term").agg(F.count(F.lit(1)).alias("n_around"))
+    around = mentions.dropDuplicates(["hash"]).select(_words_of("text")).groupBy("term").agg(F.count(F.lit(1)).alias("n_around"))
 
     def share(n_term: str) -> Column:
         return F.log(F.col("n_both") * size / (F.col(n_term) * F.col("n_entity"))) / F.log(size / F.col("n_entity"))
@@ -120,7 +118,7 @@ def disclosing_terms(texts: DataFrame, terms: DataFrame, mentions: DataFrame) ->
         together.join(owners, "entity").filter(F.col("n_entity") < size).join(around, "term")
         .filter(share("n_around") >= GENERALISE), "together")
     wanted = _small(stored(possible.select("term").distinct(), "terms"))
-    words = texts.select("hash", F.explode(F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(TERM), F.lit(0)))).alias("term"))
+    words = texts.select("hash", _words_of("text"))
     spread = words.join(wanted, "term").distinct().groupBy("term").agg(F.count(F.lit(1)).alias("n_term"))
     judged = possible.join(spread, "term").withColumn("share", share("n_term")).filter(F.col("share") >= GENERALISE)
     return judged.select("entity", "term", F.when(F.col("share") >= REMOVE, "remove").otherwise("generalise").alias("kind"))
@@ -137,12 +135,13 @@ def sanitise(docs: DataFrame) -> DataFrame:
         F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     hashed = rows.withColumn("hash", F.xxhash64("text"))
     numbered = with_entities(hashed.withColumn("row", F.monotonically_increasing_id()))
-    # the contexts are cut out before the texts are left behind
+    # texts without an entity are left behind
     found = stored(numbered.select(
         "row", "doc_id", "hash", "_base", F.when(F.size("_base") > 0, F.col("text")).alias("text")), "entities")
     mentions = _mentions(found)
-    terms = stored(_terms(mentions), "contexts")
-    flagged = _small(stored(disclosing_terms(hashed.select("hash", "text"), terms, mentions), "flagged"))
+    flagged = _small(stored(disclosing_terms(hashed.select("hash", "text"), mentions), "flagged"))
+    told = mentions.join(_small(stored(flagged.select("entity").distinct(), "flagged")), "entity")
+    terms = _terms(told).select("row", "entity", F.explode("words").alias("w")).select("row", "entity", "w.*")
     hits = terms.join(flagged, ["entity", "term"]).select("row", F.struct(
         "start", F.when(F.col("kind") == "remove", _KIND_RANKS["remove"]).otherwise(_KIND_RANKS["generalise"]).alias("rank"), "kind",
         "end", F.col("term").alias("found"), F.col("term").alias("part")).alias("s"))

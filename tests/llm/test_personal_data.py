@@ -87,3 +87,15 @@ def test_empty_and_repeated(spark):
     nameless = one.selectExpr("cast(null as long) as doc_id", "text", "entity", "term")
     rows = pd.scan_personal_data(one.union(one).union(nameless)).collect()
     assert [r.spans for r in rows] == ["email:5:11"] * 3
+
+
+def test_terms_far_from_a_mention_count_and_go(spark):
+    filler = "and so the long day went on by the mill " * 6
+    told = [f"Write to anna.k@mail.org now {i}. {filler} Quillhaven {filler} Quillhaven" for i in range(4)]
+    rows = pd.scan_personal_data(frame(spark, told + [f"{filler} number {i}" for i in range(30)])).collect()
+    for r in rows:
+        if r.doc_id < 4:
+            starts = [m.start() for m in re.finditer("Quillhaven", told[r.doc_id])]
+            assert all(f"remove:{s}:{s + 10}" in r.spans for s in starts) and len(starts) == 2
+        else:
+            assert r.spans == ""
