@@ -238,3 +238,15 @@ def test_pipeline_stages(stages):
 def test_pipeline_masks_secrets(stages):
     assert stages[4].filter(F.col("text").rlike("AKIA[A-Z0-9]{14,}|[0-9a-f]{16,}")).count() == 0
     assert stages[4].count() == stages[3].count()
+
+
+def test_pipeline_links_from_80_percent(spark, small):
+    import corpus_pipeline as cp
+
+    base = [f"b{k}" for k in range(204)]
+    near, far = list(base), list(base)
+    near[50] = near[100] = near[150] = near[200] = "x"  # 181 of 219 shingles in common: 0.83
+    for k in range(20, 180, 20):
+        far[k] = "y"
+    docs = frame(spark, [(1, " ".join(base)), (2, " ".join(near)), (3, " ".join(far)), (None, " ".join(base))])
+    assert {r.doc_id for r in cp.drop_near_duplicates(spark, docs, small).collect()} == {1, 3, None}
