@@ -8,7 +8,7 @@ difference of the two log-likelihoods comes from what the classes really do diff
 forms of an expression share its leading characters. The difference is normalised by length three times, over
 the whole document, its worst passage and its worst phrase, and a logistic curve turns these into a score.
 
-Counts are grouped sums over labelled texts (copies of a text once), combined before each shuffle, and every
+Counts are grouped sums over all labelled texts but the held-out fold and the curve's rows (copies of a text once), combined before each shuffle, and every
 count is kept. What is broadcast is bounded: up to ``BROADCAST_GRAMS`` n-grams the tables go to the tasks whole;
 beyond, each different word is scored once by joins of its n-grams with the stored tables, and the scores
 meet the words of the texts in another join. Both ways give the same measures.
@@ -35,10 +35,10 @@ ORDER = 5
 BROADCAST_GRAMS = 2 ** 21
 #: Words of a passage and of a phrase.
 PASSAGE, PHRASE = 50, 10
-#: Labelled rows the logistic curve is fitted on at most; counts use all labelled rows.
+#: Labelled rows the logistic curve is fitted on at most; counts use all others outside the held-out fold.
 CURVE_ROWS = 20_000
-#: Folds of ``crc32(doc_id) mod 5``: 0 is held out, these are counted, the last one fits the curve.
-FOLDS, HELD_OUT, COUNTED, CURVE = 5, 0, (1, 2, 3), 4
+#: Folds of ``crc32(doc_id) mod 5``: 0 is held out, these are counted, without the curve's rows, which are of the last one.
+FOLDS, HELD_OUT, COUNTED, CURVE = 5, 0, (1, 2, 3, 4), 4
 #: Word scores that one worker keeps, and characters it looks at in one go.
 CACHE_WORDS, CHUNK_CHARS = 300_000, 2_000_000
 DISCOUNT = 0.75
@@ -411,7 +411,8 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, curve_rows: int = CURVE_R
     nothing can be learnt and all scores are 0. Columns of ``docs`` with a result's name are replaced.
     """
     texts = stored(labelled_texts(docs, labels), "labelled")
-    counts = count_grams(docs, texts)
+    sample = stored(texts.filter(F.col("fold") == CURVE).orderBy(F.xxhash64("doc_id"), "doc_id").limit(curve_rows), "curve")
+    counts = count_grams(docs, texts.join(F.broadcast(sample.select("doc_id")), "doc_id", "left_anti"))
     result = docs.withColumn("held_out", F.coalesce(fold_of(F.col("doc_id")) == HELD_OUT, F.lit(False)))
     if counts is None:
         nothing = {n: F.lit(0.0) for n in ("score", "toxic_ll", "ordinary_ll", *_FEATURES)}
@@ -429,7 +430,6 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, curve_rows: int = CURVE_R
             return rows.join(by_text, F.xxhash64("text") == F.col("_hash"), "left").drop("_hash").withColumn(
                 "_m", F.coalesce("_m", zeros))
 
-    sample = texts.filter(F.col("fold") == CURVE).orderBy(F.xxhash64("doc_id"), "doc_id").limit(curve_rows)
     fitted = with_measures(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(
         F.broadcast(sample.select("doc_id", "toxic")), "doc_id",  # at most curve_rows rows
     )).select("toxic", *(f"_m.{n}" for n in _FEATURES)).toPandas()

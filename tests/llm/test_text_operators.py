@@ -250,3 +250,13 @@ def test_pipeline_links_from_80_percent(spark, small):
         far[k] = "y"
     docs = frame(spark, [(1, " ".join(base)), (2, " ".join(near)), (3, " ".join(far)), (None, " ".join(base))])
     assert {r.doc_id for r in cp.drop_near_duplicates(spark, docs, small).collect()} == {1, 3, None}
+
+
+def test_labels_outside_the_curve_sample_count(spark):
+    docs = frame(spark, [(i, "plain words here" if i % 2 else "vilesort words here" + " again" * i) for i in range(40)])
+    four = [i for i in range(40) if zlib.crc32(str(i).encode()) % 5 == toxicity.CURVE]
+    docs = docs.unionByName(frame(spark, [(i + 1000, "other") for i in range(5)])).withColumn("text", F.when(
+        F.col("doc_id") == four[0], "onlyhere").otherwise(F.col("text")))
+    labels = spark.createDataFrame([(i, int(i % 2 == 0)) for i in range(40)], "doc_id long, toxic int")
+    counts = toxicity.count_grams(docs, toxicity.labelled_texts(docs, labels))
+    assert counts.top.filter(F.col("gram") == "onlyh").count() == 1
