@@ -13,10 +13,13 @@ from arrearscope.llm import (
     nearest_neighbours,
     packing,
     personal_data,
+    ranked_search,
     secret_scan,
+    sequence_files,
     sharding,
     toxicity,
     url_filters,
+    vector_codes,
     warc_revisits,
 )
 from arrearscope.llm.common import table
@@ -74,6 +77,18 @@ def op10_pack_sequences(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack_documents(table(spark, folder, "documents"))
 
 
+def op11_ranked_search(spark: SparkSession, folder: str) -> DataFrame:
+    return ranked_search.search_ranked(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+def op12_vector_codes(spark: SparkSession, folder: str) -> DataFrame:
+    return vector_codes.compress(table(spark, folder, "embeddings"))
+
+
+def op13_token_sequences(spark: SparkSession, folder: str) -> DataFrame:
+    return sequence_files.tokenised_documents(table(spark, folder, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op2_warc_revisits": op2_warc_revisits,
@@ -85,11 +100,16 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_decontaminate": op8_decontaminate,
     "op9_personal_data": op9_personal_data,
     "op10_pack_sequences": op10_pack_sequences,
+    "op11_ranked_search": op11_ranked_search,
+    "op12_vector_codes": op12_vector_codes,
+    "op13_token_sequences": op13_token_sequences,
 }
 
 _PERMITTED = ", ".join(f"'{name}'" for name in warc_revisits.PERMITTED)
 
 SQL = {
+    "op11_ranked_search": ranked_search.sql(),
+    "op12_vector_codes": vector_codes.sql(),
     "op2_warc_revisits": f"""
 WITH bare AS (
  SELECT page_id, url, '"' || md5(html) || '"' AS tag,
