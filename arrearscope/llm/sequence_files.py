@@ -1,10 +1,10 @@
 """Token ids as Arrow files of equally long sequences.
 
 A file holds a range of documents in ascending order, their ids one after the other, cut into sequences of one length. It is
-in Arrow's random-access format: record batches with two fixed-size-list columns, ``ids`` (unsigned 32-bit) and
-``mask`` (1 for an id, 0 for padding, which only a file's last sequence has). Because lists of a fixed size have no offsets, the
-values of a batch are one flat buffer, and any sequence, run of sequences or document inside a batch of a
-memory-mapped file is a view into it, without a copy. Next to it an index file, in the same format, says where each document
+in Arrow's random-access format: record batches with two fixed-size-list columns, ``ids`` (unsigned, 16 bits if they hold the
+vocabulary, else 32) and ``mask`` (a bit, set for an id, not for padding, which only a file's last sequence has). Because lists
+of a fixed size have no offsets, the values of a batch are one flat buffer, and any sequence, run of sequences or document inside a
+batch of a memory-mapped file is a view into it, without a copy. Next to it an index file, in the same format, says where each document
 begins. ``SequenceFile`` reads both.
 
 Spark cuts the documents into ranges of doc_id and sorts each; every task writes its files under names of
@@ -38,25 +38,30 @@ INDEX = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("length", pa.
 FILES = "part int, sequences string, documents string, n_documents long, n_ids long"
 
 
-def sequence_schema(length: int) -> pa.Schema:
+def id_type(greatest: int) -> type[np.unsignedinteger]:
+    """The narrower of the two unsigned types that hold the ids."""
+    return np.uint16 if greatest < 2**16 else np.uint32
+
+
+def sequence_schema(length: int, kind: type[np.unsignedinteger] = np.uint32) -> pa.Schema:
     return pa.schema([
-        pa.field("ids", pa.list_(pa.field("item", pa.uint32(), False), length), False),
-        pa.field("mask", pa.list_(pa.field("item", pa.uint8(), False), length), False),
+        pa.field("ids", pa.list_(pa.field("item", pa.from_numpy_dtype(kind), False), length), False),
+        pa.field("mask", pa.list_(pa.field("item", pa.bool_(), False), length), False),
     ], {b"length": str(length).encode()})
 
 
 class SequenceWriter:
     """Writes one file and its index; holds one record batch of ids at most, and one document."""
 
-    def __init__(self, folder: str, name: str, length: int = LENGTH, batch: int = BATCH):
+    def __init__(self, folder: str, name: str, length: int = LENGTH, batch: int = BATCH, kind: type[np.unsignedinteger] = np.uint32):
         self.files, path = arrow_fs.FileSystem.from_uri(folder)
         self.files.create_dir(path, recursive=True)
         self.paths = (f"{folder}/{name}.sequences.arrow", f"{folder}/{name}.documents.arrow")
         self.sinks = [self.files.open_output_stream(f"{path}/{p.rsplit('/', 1)[1]}") for p in self.paths]
         self.length, self.room = length, length * batch
-        self.schema = sequence_schema(length)
+        self.schema = sequence_schema(length, kind)
         self.sequences, self.index = pa.ipc.new_file(self.sinks[0], self.schema), pa.ipc.new_file(self.sinks[1], INDEX)
-        self.held = np.empty(self.room, np.uint32)
+        self.held = np.empty(self.room, kind)
         self.used = self.n_ids = self.n_documents = 0
         self.rows: list[tuple[int | None, int, int]] = []
 
@@ -76,9 +81,9 @@ class SequenceWriter:
 
     def _write(self) -> None:
         rows = -(-self.used // self.length)
-        values = np.zeros(rows * self.length, np.uint32)
+        values = np.zeros(rows * self.length, self.held.dtype)
         values[:self.used] = self.held[:self.used]
-        mask = (np.arange(rows * self.length) < self.used).astype(np.uint8)
+        mask = np.arange(rows * self.length) < self.used
         self.sequences.write_batch(pa.RecordBatch.from_arrays([
             pa.FixedSizeListArray.from_arrays(pa.array(values), type=self.schema.field(0).type),
             pa.FixedSizeListArray.from_arrays(pa.array(mask), type=self.schema.field(1).type),
@@ -118,24 +123,24 @@ class SequenceFile:
             self._last = i, self.source.get_batch(i)
         return self._last[1]
 
-    def _values(self, i: int, column: int) -> np.ndarray:
-        return self._batch(i).column(column).flatten().to_numpy(zero_copy_only=True)
+    def _values(self, i: int) -> np.ndarray:
+        return self._batch(i).column(0).flatten().to_numpy(zero_copy_only=True)
 
     def ids(self, i: int) -> np.ndarray:
         """The ids of sequence ``i``, padding included; not a copy."""
         at = i % self.batch * self.length
-        return self._values(i // self.batch, 0)[at:at + self.length]
+        return self._values(i // self.batch)[at:at + self.length]
 
-    def mask(self, i: int) -> np.ndarray:
-        at = i % self.batch * self.length
-        return self._values(i // self.batch, 1)[at:at + self.length]
+    def mask(self, i: int) -> pa.BooleanArray:
+        """Which ids of sequence ``i`` are not padding; not a copy, so packed bits."""
+        return self._batch(i // self.batch).column(1).flatten().slice(i % self.batch * self.length, self.length)
 
     def run(self, start: int, length: int) -> Iterator[np.ndarray]:
         """The ids from place ``start`` of the file on, a view for each batch that they lie in."""
         room = self.batch * self.length
         while length:
             at = start % room
-            piece = self._values(start // room, 0)[at:at + length]
+            piece = self._values(start // room)[at:at + length]
             yield piece
             start, length = start + len(piece), length - len(piece)
 
@@ -162,7 +167,8 @@ def _writer(folder: str, tokenizer: str, end_id: int, length: int):
         for batch in batches:
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
                 encoder = encoder or Encoder(tokenizer)
-                writer = writer or SequenceWriter(folder, f"{part:06d}-{uuid.uuid4().hex}", length)
+                writer = writer or SequenceWriter(
+                    folder, f"{part:06d}-{uuid.uuid4().hex}", length, kind=id_type(max(encoder.exact.get_vocab_size(), end_id + 1) - 1))
                 writer.add(doc_id, np.concatenate([np.frombuffer(encoder.ids(text.as_py()), "<u4"), end]))
         if writer:
             writer.close()
@@ -204,7 +210,7 @@ def _reader(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for doc_id, start, length in file.documents():
                 crc = 0
                 for piece in file.run(start, length):
-                    crc = zlib.crc32(piece.astype("<u4", copy=False), crc)
+                    crc = zlib.crc32(piece.astype("<u4"), crc)
                 found.append((doc_id, before + start, length, crc))
                 if len(found) == INDEX_BATCH:
                     yield rows(found)
@@ -220,15 +226,15 @@ def read_documents(files: DataFrame) -> DataFrame:
 
 
 def read_sequences(files: DataFrame) -> DataFrame:
-    """file, sequence (from 0 in the file), ids and mask (lists of one length) of every sequence in ``files``."""
+    """file, sequence (from 0 in the file), ids and mask (lists of one length, 1 for an id) of every sequence in ``files``."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for uri in batch.column(0).to_pylist():
                 file, n = SequenceFile(uri), 0
                 for i in range(file.source.num_record_batches):
                     one = file.source.get_batch(i)
-                    ids, mask = (pa.ListArray.from_arrays(
-                        pa.array(np.arange(0, (one.num_rows + 1) * file.length, file.length, dtype=np.int32)), c.flatten()) for c in one.columns)
+                    ends = pa.array(np.arange(0, (one.num_rows + 1) * file.length, file.length, dtype=np.int32))
+                    ids, mask = (pa.ListArray.from_arrays(ends, c.flatten()) for c in one.columns)
                     yield pa.RecordBatch.from_arrays([
                         pa.array([uri] * one.num_rows), pa.array(range(n, n + one.num_rows), pa.int64()),
                         ids.cast(pa.list_(pa.int64())), mask.cast(pa.list_(pa.int32()))], names=["file", "sequence", "ids", "mask"])

@@ -209,8 +209,9 @@ def test_files_give_the_ids_back(spark, tokenizer, tmp_path):
     assert sequence_files.tokenised_documents(df.limit(0)).collect() == []
 
 
-def test_sequences_are_views(tokenizer, tmp_path):
-    writer = sequence_files.SequenceWriter(f"file://{tmp_path}", "one", length=8, batch=4)
+@pytest.mark.parametrize("kind", [np.uint16, np.uint32])
+def test_sequences_are_views(tmp_path, kind):
+    writer = sequence_files.SequenceWriter(f"file://{tmp_path}", "one", length=8, batch=4, kind=kind)
     rng = np.random.default_rng(4)
     docs = [rng.integers(0, 50_000, n).astype(np.uint32) for n in (1, 8, 70, 3, 31)]
     for i, ids in enumerate(docs):
@@ -222,7 +223,7 @@ def test_sequences_are_views(tokenizer, tmp_path):
     for i in (14, 0, 7, 3):
         view = file.ids(i)
         own = whole[8 * i:8 * i + 8]
-        assert not view.flags.owndata and (view[:len(own)] == own).all() and file.mask(i).tolist() == [1] * len(own) + [0] * (8 - len(own))
+        assert not view.flags.owndata and view.dtype == kind and (view[:len(own)] == own).all() and file.mask(i).to_pylist() == [True] * len(own) + [False] * (8 - len(own))
     for (doc_id, start, length), ids in zip(file.documents(), docs):
         assert (np.concatenate(list(file.run(start, length))) == ids).all()
 
