@@ -119,13 +119,17 @@ class ScoreScale:
 class BoostedTreesParams:
     trees: int = 300
     depth: int = 5
+    leaves: int | None = None  # None: level by level down to ``depth``; else best split first, up to so many leaves
     learning_rate: float = 0.05
     row_sample: float = 0.8
     column_sample: float = 0.8
-    min_rows_per_leaf: int = 20
-    max_bins: int = 32
+    min_rows_per_leaf: int = 1
+    min_hessian_per_leaf: float = 20.0
+    l1: float = 0.1
+    l2: float = 1.0
+    max_bins: int = 64  # 256 at most
     seed: int = 42
-    early_stopping: bool = False  # True: stop at the first tree that doesn't lower the validation loss
+    patience: int | None = None  # stop after so many trees without a better validation AUC, and keep the best prefix
 
 
 @dataclass(frozen=True)
@@ -160,10 +164,9 @@ class RiskConfig:
     oot_test_years: tuple[int, int] = (2008, 2012)
     score_scale: ScoreScale = field(default_factory=ScoreScale)
     boosted_a: BoostedTreesParams = field(default_factory=BoostedTreesParams)
-    # second booster: finer histogram and its own seed stand in for a different learner
-    boosted_b: BoostedTreesParams = field(
-        default_factory=lambda: BoostedTreesParams(max_bins=64, seed=43)
-    )
+    # second booster: best split first; its leaves are bounded by rows, and all rows are in each tree
+    boosted_b: BoostedTreesParams = field(default_factory=lambda: BoostedTreesParams(
+        leaves=31, min_rows_per_leaf=20, min_hessian_per_leaf=1e-3, row_sample=1.0, max_bins=255))
     forest: ForestParams = field(default_factory=ForestParams)
     logistic: LogisticParams = field(default_factory=LogisticParams)
 

@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from arrearscope.config import (
@@ -16,6 +17,7 @@ from arrearscope.config import (
     ORIGINATION_LAYOUT,
     SERVICING_LAYOUT,
     TARGET,
+    RiskConfig,
 )
 from arrearscope.functions import features as f
 from arrearscope.functions.scoring import score_band, score_points
@@ -617,26 +619,25 @@ def ensemble_scores(spark, folder):
 # --- training ----------------------------------------------------------------
 
 
-def _train(spark, folder, only=None):
-    split = stored(splits.add_splits(_modeling(spark, folder)), "modeling")
-    return split, models.train_all(splits.training_frame(split), only=only)
+#: Settings that the training queries use.
+TRAINING = RiskConfig()
 
 
-#: An AUC every learner must exceed on a test split (the trailing label shares its months with the features).
-AUC_FLOOR = 0.75
+def _train(spark, folder, only=None):
+    split = stored(splits.add_splits(_modeling(spark, folder)), "modeling")
+    return split, models.train_all(splits.training_frame(split), TRAINING, only)
 
 
 def _checked(split: DataFrame, trained: models.TrainedModels) -> DataFrame:
     """What is known about trained models without repeating the training, a row for each model and test split."""
     scored = stored(models.score_splits(trained, split), "scored")
-    trees = {name: getattr(model.stages[-1], "getNumTrees", 0) for name, model in trained.models.items()}
+    trees = {name: models.n_trees(model) for name, model in trained.models.items()}
     grown = F.create_map(*(x for name in [*trees, models.ENSEMBLE] for x in (F.lit(name), F.lit(trees.get(name, 0)))))
     outside = scored.groupBy("model", "split").agg(
         F.count_if(~F.coalesce(F.col("p").between(0, 1), F.lit(False))).alias("n_outside"))
     rated = metrics.metric_rows(scored).join(outside, ["model", "split"])
     return rated.select(
-        "model", "split", "n_total", "n_positive", "default_rate_pct", "n_outside", grown[F.col("model")].alias("trees"),
-        (F.col("auc_roc") > AUC_FLOOR).cast("int").alias("auc_above_floor"))
+        "model", "split", "n_total", "n_positive", "default_rate_pct", "n_outside", grown[F.col("model")].alias("trees"))
 
 
 def _train_one(spark, folder, name: str) -> DataFrame:
@@ -669,33 +670,40 @@ def train_ensemble(spark, folder):
     return _checked(*_train(spark, folder))
 
 
-def _ranked(importances: DataFrame, top: int | None = None) -> DataFrame:
-    """Ranks with two checks: values fall, and all of a tree model's sum up to one."""
-    by_model = Window.partitionBy("model")  # one row a feature
-    order = by_model.orderBy(F.desc("importance"), "feature")
-    ranked = importances.select(
-        "model", F.row_number().over(order).alias("rank"),
-        F.coalesce(F.col("importance") <= F.lag("importance").over(order), F.lit(True)).cast("int").alias("falls"),
-        (F.abs(F.sum("importance").over(by_model) - 1) < 1e-6).cast("int").alias("sums_to_one"))
-    return ranked if top is None else ranked.filter(F.col("rank") <= top)
-
-
 @query
 def feature_importance_top15(spark, folder):
-    _, trained = _train(spark, folder, ["random_forest"])
-    table = models.feature_importances(spark, trained)
-    assert models.top_features(table, "random_forest").count() == 15
-    return _ranked(table, 15)
+    """The features of booster A by mean gain of their splits."""
+    _, trained = _train(spark, folder, ["boosted_a"])
+    return models.top_features(models.feature_importances(spark, trained), "boosted_a")
 
 
 @query
 def linear_coefficients(spark, folder):
-    _, trained = _train(spark, folder, ["logistic_regression"])
-    table = models.feature_importances(spark, trained)
-    ranked = _ranked(table).drop("sums_to_one")
-    wrong = table.filter(F.coalesce("importance", F.lit(-1.0)) != F.abs("coefficient")).groupBy("model").agg(
-        F.count(F.lit(1)).alias("n_wrong"))
-    return ranked.join(wrong, "model", "left").withColumn("n_wrong", F.coalesce("n_wrong", F.lit(0).cast("long")))
+    """Coefficients of the linear model with the derivatives of its loss there, which are 0 at the optimum."""
+    split, trained = _train(spark, folder, ["logistic_regression"])
+    return models.linear_gradient(spark, trained, splits.training_frame(split))
+
+
+@query
+def stored_models(spark, folder):
+    """Loans on which models that were stored and loaded again, or are read from node tables, give other scores: none, by split."""
+    split = stored(splits.add_splits(_modeling(spark, folder)), "modeling")
+    config = replace(TRAINING, boosted_a=replace(TRAINING.boosted_a, trees=10), boosted_b=replace(TRAINING.boosted_b, trees=10))
+    trained = models.train_all(splits.training_frame(split), config)
+    path = scratch_path(spark, "models")
+    models.save_models(spark, trained, path)
+    loaded = models.load_models(spark, path, trained.feature_names)
+    names = [*trained.models, models.ENSEMBLE]
+    trees = [name for name in trained.models if models.n_trees(trained.models[name])]
+    again = models.score(loaded, split).select(LOAN, *(F.col(n).alias(f"{n}_again") for n in names))
+    nodes = models.score_by_nodes(spark, loaded, split).select(LOAN, *(F.col(n).alias(f"{n}_nodes") for n in trees))
+    both = models.score(trained, split).join(again, LOAN).join(nodes, LOAN)
+    other = F.lit(False)
+    for name in names:
+        other |= F.col(name) != F.col(f"{name}_again")
+    for name in trees:
+        other |= F.abs(F.col(name) - F.col(f"{name}_nodes")) > 1e-12
+    return both.groupBy("split_oos").agg(F.count(F.lit(1)).alias("n_loans"), F.count_if(other).alias("n_different"))
 
 
 @query

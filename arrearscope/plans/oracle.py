@@ -459,15 +459,13 @@ SELECT count(*) AS n_loans, CAST(sum(y) AS BIGINT) AS n_defaults, CAST(sum(1 - y
     q["max_ks"] = f"SELECT model, split, max(ks) AS max_ks, arg_max(decile, (ks, -decile)) AS decile FROM ({sql(_DECILES, 'scored')}) GROUP BY ALL"
     trained = """
 SELECT model, split, count(*) AS n_total, CAST(sum(y) AS BIGINT) AS n_positive, round_even(100.0::DOUBLE*sum(y)/count(*), 2) AS default_rate_pct,
- CAST(0 AS BIGINT) AS n_outside, trees, 1 AS auc_above_floor FROM parts, (VALUES {learners}) learners(model, trees) GROUP BY ALL"""
+ CAST(0 AS BIGINT) AS n_outside, trees FROM parts, (VALUES {learners}) learners(model, trees) GROUP BY ALL"""
     learners = {"boosted_a": 300, "boosted_b": 300, "random_forest": 200, "logistic_regression": 0, "ensemble": 0}
     for name in [*learners][:-1]:
         q[f"train_{name}"] = sql(trained.format(learners=f"('{name}', {learners[name]})"), "parts")
     q["train_ensemble"] = sql(trained.format(learners=", ".join(f"('{n}', {k})" for n, k in learners.items())), "parts")
-    q["feature_importance_top15"] = """
-SELECT 'random_forest' AS model, CAST(rank AS INTEGER) AS rank, 1 AS falls, 1 AS sums_to_one FROM range(1, 16) ranks(rank)"""
-    q["linear_coefficients"] = """
-SELECT 'logistic_regression' AS model, CAST(rank AS INTEGER) AS rank, 1 AS falls, CAST(0 AS BIGINT) AS n_wrong FROM range(1, 49) ranks(rank)"""
+    q["stored_models"] = sql("""
+SELECT split_oos, count(*) AS n_loans, CAST(0 AS BIGINT) AS n_different FROM split GROUP BY split_oos""", "split")
     q["assembled_features"] = sql(f"""
 SELECT {_L}, credit_score_bucket, CAST(dense_rank() OVER (ORDER BY credit_score_bucket) - 1 AS INTEGER) AS code FROM joined""", "joined")
     q["event_flags"] = sql(f"""

@@ -20,8 +20,8 @@ from arrearscope.sources.tables import load_split, save_with_counts
 
 FAST = replace(
     RiskConfig(),
-    boosted_a=BoostedTreesParams(trees=4, depth=3, early_stopping=False),
-    boosted_b=BoostedTreesParams(trees=4, depth=3, early_stopping=True, seed=7),
+    boosted_a=BoostedTreesParams(trees=4, depth=3),
+    boosted_b=BoostedTreesParams(trees=4, depth=4, leaves=6, seed=7),
     forest=ForestParams(trees=5, depth=4, min_rows_per_leaf=5),
     logistic=LogisticParams(iterations=20),
 )
@@ -45,7 +45,7 @@ def test_all_learners_and_weights(trained):
     assert set(trained.models) == {"boosted_a", "boosted_b", "random_forest", "logistic_regression"}
     assert not trained.failures
     assert abs(sum(trained.weights.values()) - 1) < 1e-12
-    assert trained.models["boosted_a"].stages[-1].getNumTrees == 4
+    assert models.n_trees(trained.models["boosted_a"]) == 4 and models.n_trees(trained.models["random_forest"]) == 5
     assert len(trained.feature_names) == 48
 
 
@@ -86,6 +86,30 @@ def test_models_are_stored_and_loaded(spark, split, trained, tmp_path):
     assert loaded.weights == trained.weights and loaded.feature_names == trained.feature_names
     rows = split.orderBy(LOAN).limit(20)
     assert models.score(loaded, rows).select("ensemble").collect() == models.score(trained, rows).select("ensemble").collect()
+    assert models.load_models(spark, str(tmp_path / "m"), trained.feature_names).weights == trained.weights
+    with pytest.raises(ValueError, match="feature list"):
+        models.load_models(spark, str(tmp_path / "m"), trained.feature_names[::-1])
+    spark.createDataFrame([(0, "other")], "position int, feature string").write.mode("overwrite").parquet(str(tmp_path / "m/feature_names"))
+    with pytest.raises(ValueError, match="not whole"):
+        models.load_models(spark, str(tmp_path / "m"))
+
+
+def test_trees_are_scored_from_their_nodes(spark, split, trained):
+    names = ["boosted_a", "boosted_b", "random_forest"]
+    plain = models.score(trained, split).select(LOAN, *names)
+    nodes = models.score_by_nodes(spark, trained, split).select(LOAN, *(F.col(n).alias(f"{n}_nodes") for n in names))
+    gaps = plain.join(nodes, LOAN).agg(F.count(F.lit(1)), *(F.max(F.abs(F.col(n) - F.col(f"{n}_nodes"))) for n in names)).first()
+    assert gaps[0] == split.count() and all(gap <= 1e-12 for gap in gaps[1:])
+
+
+def test_linear_model_is_optimal_and_a_wrong_one_is_not(spark, split, tmp_path):
+    config = replace(RiskConfig(), logistic=LogisticParams(iterations=500, tolerance=1e-9))
+    rows = splits.training_frame(split)
+    fitted = models.train_all(rows, config, only=["logistic_regression"])
+    table = models.linear_gradient(spark, fitted, rows, config)
+    assert table.count() == 49 and table.agg(F.max(F.abs("gradient"))).first()[0] < 1e-4
+    early = models.train_all(rows, replace(config, logistic=LogisticParams(iterations=1)), only=["logistic_regression"])
+    assert models.linear_gradient(spark, early, rows, config).agg(F.max(F.abs("gradient"))).first()[0] > 1e-2
 
 
 def test_unseen_and_missing_values_in_features(spark):
@@ -116,14 +140,6 @@ def test_wide_column_is_encoded_without_touching_narrow_ones(spark, monkeypatch)
     assert plan.count("BroadcastHashJoin") == 1 and plan.count("SortMergeJoin") == 1
 
 
-def test_all_trees_are_grown_by_default(split):
-    params = RiskConfig().boosted_a
-    assert params.trees == 300 and not params.early_stopping and not RiskConfig().boosted_b.early_stopping
-    small = replace(FAST, boosted_b=replace(RiskConfig().boosted_b, trees=40, depth=2))
-    result = models.train_all(splits.training_frame(split), small, only=["boosted_b"])
-    assert result.models["boosted_b"].stages[-1].getNumTrees == 40
-
-
 def test_whole_flow_from_raw_files(spark, tmp_path):
     folder, raw = "/root/testdata/sf0.01", str(tmp_path / "raw")
     _raw_lines(testbed.raw_origination(spark, folder), ORIGINATION_LAYOUT).write.text(f"{raw}/sample_orig_1999.txt")
