@@ -98,25 +98,42 @@ def with_matches(docs: DataFrame, text: str, kinds: dict[str, tuple[str, int]],
     return out.withColumns(spans).drop(*found, *parts, *pieces)
 
 
+#: Matches whose places are summed up in one array; it is copied for each of them, so it stays short.
+_RUN = 64
+
+
 def _placed(kind: str, rank: int) -> Column:
-    """``SPANS`` from the columns that hold the matches, their parts and the pieces between them."""
+    """``SPANS`` from the columns that hold the matches, their parts and the pieces between them.
+
+    Lengths are summed up in runs of matches, first inside each run and then over the runs, so the work grows with the
+    number of matches and not with its square.
+    """
     found, part, piece = (F.col(f"_{kind}_{x}") for x in ("found", "part", "piece"))
+    n = F.size(found)
 
     def after(acc: Column, i: Column) -> Column:
         start = F.element_at(acc, -1)["end"] + F.length(F.element_at(piece, i))
         return F.struct(start.alias("start"), (start + F.length(F.element_at(found, i))).alias("end"))
 
-    ends = F.aggregate(
-        F.sequence(F.lit(1), F.size(found)), F.array(F.struct(F.lit(0).alias("start"), F.lit(0).alias("end"))),
-        lambda acc, i: F.concat(acc, F.array(after(acc, i))),
+    def run(end: Column, first: Column) -> Column:
+        """(start, end) of the matches from ``first`` on, after a place that is itself the first element."""
+        return F.aggregate(
+            F.sequence(first, F.least(first + _RUN - 1, n)), F.array(F.struct(F.lit(0).alias("start"), end.alias("end"))),
+            lambda acc, i: F.concat(acc, F.array(after(acc, i))))
+
+    runs = F.aggregate(
+        F.sequence(F.lit(1), n, F.lit(_RUN)),
+        F.array(F.array(F.struct(F.lit(0).alias("start"), F.lit(0).alias("end")))),
+        lambda acc, first: F.concat(acc, F.array(run(F.element_at(F.element_at(acc, -1), -1)["end"], first))),
     )
+    ends = F.flatten(F.transform(F.slice(runs, 2, F.size(runs)), lambda r: F.slice(r, 2, F.size(r))))
     spans = F.zip_with(
-        F.slice(ends, 2, F.size(found)), F.arrays_zip(found.alias("found"), part.alias("part")),
+        ends, F.arrays_zip(found.alias("found"), part.alias("part")),
         lambda at, m: F.struct(
             at["start"].alias("start"), F.lit(rank).alias("rank"), F.lit(kind).alias("kind"), at["end"].alias("end"),
             m["found"].alias("found"), m["part"].alias("part")),
     )
-    return F.when(F.size(found) > 0, spans).otherwise(F.array()).cast(SPANS)
+    return F.when(n > 0, spans).otherwise(F.array()).cast(SPANS)
 
 
 def spans_text(spans: Column) -> Column:

@@ -9,14 +9,15 @@ entity is generalised or removed when the revealed share exceeds the thresholds.
 
 All counts are numbers of different texts (copies of a text are one witness, not many) and go over the
 whole corpus: how often a term occurs at all is counted in all texts. Built-in functions only. Term
-occurrences are cut down to terms that co-occur repeatedly with one entity before they are shuffled.
+occurrences are cut down to terms that co-occur repeatedly with one entity before they are shuffled. Words are given places
+only in texts with a flagged term, once a text, and all steps grow with the length of a text, not with its square.
 """
 
 from __future__ import annotations
 
 import sys
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from arrearscope.llm.common import redacted, spans_text, with_matches
@@ -68,19 +69,19 @@ def with_entities(docs: DataFrame) -> DataFrame:
     )).drop("_text", *(f"_{k}" for k in KINDS))
 
 
-def _mentions(rows: DataFrame) -> DataFrame:
-    """(row, hash, text, entity, places): the spans of each entity of a row."""
-    told = rows.filter(F.size("_base") > 0).select("row", "hash", "text", "_base", F.transform("_base", lambda s: F.xxhash64(
-        s["kind"], F.when(s["kind"] == "email", F.lower(s["found"])).otherwise(_digits(s["found"])))).alias("entities"))
-    return told.select("row", "hash", "text", "_base", "entities", F.explode(F.array_distinct("entities")).alias("entity")).select(
-        "row", "hash", "text", "entity", F.filter("_base", lambda s, i: F.get("entities", i) == F.col("entity")).alias("places"))
+def _mentions(told: DataFrame) -> DataFrame:
+    """(hash, entity, inside): the entities of a text, with how often a term stands in mentions of each."""
+    named = F.transform("_base", lambda s: F.struct(F.xxhash64(
+        s["kind"], F.when(s["kind"] == "email", F.lower(s["found"])).otherwise(_digits(s["found"]))).alias("entity"), s["found"].alias("found")))
+    words = told.select("hash", F.explode(named).alias("e")).select(
+        "hash", "e.entity", F.explode_outer(_words(F.col("e.found"))).alias("term"))
+    counted = words.groupBy("hash", "entity", "term").agg(F.count(F.lit(1)).cast("int").alias("n"))
+    return counted.groupBy("hash", "entity").agg(
+        F.map_from_entries(F.collect_list(F.when(F.col("term").isNotNull(), F.struct("term", "n")))).alias("inside"))
 
 
-def _terms(mentions: DataFrame) -> DataFrame:
-    """``mentions`` without text, with ``words``: the text's words outside a mention of the entity, lower-cased, with start and end."""
-    return with_matches(mentions, "text", {"term": (TERM, 0)}).select("row", "hash", "entity", F.transform(
-        F.filter("_term", lambda t: F.exists("places", lambda s: (t["end"] <= s["start"]) | (t["start"] >= s["end"]))),
-        lambda t: F.struct(F.lower(t["found"]).alias("term"), t["start"].alias("start"), t["end"].alias("end"))).alias("words"))
+def _words(text: Column) -> Column:
+    return F.regexp_extract_all(F.lower(text), F.lit(TERM), F.lit(0))
 
 
 def _small(df: DataFrame) -> DataFrame:
@@ -88,28 +89,24 @@ def _small(df: DataFrame) -> DataFrame:
     return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
 
 
-def _words_of(text: str) -> Column:
-    """Rows of the different words of a text, as ``term``."""
-    return F.explode(F.array_distinct(F.regexp_extract_all(F.lower(text), F.lit(TERM), F.lit(0)))).alias("term")
-
-
-def disclosing_terms(texts: DataFrame, mentions: DataFrame) -> DataFrame:
+def disclosing_terms(texts: DataFrame, told: DataFrame, mentions: DataFrame) -> DataFrame:
     """(entity, term, kind) whose revealed share of the entity's information exceeds a threshold.
 
-    ``texts``: (hash, text) of all documents. With N different texts, n(t), n(e) and n(t, e) of them
-    holding the term, the entity and both, the share is
+    ``texts``: (hash, text) of all documents; ``told``: of the different ones with entities. With N different texts, n(t), n(e)
+    and n(t, e) of them holding the term, the entity and both (the term outside the entity's mentions), the share is
     log(n(t, e) N / (n(t) n(e))) / log(N / n(e)).
     """
     size = float(texts.select("hash").distinct().count())
-    once = mentions.dropDuplicates(["hash", "entity"])
-    owners = stored(once.groupBy("entity").agg(F.count(F.lit(1)).alias("n_entity")), "owners")
+    owners = stored(mentions.groupBy("entity").agg(F.count(F.lit(1)).alias("n_entity")), "owners")
     # an entity of fewer texts shares fewer with any term
-    several = once.join(owners.filter(F.col("n_entity") >= LEAST_TOGETHER), "entity")
-    together = _terms(several).select("entity", F.explode(F.array_distinct(F.transform("words", lambda t: t["term"]))).alias("term")).groupBy(
-        "entity", "term").agg(F.count(F.lit(1)).alias("n_both")).filter(F.col("n_both") >= LEAST_TOGETHER)
+    several = stored(mentions.join(owners.filter(F.col("n_entity") >= LEAST_TOGETHER), "entity"), "several")
+    words = told.join(several.select("hash"), "hash", "left_semi").select("hash", F.explode(_words(F.col("text"))).alias("term"))
+    counted = words.groupBy("hash", "term").agg(F.count(F.lit(1)).alias("n"))
+    outside = counted.join(several, "hash").filter(F.col("n") > F.coalesce(F.try_element_at("inside", F.col("term")), F.lit(0)))
+    together = outside.groupBy("entity", "term").agg(F.count(F.lit(1)).alias("n_both")).filter(F.col("n_both") >= LEAST_TOGETHER)
     # a term occurs at least in the texts that have it with any entity: what can't reach the threshold even
     # so, as common words can't, needs no count over all texts
-    around = mentions.dropDuplicates(["hash"]).select(_words_of("text")).groupBy("term").agg(F.count(F.lit(1)).alias("n_around"))
+    around = told.select(F.explode(F.array_distinct(_words(F.col("text")))).alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("n_around"))
 
     def share(n_term: str) -> Column:
         return F.log(F.col("n_both") * size / (F.col(n_term) * F.col("n_entity"))) / F.log(size / F.col("n_entity"))
@@ -117,42 +114,64 @@ def disclosing_terms(texts: DataFrame, mentions: DataFrame) -> DataFrame:
     possible = stored(
         together.join(owners, "entity").filter(F.col("n_entity") < size).join(around, "term")
         .filter(share("n_around") >= GENERALISE), "together")
-    wanted = _small(stored(possible.select("term").distinct(), "terms"))
-    words = texts.select("hash", _words_of("text"))
-    spread = words.join(wanted, "term").distinct().groupBy("term").agg(F.count(F.lit(1)).alias("n_term"))
+    wanted = _small(stored(possible.select("term").distinct().withColumn("number", F.monotonically_increasing_id()), "terms"))
+    # a text's terms go as one list of numbers, in which its copies meet
+    held = texts.select("hash", F.explode(F.array_distinct(_words(F.col("text")))).alias("term")).join(wanted, "term").groupBy("hash").agg(
+        F.collect_set("number").alias("numbers"))
+    spread = held.select(F.explode("numbers").alias("number")).groupBy("number").agg(F.count(F.lit(1)).alias("n_term")).join(wanted, "number")
     judged = possible.join(spread, "term").withColumn("share", share("n_term")).filter(F.col("share") >= GENERALISE)
     return judged.select("entity", "term", F.when(F.col("share") >= REMOVE, "remove").otherwise("generalise").alias("kind"))
 
 
+def _added(told: DataFrame, mentions: DataFrame, flagged: DataFrame) -> DataFrame:
+    """(hash, added): spans of the flagged terms of a text's entities, where they touch no base span.
+
+    Every text is cut into words once. Words and base spans are put in order of their starts: a word is clear if no base span that
+    begins before it ends after its start, and the next one begins at its end or later.
+    """
+    # a word that one entity has generalised and another removed is removed
+    asked = stored(mentions.select("hash", "entity").join(flagged, "entity").groupBy("hash", "term").agg(F.max("kind").alias("kind")), "asked")
+    texts = told.join(asked.select("hash"), "hash", "left_semi")
+    # written before it is exploded, since the optimiser would have the array computed again for each element
+    cut = stored(with_matches(texts.select("hash", "text"), "text", {"term": (TERM, 0)}).select("hash", "_term"), "words")
+    words = cut.select("hash", F.explode("_term").alias("w")).select(
+        "hash", F.lower("w.found").alias("term"), "w.start", "w.end")
+    hits = words.join(asked, ["hash", "term"])
+    base = texts.select("hash", F.explode("_base").alias("b")).select(
+        "hash", F.lit(None).cast("string").alias("term"), "b.start", "b.end", F.lit(None).cast("string").alias("kind"))
+    own = F.col("kind").isNull()
+    # frames that begin with the first row are summed up as they go, in either direction
+    earlier = Window.partitionBy("hash").orderBy("start", ~own).rowsBetween(Window.unboundedPreceding, -1)
+    later = Window.partitionBy("hash").orderBy(F.desc("start"), own).rowsBetween(Window.unboundedPreceding, -1)
+    placed = hits.select("hash", "term", "start", "end", "kind").unionByName(base).withColumns({
+        "before": F.max(F.when(own, F.col("end"))).over(earlier), "next": F.min(F.when(own, F.col("start"))).over(later)})
+    clear = placed.filter(~own & (F.coalesce("before", F.lit(0)) <= F.col("start")) & (F.coalesce("next", F.col("end")) >= F.col("end")))
+    rank = F.when(F.col("kind") == "remove", _KIND_RANKS["remove"]).otherwise(_KIND_RANKS["generalise"])
+    return clear.groupBy("hash").agg(F.collect_list(
+        F.struct("start", rank.alias("rank"), "kind", "end", F.col("term").alias("found"), F.col("term").alias("part"))).alias("added"))
+
+
 def sanitise(docs: DataFrame) -> DataFrame:
     """doc_id, base (spans of protected values) and spans (with the disclosing terms) of every row of ``docs``.
 
     Null text is empty. Repeated rows are each returned, and count once as witnesses; rows without doc_id
     are returned too. Without repeated co-occurrence there are no term spans. Only doc_id and text
-    are read, so further columns can't clash. ``sanitised_text`` applies the spans.
+    are read, so further columns can't clash. ``sanitised_text`` applies the spans. Texts are told apart by 128 bits of hash.
     """
     rows = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    hashed = rows.withColumn("hash", F.xxhash64("text"))
-    numbered = with_entities(hashed.withColumn("row", F.monotonically_increasing_id()))
+    hashed = rows.withColumn("hash", F.unhex(F.md5("text")))
+    some = F.size("_base") > 0
     # texts without an entity are left behind
-    found = stored(numbered.select(
-        "row", "doc_id", "hash", "_base", F.when(F.size("_base") > 0, F.col("text")).alias("text")), "entities")
-    mentions = _mentions(found)
-    flagged = _small(stored(disclosing_terms(hashed.select("hash", "text"), mentions), "flagged"))
-    told = mentions.join(_small(stored(flagged.select("entity").distinct(), "flagged")), "entity")
-    terms = _terms(told).select("row", "entity", F.explode("words").alias("w")).select("row", "entity", "w.*")
-    hits = terms.join(flagged, ["entity", "term"]).select("row", F.struct(
-        "start", F.when(F.col("kind") == "remove", _KIND_RANKS["remove"]).otherwise(_KIND_RANKS["generalise"]).alias("rank"), "kind",
-        "end", F.col("term").alias("found"), F.col("term").alias("part")).alias("s"))
-    added = hits.groupBy("row").agg(F.collect_set("s").alias("_added"))
-    joined = found.join(added, "row", "left")
-    none = F.coalesce("_added", F.array().cast(found.schema["_base"].dataType))
-    clear = F.filter(none, lambda s: ~F.exists("_base", lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"])))
-    # a word that one entity has generalised and another removed is removed
-    return joined.withColumn("_clear", clear).select(
-        "doc_id", F.col("_base").alias("base"), F.concat("_base", F.filter("_clear", lambda s: (s["kind"] == "remove") | ~F.exists(
-            "_clear", lambda o: (o["kind"] == "remove") & (o["start"] == s["start"])))).alias("spans"))
+    found = stored(with_entities(hashed).select("doc_id", "hash", "_base", F.when(some, F.col("text")).alias("text")), "entities")
+    told = stored(found.filter(some).select("hash", "text", "_base").dropDuplicates(["hash"]), "told")
+    mentions = stored(_mentions(told), "mentions")
+    flagged = _small(stored(disclosing_terms(hashed.select("hash", "text"), told, mentions), "flagged"))
+    added = _added(told, mentions, flagged)
+    none = F.array().cast(found.schema["_base"].dataType)
+    plain = found.filter(~some).select("doc_id", F.col("_base").alias("base"), F.col("_base").alias("spans"))
+    return found.filter(some).select("doc_id", "hash", "_base").join(added, "hash", "left").select(
+        "doc_id", F.col("_base").alias("base"), F.concat("_base", F.coalesce("added", none)).alias("spans")).unionByName(plain)
 
 
 def sanitised_text(text: Column, spans: Column) -> Column:

@@ -2,6 +2,7 @@
 
 import math
 import re
+import time
 from collections import defaultdict
 
 import pytest
@@ -99,3 +100,25 @@ def test_terms_far_from_a_mention_count_and_go(spark):
             assert all(f"remove:{s}:{s + 10}" in r.spans for s in starts) and len(starts) == 2
         else:
             assert r.spans == ""
+
+
+def test_long_texts_full_of_flagged_words(spark):
+    """Two texts of 20,000 words that all give the entity away: spans are those of plain Python, and soon."""
+    letters = "abcdefghijklmnopqrst"
+    words = ["".join(letters[i // 20**k % 20] for k in range(4)) for i in range(20_000)]
+    long = [f"mail anna.k@mail.org {i} " + " ".join(words) for i in ("one", "two")]
+    every = [*long, *(f"nothing of it {i}" for i in range(40))]
+    began = time.time()
+    rows = {r.doc_id: r.spans for r in pd.scan_personal_data(frame(spark, every)).collect()}
+    assert time.time() - began < 60
+    assert rows[0].count("remove") == 20_001 and rows[5] == ""
+    for i in (0, 1):
+        wanted = [f"remove:{m.start()}:{m.end()}" for m in re.finditer(r"[a-z]+", every[i]) if m.start() >= 25 or m[0] == "mail" and m.start() < 5]
+        assert rows[i].split(",")[2:] == wanted[1:] and rows[i].startswith("remove:0:4,email:5:20,remove:")
+
+
+def test_a_word_beside_and_inside_mentions(spark):
+    """A term that stands in a mention only isn't one; with a place outside it is, and no span touches a base span."""
+    every = [f"anna.k@mail.org {'anna' if i < 2 else 'other'} +49 30 1234567 x{i}" for i in range(4)] + [f"word {i}" for i in range(40)]
+    want = by_hand(every)
+    assert [r.spans for r in sorted(pd.scan_personal_data(frame(spark, every)).collect(), key=lambda r: r.doc_id)] == want
