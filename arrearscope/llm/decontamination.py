@@ -10,6 +10,9 @@ the text. "3 apples and 3 pears" may be "5 apples and 5 pears", but not "5 apple
 The plain lower-cased words are joined in the same way, so that copies of an item's own words are found
 whatever their case, their place in a sentence or their number of slots.
 
+A window of a text is hashed only if its first, middle and last token occur in the benchmark, by a bit table of its words and slots.
+The table only saves work: what it lets through is joined by hash, and a benchmark that fills it changes no result.
+
 The windows of the benchmark are the small side and are broadcast if their counted number allows it. Texts
 are tokenised once for the join, and again only where windows hit, to read the slots. Copies of
 a text are one text from the first hit on. Built-in functions only.
@@ -30,6 +33,8 @@ LEAST_WORDS = 3
 NEIGHBOURS = 8
 #: Share of an item's tokens that one alignment must cover.
 LEAST_COVERED = 0.5
+#: Entries of the table of the benchmark's words.
+TABLE = 2**16
 #: Windows of the benchmark, or texts with hits, that are broadcast; more are joined by shuffle.
 BROADCAST_ROWS = 300_000
 
@@ -82,11 +87,15 @@ def _hashes(words: Column) -> Column:
     return F.transform(words, lambda t: F.xxhash64(t))
 
 
-def _windows(hashes: Column, size: int) -> Column:
-    """Hashes of the windows of ``size`` hashed tokens, none where there are fewer."""
-    starts = F.sequence(F.lit(1), F.size(hashes) - size + 1)
-    return F.when(F.size(hashes) >= size, F.transform(
-        starts, lambda i: F.xxhash64(F.slice(hashes, i, size)))).otherwise(F.array().cast("array<long>"))
+def _windows(hashes: Column, size: int, table: Column) -> Column:
+    """(at, window): places and hashes of the windows of ``size`` hashed tokens that pass the table, none where there are fewer."""
+    def known(i: Column) -> Column:
+        return F.substring(table, (F.pmod(F.get(hashes, i), F.lit(TABLE)) + 1).cast("int"), F.lit(1)) == F.lit(bytearray([1]))
+
+    starts = F.filter(
+        F.sequence(F.lit(0), F.size(hashes) - size), lambda i: known(i) & known(i + size - 1) & known(i + size // 2))
+    return F.when(F.size(hashes) >= size, F.transform(starts, lambda i: F.struct(
+        i.alias("at"), F.xxhash64(F.slice(hashes, i + 1, size)).alias("window")))).otherwise(F.array().cast("array<struct<at:int,window:long>>"))
 
 
 def _told(items: DataFrame) -> DataFrame:
@@ -121,6 +130,14 @@ def benchmark_windows(items: DataFrame) -> DataFrame:
         "item_id", "plain", "n_tokens", "size", "at", F.xxhash64(_hashes(F.col("window"))).alias("hash"))
 
 
+def _word_table(items: DataFrame) -> Column:
+    """``TABLE`` bytes, 1 where a word or slot of ``items`` has its hash; as long whatever the size of the benchmark."""
+    own = F.concat(_plain(F.col("own")), templates_of(F.col("own")), F.array(F.lit(NAME)))
+    place = F.pmod(F.xxhash64("word"), F.lit(TABLE)).alias("place")
+    filled = {row["place"] for row in _told(items).select(F.explode(own).alias("word")).select(place).distinct().collect()}
+    return F.lit(bytearray(i in filled for i in range(TABLE)))
+
+
 def _broadcast_if_small(df: DataFrame) -> DataFrame:
     return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
 
@@ -137,9 +154,10 @@ def alignments(docs: DataFrame, items: DataFrame) -> DataFrame:
     texts = tokens.select("hash", _hashes(_plain(F.col("tokens"))).alias("words"), templates_of(F.col("tokens")).alias("template")).select(
         "hash", "words", _hashes(_collapsed(F.col("template"))).alias("slots"))
     none = F.array().cast("array<struct<plain:boolean,size:int,at:int,window:long>>")
+    table = _word_table(items)
     every = F.concat(none, *(F.transform(
-        _windows(F.col(name), size), lambda h, i: F.struct(
-            F.lit(name == "words").alias("plain"), F.lit(size).alias("size"), i.alias("at"), h.alias("window")))
+        _windows(F.col(name), size, table), lambda w: F.struct(
+            F.lit(name == "words").alias("plain"), F.lit(size).alias("size"), w["at"].alias("at"), w["window"].alias("window")))
         for size in sizes for name in ("words", "slots")))
     told = texts.select("hash", F.explode(every).alias("w")).select(
         "hash", "w.plain", "w.size", F.col("w.at").alias("d_at"), F.col("w.window").alias("window"))
@@ -216,7 +234,8 @@ def find_contamination(docs: DataFrame, items: DataFrame) -> DataFrame:
 
 def without_contaminated(docs: DataFrame, items: DataFrame) -> DataFrame:
     """``docs`` without the rows that hold a benchmark item; rows without text stay."""
-    found = stored(contaminated(docs, items).select(F.col("hash").alias("_hash")).distinct(), "contaminated")
-    marked = docs.withColumn("_text_hash", F.xxhash64("text"))
-    clean = marked.join(_broadcast_if_small(found), F.col("text").isNotNull() & (F.col("_text_hash") == F.col("_hash")), "left_anti")
-    return clean.drop("_text_hash")
+    found = stored(contaminated(docs, items).select(F.col("hash").alias("found")).distinct(), "contaminated")
+    # the row in one struct, so that its columns can have any names
+    whole = docs.select(F.xxhash64("text").alias("hash"), F.col("text").isNotNull().alias("told"), F.struct(
+        *(F.col(f"`{c}`") for c in docs.columns)).alias("row"))
+    return whole.join(_broadcast_if_small(found), F.col("told") & (F.col("hash") == F.col("found")), "left_anti").select("row.*")
