@@ -30,6 +30,8 @@ from arrearscope.sources.storage import scratch_path, stored
 
 #: Ids of a sequence, and sequences of a record batch.
 LENGTH, BATCH = 2_048, 256
+#: Tasks that read files back, at most.
+READERS = 20_000
 #: Documents of a record batch of the index.
 INDEX_BATCH = 65_536
 #: The id after each document.
@@ -219,10 +221,14 @@ def _reader(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 yield rows(found)
 
 
+def _spread(files: DataFrame) -> DataFrame:
+    """A file a task, up to ``READERS`` tasks: the rows are few and short, so that Spark would read all files in one."""
+    return files.repartition(max(1, min(files.count(), READERS)))
+
+
 def read_documents(files: DataFrame) -> DataFrame:
-    """doc_id, start (ids of all documents before), n_tokens and ids_crc32 of every document in ``files``, a file a task at best."""
-    spread = files.select("sequences", "documents", "before").repartition(F.col("sequences"))
-    return spread.mapInArrow(_reader, "doc_id long, start long, n_tokens long, ids_crc32 long")
+    """doc_id, start (ids of all documents before), n_tokens and ids_crc32 of every document in ``files``."""
+    return _spread(files.select("sequences", "documents", "before")).mapInArrow(_reader, "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 
 def read_sequences(files: DataFrame) -> DataFrame:
@@ -240,7 +246,7 @@ def read_sequences(files: DataFrame) -> DataFrame:
                         ids.cast(pa.list_(pa.int64())), mask.cast(pa.list_(pa.int32()))], names=["file", "sequence", "ids", "mask"])
                     n += one.num_rows
 
-    return files.select("sequences").repartition(F.col("sequences")).mapInArrow(run, "file string, sequence long, ids array<long>, mask array<int>")
+    return _spread(files.select("sequences")).mapInArrow(run, "file string, sequence long, ids array<long>, mask array<int>")
 
 
 def tokenised_documents(docs: DataFrame, tokenizer: str | None = None) -> DataFrame:
