@@ -1,9 +1,10 @@
 """URL filters: a trie over reversed host labels and path segments decides between allow and block entries.
 
 The rules are the small side: at most ``MAX_RULES`` are put into one trie, which is broadcast
-(its size is thereby bounded); a longer list is cut into several tries that are asked one
-after the other, each keeping the longer match, so no rule is left out and no task holds more
-than one trie more than it needs. Pages only lend their url column; nothing is shuffled.
+(its size is thereby bounded). A longer list is cut into several tries that are asked in one
+pass each; the answers so far are written in between, so no rule is left out and no task holds
+more than one trie. Each answer carries what it is ranked by, so the number of
+tries can't change a verdict. Pages only lend their url column; nothing is shuffled.
 """
 
 from __future__ import annotations
@@ -15,10 +16,14 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from arrearscope.sources.storage import stored
+
 #: Rules in one broadcast trie; about 100 bytes a rule and level.
 MAX_RULES = 50_000
 #: Keys beside the segments, which are strings: entries by partial segment, and the longest partial segment.
 _ENTRY, _LONGEST = 0, 1
+#: A match, in the order of precedence: characters of host and path, characters of the host, blocking before allowing.
+HIT = "struct<size:int,host_size:int,block:boolean,rule:string,verdict:string>"
 
 
 @dataclass(frozen=True)
@@ -55,8 +60,8 @@ def build_trie(rules: list[Rule]) -> dict:
     return root
 
 
-def longest_match(trie: dict, host: str, path: str) -> tuple[str, str] | None:
-    """(rule, verdict) of the longest fitting entry: more characters of host and path; then the longer host."""
+def longest_match(trie: dict, host: str, path: str) -> tuple[int, int, bool, str, str] | None:
+    """``HIT`` of the longest fitting entry: more characters of host and path; then the longer host."""
     best, best_key = None, (-1, -1)
     node, host_size = trie, 0
     for label in reversed(host.split(".")):
@@ -72,12 +77,12 @@ def longest_match(trie: dict, host: str, path: str) -> tuple[str, str] | None:
             if entries := below.get(_ENTRY):
                 for size in range(min(len(segment), below[_LONGEST]), -1, -1):
                     if entry := entries.get(segment[:size]):
-                        key = (host_size - 1 + used + size, host_size)
+                        key = (host_size - 1 + used + size, host_size - 1)
                         if key > best_key:
                             best, best_key = entry, key
                         break
             below, used = below.get(segment), used + len(segment) + 1
-    return best
+    return best and (*best_key, best[1] == "block", *best)
 
 
 def host_and_path(url: Column) -> tuple[Column, Column]:
@@ -93,12 +98,12 @@ def _matcher(spark: SparkSession, rules: list[Rule]):
     """Arrow UDF that asks one broadcast trie."""
     trie = spark.sparkContext.broadcast(build_trie(rules))
 
-    @F.pandas_udf("struct<rule:string,verdict:string>")
+    @F.pandas_udf(HIT)
     def matched(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
         root = trie.value
         for hosts, paths in batches:
-            found = [longest_match(root, h, p) or (None, None) for h, p in zip(hosts, paths)]
-            yield pd.DataFrame(found, columns=["rule", "verdict"])
+            found = [longest_match(root, h, p) or (-1, -1, False, None, None) for h, p in zip(hosts, paths)]
+            yield pd.DataFrame(found, columns=["size", "host_size", "block", "rule", "verdict"])
 
     return matched
 
@@ -112,18 +117,23 @@ def judge_urls(
     Null urls and urls without ``://`` have an empty host and path, match nothing and get
     ``default``; so does every url when there are no rules. Repeated pages are judged alike;
     an empty table gives an empty table. Columns of ``pages`` that are called like a result
-    column are replaced.
+    column are replaced. Of rules with as many characters of host and path the one with the longer
+    host counts, then the blocking one.
     """
     host, path = host_and_path(F.col(url))
+    hit = "_hit"
+    while hit in pages.columns:
+        hit += "_"
     judged = pages.withColumns({"host": host, "path": path})
-    hits = [_matcher(spark, rules[at:at + max_rules])("host", "path") for at in range(0, len(rules), max_rules)]
-    if not hits:
+    parts = [rules[at:at + max_rules] for at in range(0, len(rules), max_rules)]
+    if not parts:
         return judged.withColumns({"rule": F.lit(None).cast("string"), "verdict": F.lit(default)})
-    # the longest of the tries' answers; a single trie answers alone
-    longest = F.array_max(F.array(*[
-        F.struct(F.coalesce(F.length(h["rule"]), F.lit(-1)).alias("size"), (h["verdict"] == "block").alias("block"),
-                 h["rule"].alias("rule"), h["verdict"].alias("verdict")) for h in hits
-    ])) if len(hits) > 1 else hits[0]
-    return judged.withColumn("_hit", longest).withColumns({
-        "rule": F.col("_hit.rule"), "verdict": F.coalesce("_hit.verdict", F.lit(default)),
-    }).drop("_hit")
+    for nth, part in enumerate(parts):
+        answer = _matcher(spark, part)("host", "path")
+        # all passes but the last are written, so that the next one's workers don't hold this trie too
+        judged = judged.withColumn(hit, F.greatest(hit, answer) if nth else answer)
+        if nth < len(parts) - 1:
+            judged = stored(judged, "urls")
+    return judged.withColumns({
+        "rule": F.col(hit)["rule"], "verdict": F.coalesce(F.col(hit)["verdict"], F.lit(default)),
+    }).drop(hit)
