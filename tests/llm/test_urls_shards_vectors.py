@@ -40,13 +40,16 @@ URLS = [
     "http://a.example.org/en/19/b", "http://a.example.org/en/2", "http://xexample.org/es/", "http://com/fr/", "http://com/fr", "http://b.com/de/x",
     "http://b.com/fr//de/", "http://b.com:80/de/", "ftp://u:p@b.com/de/", "http://b.com/de/" + "long/" * 20_000, "http://" + "a." * 10_000 + "com/de/q",
     "x://y://z.com/de/", "http://ÄÖ.com/de/", "http://b.com/de/\n", "http://.com/de/", "http://b.com./de/",
+    "http://ab.cd/xyzw", "http://a.ef/uvw", "http://b.ef/uvw",
 ]
 
 
 @pytest.mark.parametrize("most", [1, 2, 50_000])
 def test_longest_rule_wins(spark, most):
     rules = [*RULES, Rule("block", "example.org", "/en/19"), Rule("allow", "a.example.org", "/en/1"), Rule("block", "b.com", "/fr/"),
-             Rule("allow", "b.com", "/fr//de"), Rule("block", "b.com", "/fr//de")]
+             Rule("allow", "b.com", "/fr//de"), Rule("block", "b.com", "/fr//de"),
+             # as many characters in all: the longer host counts
+             Rule("allow", "ab.cd", "/x"), Rule("block", "cd", "/xyzw"), Rule("block", "ef", "/uvw"), Rule("allow", "a.ef", "/u")]
     pages = spark.createDataFrame([(i, u, "old", "x") for i, u in enumerate(URLS)], "page_id int, url string, host string, verdict string")
     rows = url_filters.judge_urls(spark, pages, rules, max_rules=most).collect()
     assert {r.page_id: (r.host, r.path, r.rule, r.verdict) for r in rows} == {i: plain_verdict(u, rules) for i, u in enumerate(URLS)}
@@ -142,6 +145,39 @@ def test_largest_shard_is_as_small_as_can_be(spark, n, hot):
     keyed = docs.select(sharding.text_key(F.coalesce("text", F.lit(""))).alias("key"), (F.octet_length(F.coalesce("text", F.lit(""))) + 1).alias("size"))
     sizes = [r[1] for r in keyed.groupBy("key").sum("size").orderBy("key").collect()]
     assert max(shards.values()) == best_capacity(sizes, 8)
+    assert len(shards) == min(8, len(sizes))
+
+
+def test_other_shards_are_near_equal_beside_an_oversized_text(spark):
+    rng = np.random.default_rng(6)
+    texts = [f"{i} " + "y" * int(rng.integers(40, 80)) for i in range(1030)]
+    texts.append("z" * (sum(map(len, texts)) // 2))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    sizes = defaultdict(int)
+    for r in sharding.shard_documents(docs).collect():
+        sizes[r.shard] += r.size
+    assert sorted(sizes) == list(range(8)) and max(sizes.values()) == len(texts[-1]) + 1
+    rest = sum(len(t) + 1 for t in texts[:-1])
+    # the two sides of the large text share seven shards, at least one each
+    keys = sorted((r.key, r.size) for r in docs.select(sharding.text_key(F.col("text")).alias("key"), (F.length("text") + 1).alias("size")).collect())
+    left = sum(s for _, s in keys[:[s for _, s in keys].index(len(texts[-1]) + 1)])
+    best = min(max(left / k, (rest - left) / (7 - k)) for k in range(1, 7))
+    assert sorted(sizes.values())[-2] <= 1.05 * best
+
+
+def test_even_cuts_keep_the_ceiling():
+    rng = np.random.default_rng(7)
+    for _ in range(300):
+        n, shards = int(rng.integers(1, 40)), int(rng.integers(1, 9))
+        sizes = [int(x) for x in rng.integers(1, 50, n)]
+        if rng.random() < 0.5:
+            sizes[int(rng.integers(n))] = 500
+        frontier = sharding.Frontier([(i, 62, s, True) for i, s in enumerate(sizes)])
+        capacity = frontier.bounds(shards)[0]
+        assert capacity == best_capacity(sizes, shards)
+        cuts = [0, *frontier.even_cuts(capacity, shards)]
+        assert cuts[-1] == n and len(cuts) - 1 == min(n, shards)
+        assert all(0 < sum(sizes[a:b]) <= capacity for a, b in zip(cuts, cuts[1:]))
 
 
 def test_no_documents_no_shards(spark):
