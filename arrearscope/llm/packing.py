@@ -4,7 +4,8 @@ Only the histogram of piece lengths matters for the plan, so at most 2048 number
 Spark. The program (how many sequences of each configuration cover the histogram) is solved by
 multiplicative weights: lengths that are covered badly get dearer, and a knapsack dynamic
 program over the sequence's capacity finds the dearest configurations at these prices. The
-fractional solution is rounded down, the rest of the histogram is packed best-fit decreasing.
+fractional solution is rounded down, the rest of the histogram is packed best-fit decreasing; where plain
+best-fit decreasing of all pieces takes fewer sequences, its plan is returned.
 The plan is a list of intervals: the pieces of a length with ranks a to b go to that many
 sequences in a row, at one offset. Ranks are dealt in Spark, see ``common.numbered``.
 """
@@ -150,7 +151,9 @@ def plan(histogram: dict[int, int], capacity: int = MOST_TOKENS) -> list[tuple[C
             chosen.append((config, count))
             for n, times in config:
                 rest[n] -= times * count
-    return chosen + best_fit_decreasing({n: k for n, k in rest.items() if k}, capacity)
+    whole = chosen[:1] if histogram.get(capacity) else []
+    rounded = chosen + best_fit_decreasing({n: k for n, k in rest.items() if k}, capacity)
+    return min(rounded, whole + best_fit_decreasing(left, capacity), key=lambda planned: sum(k for _, k in planned))
 
 
 def intervals(planned: list[tuple[Config, int]]) -> pd.DataFrame:
