@@ -8,7 +8,7 @@
    A task compares signatures and hands on a spanning forest of the pairs that are near enough to be
    worth a look, not the pairs; components of the forests gather the classes that may be linked.
 4. Full texts of gathered classes only are moved, once each (large gatherings again in
-   pairs of blocks). Tasks compute full sets, confirm every promising link exactly and
+   pairs of blocks); with more classes than can be broadcast, all texts take part in one exchange. Tasks compute full sets, confirm every promising link exactly and
    return a spanning forest of the confirmed links, whose components are the result.
 
 No link is given up for size: blocks bound what a task holds. A link is lost only if two
@@ -46,6 +46,8 @@ class Settings:
     #: Members of a bucket's block, and weight (shingles and ``OVERHEAD`` a document) of a gathering's block.
     bucket_block: int = 1024
     weight_block: int = 1_000_000
+    #: Gathered classes whose ids are broadcast to the texts; about 50 bytes each.
+    broadcast_ids: int = 1_000_000
 
     @property
     def coordinates(self) -> int:
@@ -341,6 +343,9 @@ def link_documents(docs: DataFrame, settings: Settings = Settings()) -> DataFram
     wanted = gathered.join(weights, "root").select(F.col("node").alias("doc_id"), "root", "blocks").join(
         leaders.select("doc_id", "signature"), "doc_id")
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").filter(F.col("text").isNotNull())
+    if gathered.count() <= settings.broadcast_ids:
+        # so few ids that they can be sent: the other texts stay where they are
+        texts = texts.join(F.broadcast(gathered.select(F.col("node").alias("doc_id"))), "doc_id", "left_semi")
     spread = _in_block_pairs(texts.join(wanted, "doc_id"), "root", "blocks")
     linked = stored(components(_in_groups(spread, _confirmed_links(settings))), "linked")
 
