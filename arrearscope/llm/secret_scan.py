@@ -3,13 +3,15 @@
 A candidate is a long run of characters that encodings use. From its characters an encoding, and so
 an alphabet, is inferred. Three tests ask whether it could be drawn uniformly from that alphabet: chi-squared on
 the symbols, runs above and below the middle of the alphabet, and serial correlation of
-neighbours. Random strings pass, but a short ordinary word may pass as well. So a fourth figure, the
-chance of an ordinary word of the same length to repeat its letters as little, is put under
-false-discovery control (Benjamini-Hochberg), apart for each encoding and length band: short
+neighbours. Random strings pass, but a short ordinary word may pass as well, so passing proves nothing. What is
+put under false-discovery control (Benjamini-Hochberg) is the chance of an ordinary word of the same length to look as random in
+the same battery: each of its three statistics has a second probability under ordinary letters (how often they
+repeat, change between the halves of the alphabet, follow each other), and three times the least of the three, which holds
+whatever they have to do with each other, is the candidate's figure. The control works apart for each encoding and length band: short
 candidates are judged among short ones, where more ordinary words look random by chance.
 
-The letter frequencies of ordinary words and the numbers of candidates by probability are
-taken from all texts. What comes to the driver is 26 sums and, for the thresholds, one row
+The habits of ordinary words and the numbers of candidates by probability are
+taken from all texts. What comes to the driver is some 30 sums and, for the thresholds, one row
 a stratum. Built-in functions only; texts are never moved, as the thresholds are a map of at most
 ``len(ENCODINGS) * len(BANDS)`` entries that is part of the expression.
 """
@@ -56,11 +58,20 @@ BANDS = (20, 24, 32, 48, 80)
 UNIFORM_LEVEL = 0.01
 #: Accepted share of false discoveries in a stratum.
 FALSE_SHARE = 0.05
-#: Letter repetition of English words, for corpora without long ordinary words (sums of squares and cubes of letter shares).
-DEFAULT_REPETITION = (0.0655, 0.0054)
 _BINS_A_DECADE = 50
 
 
+@dataclass(frozen=True)
+class Habits:
+    """Ordinary words: sums of squares and cubes of letter shares, share of neighbours in different halves of the alphabet,
+    correlation of neighbours' places in it. The defaults are for corpora without long ordinary words."""
+
+    squares: float = 0.0655
+    cubes: float = 0.0054
+    changes: float = 0.5
+    serial: float = 0.0
+
+
 def normal_tail(z: Column) -> Column:
     """Upper tail of the standard normal distribution (Abramowitz and Stegun 26.2.17), at least 1e-12."""
     a = F.abs(z)
@@ -83,8 +94,33 @@ def _counts(token: Column, alphabet: Column) -> Column:
     return F.transform(F.split(alphabet, ""), lambda a: F.length(token) - F.length(F.replace(token, a, F.lit(""))))
 
 
-def tested(candidate: Column, repetition: tuple[float, float]) -> Column:
-    """Struct of encoding, band, uniform (probability under a uniform draw) and ordinary (under ordinary words)."""
+def _sequence(s: Column) -> Column:
+    """The battery's sums over the places ``x`` of symbols in an alphabet of ``a`` symbols."""
+    def behind(values: Column) -> Column:
+        return F.slice(values, 2, F.size(values))
+
+    def before(values: Column) -> Column:
+        return F.slice(values, 1, F.size(values) - 1)
+
+    marked = _let(s, lambda s: F.struct(
+        s["x"].alias("x"), (_total(s["x"]) / F.size(s["x"])).alias("mean"),
+        F.transform(s["x"], lambda x: (x > (s["a"] / 2)).cast("int")).alias("high")))
+    return _let(marked, lambda s: F.struct(
+        _total(F.transform(s["high"], lambda h: h.cast("double"))).alias("above"),
+        _total(F.zip_with(behind(s["high"]), before(s["high"]), lambda p, q: (p != q).cast("double"))).alias("changes"),
+        _total(F.transform(s["x"], lambda x: (x - s["mean"]) * (x - s["mean"]))).alias("spread"),
+        _total(F.zip_with(behind(s["x"]), before(s["x"]), lambda p, q: (p - s["mean"]) * (q - s["mean"]))).alias("products")))
+
+
+def _places(token: Column, alphabet: Column) -> Column:
+    return F.transform(F.split(token, ""), lambda c: F.instr(alphabet, c).cast("double"))
+
+
+def tested(candidate: Column, habits: Habits) -> Column:
+    """Struct of encoding, band, and two probabilities of the battery's results.
+
+    ``uniform``: under a uniform draw from the encoding's alphabet; ``ordinary``: under ordinary words, case folded.
+    """
     token = candidate["found"]
     alphabets = F.create_map(*(F.lit(x) for name, (_, a) in ENCODINGS.items() for x in (name, a)))
     named = F.struct(token.alias("token"), _encoding(token).alias("encoding"))
@@ -95,38 +131,39 @@ def tested(candidate: Column, repetition: tuple[float, float]) -> Column:
     parts = _let(folded, lambda s: F.struct(
         s["encoding"].alias("encoding"), F.length(s["alphabet"]).cast("double").alias("a"), F.length(s["token"]).cast("double").alias("n"),
         _counts(s["token"], s["alphabet"]).alias("counts"), _counts(F.lower(s["token"]), F.lit(_LOWER + _DIGITS)).alias("folds"),
-        F.transform(F.split(s["token"], ""), lambda c: F.instr(s["alphabet"], c).cast("double")).alias("x")))
-    moments = _let(parts, lambda s: F.struct(
-        s["encoding"].alias("encoding"), s["a"].alias("a"), s["n"].alias("n"), s["x"].alias("x"),
-        (_total(s["x"]) / s["n"]).alias("mean"),
-        F.transform(s["x"], lambda x: (x > (s["a"] / 2)).cast("int")).alias("high"),
+        _places(s["token"], s["alphabet"]).alias("x"), _places(F.lower(s["token"]), F.lit(_LOWER)).alias("folded")))
+    sums = _let(parts, lambda s: F.struct(
+        s["encoding"].alias("encoding"), s["a"].alias("a"), s["n"].alias("n"),
+        _sequence(F.struct(s["a"].alias("a"), s["x"].alias("x"))).alias("own"),
+        _sequence(F.struct(F.lit(float(len(_LOWER))).alias("a"), s["folded"].alias("x"))).alias("plain"),
         (_total(F.transform(s["counts"], lambda c: (c * c).cast("double"))) * s["a"] / s["n"] - s["n"]).alias("chi"),
         _total(F.transform(s["folds"], lambda c: (c * (c - 1)).cast("double"))).alias("repeats")))
-    sums = _let(moments, lambda s: F.struct(
-        s["encoding"].alias("encoding"), s["a"].alias("a"), s["n"].alias("n"), s["chi"].alias("chi"), s["repeats"].alias("repeats"),
-        _total(F.transform(s["high"], lambda h: h.cast("double"))).alias("above"),
-        _total(F.zip_with(F.slice(s["high"], 2, F.size(s["high"])), F.slice(s["high"], 1, F.size(s["high"]) - 1),
-                          lambda p, q: (p != q).cast("double"))).alias("changes"),
-        _total(F.transform(s["x"], lambda x: (x - s["mean"]) * (x - s["mean"]))).alias("spread"),
-        _total(F.zip_with(F.slice(s["x"], 2, F.size(s["x"])), F.slice(s["x"], 1, F.size(s["x"]) - 1),
-                          lambda p, q: (p - s["mean"]) * (q - s["mean"]))).alias("products")))
 
     def verdict(s: Column) -> Column:
         n, a = s["n"], s["a"]
         chi = normal_tail((s["chi"] - (a - 1)) / F.sqrt(2 * (a - 1) * (n - 1) / n))
-        below = n - s["above"]
-        expected = 2 * s["above"] * below / n + 1
+        own, plain = s["own"], s["plain"]
+        below = n - own["above"]
+        expected = 2 * own["above"] * below / n + 1
         variance = (expected - 1) * (expected - 2) / (n - 1)
-        runs = F.when(variance > 0, 2 * normal_tail(F.abs(s["changes"] + 1 - expected) / F.sqrt(variance))).otherwise(0.0)
-        serial = F.when(s["spread"] > 0, 2 * normal_tail(F.abs(s["products"] / s["spread"] + 1 / n) * F.sqrt(n))).otherwise(0.0)
-        s2, s3 = repetition
+        runs = F.when(variance > 0, 2 * normal_tail(F.abs(own["changes"] + 1 - expected) / F.sqrt(variance))).otherwise(0.0)
+        serial = F.when(own["spread"] > 0, 2 * normal_tail(F.abs(own["products"] / own["spread"] + 1 / n) * F.sqrt(n))).otherwise(0.0)
+        # the same statistics among ordinary words, each towards what a uniform draw would give
+        s2, s3 = habits.squares, habits.cubes
         mean, spread = n * (n - 1) * s2, F.sqrt(4 * n * (n - 1) * (n - 2) * max(0.0, s3 - s2 * s2) + 2 * n * (n - 1) * (s2 - s2 * s2))
+        alternating = (n - 1) * habits.changes
+        towards = 1 if habits.changes <= 0.5 else -1
+        swaps = normal_tail(towards * (plain["changes"] - alternating) / F.sqrt(alternating * (1 - habits.changes) + 1e-9))
+        away = 1 if habits.serial <= 0 else -1
+        follows = F.when(plain["spread"] > 0, normal_tail(
+            away * (plain["products"] / plain["spread"] - habits.serial) * F.sqrt(n))).otherwise(1.0)
+        rare = F.least(normal_tail((mean - s["repeats"]) / spread), swaps, follows)
         band = F.lit(BANDS[0])
         for low in BANDS[1:]:
             band = F.when(n >= low, low).otherwise(band)
         return F.struct(
             s["encoding"].alias("encoding"), band.alias("band"), F.least(F.lit(1.0), 3 * F.least(chi, runs, serial)).alias("uniform"),
-            normal_tail((mean - s["repeats"]) / spread).alias("ordinary"))
+            F.least(F.lit(1.0), 3 * rare).alias("ordinary"))
 
     return _let(sums, verdict)
 
@@ -145,9 +182,9 @@ def _bin(probability: Column) -> Column:
 
 @dataclass(frozen=True)
 class Control:
-    """What all texts together say: repetition of letters in ordinary words, and the threshold of each stratum."""
+    """What all texts together say: habits of ordinary words, and the threshold of each stratum."""
 
-    repetition: tuple[float, float]
+    habits: Habits
     limits: dict[str, int]  # encoding:band to the greatest accepted bin of the ordinary probability
 
 
@@ -160,16 +197,33 @@ def found_in(docs: DataFrame) -> DataFrame:
     return based.withColumn("_candidates", free).drop("_text", *(f"_{k}" for k in KINDS))
 
 
+def ordinary_habits(tokens: DataFrame) -> Habits:
+    """Habits of the candidates ``found`` that are made of letters alone; the defaults where there are none.
+
+    Each counts once whatever its length, so that a very long run of one letter doesn't speak for all. Means
+    are taken in millionths: whole numbers sum up to the same in any order.
+    """
+    letters, size = F.lower("found"), F.length("found")
+    sequence = _sequence(F.struct(F.lit(float(len(_LOWER))).alias("a"), _places(letters, F.lit(_LOWER)).alias("x")))
+    each = tokens.filter(F.col("found").rlike("^[A-Za-z]+$")).select(
+        _counts(letters, F.lit(_LOWER)).alias("counts"), sequence.alias("s"), size.alias("n"))
+    numbers = [F.col("counts")[i] / F.col("n") for i in range(26)] + [
+        F.col("s.changes") / (F.col("n") - 1), F.when(F.col("s.spread") > 0, F.col("s.products") / F.col("s.spread"))]
+    whole = each.select(F.array(*(F.round(x * 1_000_000).cast("long") for x in numbers)).alias("m"))
+    found = whole.agg(*(F.sum(F.col("m")[i]) for i in range(28)), F.count(F.lit(1)), F.count(F.col("m")[27])).first()
+    *sums, words, varied = found
+    if not words:
+        return Habits()
+    shares = [x / words / 1_000_000 for x in sums[:26]]
+    return Habits(sum(p ** 2 for p in shares), sum(p ** 3 for p in shares), sums[26] / words / 1_000_000,
+                  sums[27] / varied / 1_000_000 if varied else 0.0)
+
+
 def fit_control(found: DataFrame) -> Control:
-    """Repetition and thresholds from all candidates. Strata without a discovery have no entry."""
+    """Habits and thresholds from all candidates. Strata without a discovery have no entry."""
     tokens = found.select(F.explode("_candidates.found").alias("found"))
-    letters = _counts(F.lower("found"), F.lit(_LOWER))
-    sums = tokens.filter(F.col("found").rlike("^[A-Za-z]+$")).select(letters.alias("n")).agg(
-        *(F.sum(F.col("n")[i]) for i in range(26))).first()
-    total = sum(x or 0 for x in sums)
-    shares = [(x or 0) / total for x in sums] if total else []
-    repetition = (sum(p ** 2 for p in shares), sum(p ** 3 for p in shares)) if total else DEFAULT_REPETITION
-    judged = tokens.select(tested(F.struct("found"), repetition).alias("t")).select(
+    habits = ordinary_habits(tokens)
+    judged = tokens.select(tested(F.struct("found"), habits).alias("t")).select(
         F.concat_ws(":", "t.encoding", "t.band").alias("stratum"), _bin(F.col("t.ordinary")).alias("bin"))
     counted = judged.groupBy("stratum", "bin").agg(F.count(F.lit(1)).alias("n"))
     upto = Window.partitionBy("stratum").orderBy("bin")
@@ -178,7 +232,7 @@ def fit_control(found: DataFrame) -> Control:
     # Benjamini-Hochberg on the bins' upper ends
     passing = ranked.filter(F.pow(F.lit(10.0), (F.col("bin") + 1) / _BINS_A_DECADE) <= FALSE_SHARE * F.col("rank") / F.col("all"))
     limits = passing.groupBy("stratum").agg(F.max("bin").alias("bin")).collect()
-    return Control(repetition, {r["stratum"]: r["bin"] for r in limits})
+    return Control(habits, {r["stratum"]: r["bin"] for r in limits})
 
 
 def decided(found: DataFrame, control: Control) -> DataFrame:
@@ -189,7 +243,7 @@ def decided(found: DataFrame, control: Control) -> DataFrame:
     border = F.create_map(*(x for k, v in sorted(limits.items()) for x in (F.lit(k), F.lit(v))))
 
     def random(c: Column) -> Column:
-        return _let(tested(c, control.repetition), lambda t: (t["uniform"] >= UNIFORM_LEVEL) & F.coalesce(
+        return _let(tested(c, control.habits), lambda t: (t["uniform"] >= UNIFORM_LEVEL) & F.coalesce(
             _bin(t["ordinary"]) <= border[F.concat_ws(":", t["encoding"], t["band"])], F.lit(False)))
 
     return found.withColumn("_spans", F.concat("_base", F.filter("_candidates", random)))
@@ -213,8 +267,11 @@ def scan_secrets(docs: DataFrame) -> DataFrame:
 
 
 def mask_secrets(docs: DataFrame) -> DataFrame:
-    """``docs`` with every secret in ``text`` replaced by ``<kind>``; null texts stay null, other columns as they are."""
-    found = found_in(docs)
-    return decided(found, fit_control(found.select("_candidates"))).withColumn(
-        "text", F.when(F.size("_spans") > 0, redacted(F.col("text"), F.col("_spans"))).otherwise(F.col("text"))
-    ).drop("_base", "_candidates", "_spans")
+    """``docs`` with every secret in ``text`` replaced by ``<kind>``; null texts stay null, other columns as they are.
+
+    Columns may have any names: the row travels in one struct.
+    """
+    found = found_in(docs.select("text", F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row")))
+    masked = F.when(F.size("_spans") > 0, redacted(F.col("text"), F.col("_spans"))).otherwise(F.col("text"))
+    return decided(found, fit_control(found.select("_candidates"))).select(
+        *(masked.alias(c) if c == "text" else F.col("row").getField(c).alias(c) for c in docs.columns))
