@@ -184,7 +184,7 @@ class Counts:
             found = df.toPandas()
             hashes = _hash_grams(found[key].tolist(), order)
             at = np.argsort(hashes)
-            return hashes[at], found.drop(columns=key).to_numpy(np.float32)[at]
+            return hashes[at], found.drop(columns=key).to_numpy(np.float64)[at]
 
         grams = [load(df, k + 1, "gram") for k, df in enumerate([*self.levels, self.top])]
         contexts = [load(self.contexts(k + 1), k, "context") for k in range(ORDER)]
