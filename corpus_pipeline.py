@@ -35,8 +35,10 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     """The document with the smallest doc_id of each component, and those without doc_id or words; linked from 0.8 on."""
     links = near_duplicates.link_documents(docs, NEAR)
     gone = stored(links.filter(F.col("doc_id").isNotNull() & ~F.col("kept")).select(
-        F.col("doc_id").alias("_gone")).distinct(), "gone")
-    return docs.join(gone, F.col("doc_id").cast("long") == F.col("_gone"), "left_anti")
+        F.col("doc_id").alias("gone")).distinct(), "gone")
+    # the row in one struct, so that its columns can have any names
+    whole = docs.select(F.col("doc_id").cast("long").alias("id"), F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"))
+    return whole.join(gone, F.col("id") == F.col("gone"), "left_anti").select("row.*")
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
