@@ -2,14 +2,15 @@
 
 Equal vectors are one node, which keeps the few smallest ids that any answer can need. Nodes are dealt over
 shards of bounded size by hash; each shard's graph (Malkov and Yashunin 2018) is built in one task
-and written as one row of flat arrays: vectors, neighbours at the ground level and above, entry point.
+and written as one row of flat arrays: vectors, neighbours at the ground level and above.
+A node is inserted by searching the graph of those before it. Batches of nodes are searched in step, so that a step is
+a few array operations; a batch is no larger than the graph it is inserted into, and its nodes see each other.
 Blocks of queries meet every shard; a task holds one graph and one block. Each answers with
 its nearest, and the shards' answers are merged by rank.
 """
 
 from __future__ import annotations
 
-import heapq
 from collections.abc import Callable
 
 import numpy as np
@@ -21,145 +22,173 @@ from arrearscope.sources.storage import stored
 
 NEAREST = 10
 #: Nodes of a shard at most, and bytes of its vectors at most.
-SHARD_NODES, SHARD_BYTES = 4096, 32 << 20
+SHARD_NODES, SHARD_BYTES = 32768, 64 << 20
 #: Queries that meet a shard together.
-QUERY_BLOCK = 1024
+QUERY_BLOCK = 8192
 #: Links above the ground level (twice as many on it), candidates of an insertion and of a search.
-LINKS, BUILD_WIDTH, SEARCH_WIDTH = 12, 64, 128
+LINKS, BUILD_WIDTH, SEARCH_WIDTH = 16, 64, 400
+#: Nodes or queries that are searched in step at most, and bytes of the vectors that a step looks at.
+BATCH, STEP_BYTES = 256, 16 << 20
 
-GRAPH = ("shard long, dims int, vectors binary, ids binary, id_starts binary, ground binary, "
-         "upper binary, upper_nodes binary, upper_starts binary, entry int")
+GRAPH = "shard long, dims int, vectors binary, ids binary, id_starts binary, links array<binary>"
 
 
-def _squared(x: np.ndarray, norms: np.ndarray, at: np.ndarray, q: np.ndarray) -> np.ndarray:
-    return norms[at] - 2 * (x[at] @ q) + q @ q
+def _distances(x: np.ndarray, at: np.ndarray, q: np.ndarray) -> np.ndarray:
+    """Squared distances of rows of ``x`` and the rows of ``q`` beside them."""
+    apart = x[at] - q
+    return np.einsum("...i,...i->...", apart, apart)
 
 
-def _diverse(x: np.ndarray, candidates: np.ndarray, distances: np.ndarray, most: int) -> np.ndarray:
-    """Candidates, nearest first, each nearer to the node than to any chosen before; filled up with the nearest others."""
-    order = np.argsort(distances, kind="stable")
-    candidates, distances = candidates[order], distances[order]
-    if len(candidates) <= 2:
-        return candidates[:most]
+def _diverse(x: np.ndarray, of: np.ndarray, candidates: np.ndarray, most: int) -> np.ndarray:
+    """For each node of ``of``, up to ``most`` of its row of candidates (-1: none): those nearer to it than to any
+    chosen before, nearest first, then the nearest others. -1 where there are fewer."""
+    chunk = max(1, STEP_BYTES // (8 * candidates.shape[1] * (candidates.shape[1] + x.shape[1])))
+    if len(of) > chunk:
+        return np.concatenate([_diverse(x, of[i:i + chunk], candidates[i:i + chunk], most) for i in range(0, len(of), chunk)])
+    distances = np.where(candidates >= 0, _distances(x, candidates, x[of][:, None]), np.inf)
+    order = np.argsort(distances, axis=1, kind="stable")
+    candidates, distances = np.take_along_axis(candidates, order, 1), np.take_along_axis(distances, order, 1)
     part = x[candidates]
-    norms = (part * part).sum(1)
-    between = norms[:, None] + norms[None, :] - 2 * part @ part.T
-    chosen, shade = [], np.full(len(candidates), np.inf)
-    for k in range(len(candidates)):
-        if distances[k] < shade[k]:
-            chosen.append(k)
-            if len(chosen) == most:
-                break
-            np.minimum(shade, between[k], out=shade)
-    if len(chosen) < most:
-        taken = set(chosen)
-        chosen += [k for k in range(len(candidates)) if k not in taken][:most - len(chosen)]
-    return candidates[chosen]
+    norms = np.einsum("tcd,tcd->tc", part, part)
+    between = norms[:, :, None] + norms[:, None, :] - 2 * part @ part.transpose(0, 2, 1)
+    width = candidates.shape[1]
+    chosen, shade = np.zeros(candidates.shape, bool), np.full(candidates.shape, np.inf)
+    left = np.full(len(of), most)
+    for k in range(width):
+        take = np.flatnonzero((candidates[:, k] >= 0) & (distances[:, k] < shade[:, k]) & (left > 0))
+        chosen[take, k] = True
+        left[take] -= 1
+        shade[take] = np.minimum(shade[take], between[take, k])
+    rank = np.where(candidates < 0, 2 * width, np.where(chosen, 0, width)) + np.arange(width)
+    out = np.full((len(of), most), -1, np.int32)
+    first = np.argsort(rank, axis=1)[:, :most]
+    out[:, :first.shape[1]] = np.take_along_axis(candidates, first, 1)
+    return out
+
+
+def _beam(x: np.ndarray, links: np.ndarray, q: np.ndarray, start: np.ndarray, width: int) -> np.ndarray:
+    """The ``width`` nodes found nearest to each row of ``q``, nearest first (-1: none), best first from ``start``.
+
+    A row ends when none of its nodes is unexpanded. With width 1 this is the greedy walk of the upper levels.
+    """
+    rows = np.arange(len(q))
+    seen = np.zeros((len(q), len(links)), bool)
+    seen[rows, start] = True
+    nodes, far = np.full((len(q), width), -1, np.int32), np.full((len(q), width), np.inf)
+    fresh = np.zeros((len(q), width), bool)
+    nodes[:, 0], far[:, 0], fresh[:, 0] = start, _distances(x, start, q), True
+    active = rows
+    while True:
+        ahead = np.where(fresh[active], far[active], np.inf)
+        k = ahead.argmin(1)
+        going = fresh[active, k]
+        active, k = active[going], k[going]
+        if not len(active):
+            break
+        fresh[active, k] = False
+        near = links[nodes[active, k]]
+        at, column = np.nonzero((near >= 0) & ~seen[active[:, None], near])
+        if not len(at):
+            continue
+        ids = near[at, column]
+        seen[active[at], ids] = True
+        reached = np.full(near.shape, np.inf)
+        reached[at, column] = _distances(x, ids, q[active[at]])
+        # rows whose beam changes only
+        changed = np.flatnonzero(reached.min(1) < far[active].max(1))
+        rows_, new = active[changed], reached[changed]
+        all_far = np.concatenate([far[rows_], new], 1)
+        keep = np.argpartition(all_far, width - 1, axis=1)[:, :width]
+        far[rows_] = np.take_along_axis(all_far, keep, 1)
+        nodes[rows_] = np.take_along_axis(np.concatenate([nodes[rows_], np.where(np.isfinite(new), near[changed], -1)], 1), keep, 1)
+        fresh[rows_] = np.take_along_axis(np.concatenate([fresh[rows_], np.isfinite(new)], 1), keep, 1)
+    return np.take_along_axis(nodes, np.argsort(far, axis=1, kind="stable"), 1)
 
 
 class Graph:
-    """Flat arrays of one shard. Row i of ``ground`` holds node i's neighbours, -1 where there are fewer.
+    """Flat arrays of one shard. Nodes are in falling order of their level, so those of a level are the first ones.
 
-    ``upper_nodes[upper_starts[l]:upper_starts[l + 1]]`` are the nodes of level l + 1 and the same rows of
-    ``upper`` their neighbours there.
+    Row i of ``links[level]`` holds node i's neighbours there, -1 where there are fewer. Node 0 is the entry.
     """
 
-    def __init__(self, x: np.ndarray, ground: np.ndarray, upper: np.ndarray, upper_nodes: np.ndarray,
-                 upper_starts: np.ndarray, entry: int):
-        self.x, self.ground, self.upper = x, ground, upper
-        self.upper_nodes, self.upper_starts, self.entry = upper_nodes, upper_starts, entry
-        self.norms = (x * x).sum(1)
+    def __init__(self, x: np.ndarray, links: list[np.ndarray]):
+        self.x, self.links = x, links
+        self.batch = int(np.clip(STEP_BYTES // (16 * LINKS * max(1, x.shape[1])), 8, BATCH))
+
+    @staticmethod
+    def order(n: int, seed: int) -> tuple[np.ndarray, list[int]]:
+        """Nodes by falling random level, and how many each level has, the ground first."""
+        levels = np.minimum((-np.log(1 - np.random.default_rng(seed).random(n)) / np.log(LINKS)).astype(int), 8)
+        return np.argsort(-levels, kind="stable"), [int((levels >= at).sum()) for at in range(int(levels.max(initial=0)) + 1)]
 
     @classmethod
-    def build(cls, x: np.ndarray, seed: int) -> Graph:
-        """Insert the nodes one by one, each linked to a diverse choice of its nearest among those before it."""
-        n, rng = len(x), np.random.default_rng(seed)
-        levels = np.minimum((-np.log(1 - rng.random(n)) / np.log(LINKS)).astype(int), 8)
-        norms = (x * x).sum(1)
-        top, rows, nodes, starts = int(levels.max(initial=0)), [], [], [0]
-        ground = None
-        for level in range(top + 1):
-            members = np.flatnonzero(levels >= level)
-            most = LINKS * (1 if level else 2)
-            links = np.full((len(members), most), -1, np.int32)
-            sizes = np.zeros(len(members), int)
-            part, part_norms = x[members], norms[members]
-            for i in range(1, len(members)):
-                near = part_norms[:i] - 2 * (part[:i] @ part[i])
-                pool = np.argpartition(near, BUILD_WIDTH)[:BUILD_WIDTH] if i > BUILD_WIDTH else np.arange(i)
-                chosen = _diverse(part, pool, near[pool] + part_norms[i], LINKS)
-                links[i, :len(chosen)], sizes[i] = chosen, len(chosen)
-                for j in chosen:
-                    if sizes[j] < most:
-                        links[j, sizes[j]] = i
-                        sizes[j] += 1
-                    else:
-                        pool = np.append(links[j], i)
-                        kept = _diverse(part, pool, _squared(part, part_norms, pool, part[j]), most)
-                        links[j, :], sizes[j] = -1, len(kept)
-                        links[j, :len(kept)] = kept
-            named = np.where(links >= 0, members[links], -1).astype(np.int32)
-            if level:
-                rows.append(named)
-                nodes.append(members.astype(np.int32))
-                starts.append(starts[-1] + len(members))
-            else:
-                ground = named
-        entry = int(np.flatnonzero(levels == top)[0]) if n else -1
-        return cls(x, ground, np.concatenate(rows) if rows else np.zeros((0, LINKS), np.int32),
-                   np.concatenate(nodes) if nodes else np.zeros(0, np.int32), np.array(starts, np.int32), entry)
+    def build(cls, x: np.ndarray, sizes: list[int]) -> Graph:
+        """Insert the nodes of each level, from the top one down, in batches."""
+        graph = cls(x, [np.full((size, LINKS * (1 if level else 2)), -1, np.int32) for level, size in enumerate(sizes)])
+        for level in reversed(range(len(sizes))):
+            done = 0
+            while done < sizes[level]:
+                upto = min(sizes[level], done + min(graph.batch, max(done, BUILD_WIDTH)))
+                graph._insert(level, done, upto)
+                done = upto
+        return graph
+
+    def _insert(self, level: int, done: int, upto: int) -> None:
+        """Link nodes done .. upto - 1 with a diverse choice of the nearest found among those before each."""
+        new, links = np.arange(done, upto), self.links[level]
+        q = self.x[done:upto]
+        norms = np.einsum("ij,ij->i", q, q)
+        mates = np.where(new[None, :] < new[:, None], norms[None, :] - 2 * q @ q.T, np.inf)
+        nearest = np.argsort(mates, axis=1, kind="stable")[:, :BUILD_WIDTH // 4 if done else BUILD_WIDTH]
+        candidates = np.where(np.isfinite(np.take_along_axis(mates, nearest, 1)), nearest + done, -1)
+        if done:
+            above = len(self.links[level + 1]) if level + 1 < len(self.links) else 0
+            start = self._descend(q, level) if above and done >= above else np.zeros(len(q), np.int64)
+            candidates = np.concatenate([_beam(self.x, links[:done], q, start, BUILD_WIDTH), candidates], 1)
+        chosen = _diverse(self.x, new, candidates, LINKS)
+        links[done:upto, :LINKS] = chosen
+        source, column = np.nonzero(chosen >= 0)
+        target = chosen[source, column].astype(np.int64)
+        by_target = np.argsort(target, kind="stable")
+        target, source = target[by_target], new[source[by_target]]
+        nth = np.arange(len(target)) - np.searchsorted(target, target)
+        most = links.shape[1]
+        # as many new neighbours a pass as a node can have
+        for low in range(0, int(nth.max(initial=-1)) + 1, most):
+            now = (nth >= low) & (nth < low + most)
+            of, row = np.unique(target[now], return_inverse=True)
+            both = np.concatenate([links[of], np.full((len(of), most), -1, np.int32)], 1)
+            both[row, most + nth[now] - low] = source[now]
+            both = np.take_along_axis(both, np.argsort(both < 0, axis=1, kind="stable"), 1)
+            full = both[:, most] >= 0
+            links[of[~full]] = both[~full, :most]
+            if full.any():
+                links[of[full]] = _diverse(self.x, of[full], both[full], most)
+
+    def _descend(self, q: np.ndarray, level: int) -> np.ndarray:
+        """The node reached greedily for each row of ``q``, above ``level``."""
+        at = np.zeros(len(q), np.int64)
+        for links in reversed(self.links[level + 1:]):
+            at = _beam(self.x, links, q, at, 1)[:, 0].astype(np.int64)
+        return at
 
     def search(self, q: np.ndarray, width: int = SEARCH_WIDTH) -> np.ndarray:
-        """Nodes found nearest to ``q``, nearest first: greedy down the levels, then best first on the ground."""
-        at = self.entry
-        best = float(_squared(self.x, self.norms, np.array([at]), q)[0])
-        for level in range(len(self.upper_starts) - 2, -1, -1):
-            low, high = self.upper_starts[level], self.upper_starts[level + 1]
-            while True:
-                row = low + int(np.searchsorted(self.upper_nodes[low:high], at))
-                near = self.upper[row]
-                near = near[near >= 0]
-                if not len(near):
-                    break
-                distances = _squared(self.x, self.norms, near, q)
-                k = int(distances.argmin())
-                if distances[k] >= best:
-                    break
-                at, best = int(near[k]), float(distances[k])
-        seen = np.zeros(len(self.x), bool)
-        seen[at] = True
-        open_nodes, found = [(best, at)], [(-best, at)]
-        while open_nodes:
-            distance, node = heapq.heappop(open_nodes)
-            if len(found) >= width and distance > -found[0][0]:
-                break
-            near = self.ground[node]
-            near = near[near >= 0]
-            near = near[~seen[near]]
-            if not len(near):
-                continue
-            seen[near] = True
-            for d, j in zip(_squared(self.x, self.norms, near, q).tolist(), near.tolist()):
-                if len(found) < width:
-                    heapq.heappush(found, (-d, j))
-                    heapq.heappush(open_nodes, (d, j))
-                elif d < -found[0][0]:
-                    heapq.heapreplace(found, (-d, j))
-                    heapq.heappush(open_nodes, (d, j))
-        return np.array([j for _, j in sorted(found, reverse=True)])
+        """Nodes found nearest to each row of ``q``, nearest first, -1 where there are fewer than ``width``."""
+        parts = [q[i:i + self.batch] for i in range(0, len(q), self.batch)]
+        return np.concatenate([_beam(self.x, self.links[0], part, self._descend(part, 0), width) for part in parts])
 
 
 def _build(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
     group = group.sort_values("first_id")
+    order, sizes = Graph.order(len(group), seed=0)
+    group = group.iloc[order]
     x = np.stack(group.v.to_numpy()).astype(np.float64)
-    graph = Graph.build(x, seed=0)
+    graph = Graph.build(x, sizes)
     ids = [np.asarray(i, np.int64) for i in group.ids]
     starts = np.cumsum([0, *(len(i) for i in ids)]).astype(np.int64)
     return pd.DataFrame([{
         "shard": key[0], "dims": x.shape[1], "vectors": x.tobytes(), "ids": np.concatenate(ids).tobytes(),
-        "id_starts": starts.tobytes(), "ground": graph.ground.tobytes(), "upper": graph.upper.tobytes(),
-        "upper_nodes": graph.upper_nodes.tobytes(), "upper_starts": graph.upper_starts.tobytes(),
-        "entry": graph.entry,
+        "id_starts": starts.tobytes(), "links": [links.tobytes() for links in graph.links],
     }])
 
 
@@ -169,13 +198,11 @@ def _search(nearest: int) -> Callable:
         if len(shards) and len(queries):
             row = shards.iloc[0]
             x = np.frombuffer(row.vectors, np.float64).reshape(-1, int(row.dims))
-            graph = Graph(x, np.frombuffer(row.ground, np.int32).reshape(len(x), -1),
-                          np.frombuffer(row.upper, np.int32).reshape(-1, LINKS), np.frombuffer(row.upper_nodes, np.int32),
-                          np.frombuffer(row.upper_starts, np.int32), int(row.entry))
+            graph = Graph(x, [np.frombuffer(links, np.int32).reshape(-1, LINKS * (1 if level else 2)) for level, links in enumerate(row.links)])
             ids, starts = np.frombuffer(row.ids, np.int64), np.frombuffer(row.id_starts, np.int64)
-            for query, v in zip(queries.query_id, queries.v):
-                q = np.asarray(v, np.float64)
-                nodes = graph.search(q)
+            asked = np.stack(queries.v.to_numpy()).astype(np.float64)
+            for query, q, found in zip(queries.query_id, asked, graph.search(asked)):
+                nodes = found[found >= 0]
                 scores = np.sqrt(((x[nodes] - q) ** 2).sum(1))
                 answers = [(s, i) for s, node in zip(scores.tolist(), nodes) for i in ids[starts[node]:starts[node + 1]].tolist()
                            if i != query]
@@ -192,13 +219,13 @@ def usable(vector: Column) -> Column:
     return vector.isNotNull() & (F.size(vector) > 0) & finite & F.exists(vector, lambda c: c != 0)
 
 
-def search_nearest(embeddings: DataFrame, is_query: Column, nearest: int = NEAREST) -> DataFrame:
+def search_nearest(embeddings: DataFrame, is_query: Column, nearest: int = NEAREST, shard_nodes: int = SHARD_NODES) -> DataFrame:
     """query_id, rank, vec_id, score: the ``nearest`` found for each row with ``is_query``, by Euclidean distance.
 
     ``embeddings`` needs vec_id and embedding; further columns may be used by ``is_query`` only. The row with the
     query's id is no answer to it; equal distances go by vec_id. Rows without vec_id and vectors that are null,
     empty, zero or not finite take no part; vectors of other lengths than the query's are no answers. A
-    repeated row counts once. An empty table gives an empty one.
+    repeated row counts once. An empty table gives an empty one. A shard has ``shard_nodes`` different vectors on average.
     """
     rows = embeddings.withColumn("_query", is_query).select(
         F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("v"),
@@ -210,7 +237,7 @@ def search_nearest(embeddings: DataFrame, is_query: Column, nearest: int = NEARE
         F.col("_nth") <= nearest + 1)
     nodes = stored(smallest.groupBy("v").agg(F.sort_array(F.collect_list("vec_id")).alias("ids")), "nodes")
     sizes = nodes.groupBy(F.size("v").alias("dims")).agg(F.count(F.lit(1)).alias("n")).select(
-        "dims", F.ceil(F.col("n") / F.greatest(F.lit(1), F.least(F.lit(SHARD_NODES), F.floor(F.lit(SHARD_BYTES) / (8 * F.col("dims"))))))
+        "dims", F.ceil(F.col("n") / F.greatest(F.lit(1), F.least(F.lit(shard_nodes), F.floor(F.lit(SHARD_BYTES) / (8 * F.col("dims"))))))
         .cast("long").alias("shards"))
     # shards are numbered over all vector lengths; there are few of these
     first = Window.orderBy("dims").rowsBetween(Window.unboundedPreceding, -1)

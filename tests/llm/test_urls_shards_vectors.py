@@ -194,7 +194,8 @@ def exact_neighbours(vectors, queries, nearest=10):
     return out
 
 
-def test_recall_ties_and_unusable_vectors(spark):
+@pytest.mark.parametrize("shard_nodes", [nearest_neighbours.SHARD_NODES, 500])
+def test_recall_ties_and_unusable_vectors(spark, shard_nodes):
     rng = np.random.default_rng(11)
     vectors = {i: rng.normal(size=24).astype(np.float32).astype(float) for i in range(3000)}
     for i in range(3000, 3900):
@@ -204,7 +205,8 @@ def test_recall_ties_and_unusable_vectors(spark):
              (90_400, [float("inf")] * 24, "r", 1), (None, [1.0] * 24, "r", 1), (90_500, [], "r", 1), (90_600, [1.0, 2.0], "r", 1), (200, rows[200][1], "r", 1)]
     frame = spark.createDataFrame(rows, "vec_id long, embedding array<float>, rank string, shard int")
     found = defaultdict(list)
-    for r in nearest_neighbours.search_nearest(frame, F.col("vec_id") % 100 == 0).orderBy("query_id", "rank").collect():
+    for r in nearest_neighbours.search_nearest(frame, F.col("vec_id") % 100 == 0, shard_nodes=shard_nodes).orderBy(
+            "query_id", "rank").collect():
         found[r.query_id].append((r.score, r.vec_id))
         assert r.rank == len(found[r.query_id])
     want = exact_neighbours(vectors, [i for i in vectors if i % 100 == 0])
@@ -216,6 +218,26 @@ def test_recall_ties_and_unusable_vectors(spark):
     assert nearest_neighbours.search_nearest(frame.limit(0), F.lit(True)).collect() == []
 
 
+def test_graph_is_searched_in_insertion():
+    """Every node is reached, no node is its own neighbour or has one twice, and one graph of all nodes finds the nearest."""
+    x = np.random.default_rng(5).normal(size=(3000, 16))
+    order, sizes = nearest_neighbours.Graph.order(len(x), seed=0)
+    graph = nearest_neighbours.Graph.build(x[order], sizes)
+    for links, size in zip(graph.links, sizes):
+        assert links.shape[0] == size and links.max(initial=-1) < size
+        for node, row in enumerate(links.tolist()):
+            near = [j for j in row if j >= 0]
+            assert node not in near and len(near) == len(set(near)) and near == row[:len(near)]
+    hits = 0
+    for q in np.random.default_rng(6).normal(size=(100, 16)):
+        want = np.argsort(((graph.x - q) ** 2).sum(1), kind="stable")[:10]
+        hits += len(set(want.tolist()) & set(graph.search(q[None])[0, :10].tolist()))
+    assert hits >= 980
+    lone = nearest_neighbours.Graph.build(x[:1], [1])
+    assert lone.search(x[:2])[:, :2].tolist() == [[0, -1], [0, -1]]
+    assert len(np.unique(graph.search(graph.x)[:, 0])) > 2990
+
+
 def test_whole_table_recall(spark, small):
     table = spark.read.parquet(f"{small}/embeddings.parquet")
     vectors = {r.vec_id: np.array(r.embedding, float) for r in table.collect()}
