@@ -2,8 +2,8 @@
 
 Rows are binned once, to a byte a feature, and kept in blocks of whole columns. A pass over the blocks adds up gradient, hessian and
 number of rows by (node, feature, bin) for all nodes in question at once: tasks sum their own rows, the partial histograms are
-summed in a tree of tasks, and one histogram, whose size depends on the model's settings only, reaches the driver, which picks
-the splits. A tree takes as many passes as it has levels. The blocks are an RDD because a pass is imperative work on whole
+summed by groups of features in further tasks, which pick the group's best split of each node. Only these splits reach the
+driver. A tree takes as many passes as it has levels. The blocks are an RDD because a pass is imperative work on whole
 blocks, and a model takes more than a thousand passes: a plan for each, with Python on both sides of an exchange,
 takes four times as long.
 
@@ -24,6 +24,7 @@ import heapq
 import math
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass, field
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -39,7 +40,9 @@ from arrearscope.sources.storage import stored
 #: Trees between two renewals of the blocks' margins, and renewals that build on the one before.
 REFRESH, CHAIN = 5, 10
 #: Rows of a block, and of a partition of blocks.
-BLOCK_ROWS, ROWS_PER_PARTITION = 16_384, 50_000
+BLOCK_ROWS, ROWS_PER_PARTITION = 16_384, 128_000
+#: More partitions than cores only for partitions of more rows than this.
+MOST_ROWS = 1_000_000
 #: Bits of a double's integers that a sum over all rows may take.
 SUM_BITS = 52
 #: A split must gain more than this.
@@ -73,9 +76,13 @@ class Tree:
     depth: int
 
     def leaves_of(self, bins: np.ndarray) -> np.ndarray:
-        at, rows = np.zeros(len(bins), np.int64), np.arange(len(bins))
+        """The leaf each row reaches; ``bins`` has a column a row."""
+        flat, rows = bins.ravel(), np.arange(bins.shape[1])
+        start, child = self.feature * bins.shape[1], np.stack([self.left, self.right], 1).ravel()
+        at = np.zeros(bins.shape[1], np.int64)
         for _ in range(self.depth):
-            at = np.where(bins[rows, self.feature[at]] <= self.bin[at], self.left[at], self.right[at])
+            right = flat.take(start.take(at) + rows) > self.bin.take(at)
+            at = child.take(2 * at + right)
         return at
 
 
@@ -225,30 +232,65 @@ def best_splits(histogram: np.ndarray, params: BoostedTreesParams, scale: float)
     return out
 
 
-def _histogram(trees: list[Tree], tree: Tree, slots: np.ndarray, features: list[int], bins: int,
+def _better(one: tuple | None, other: tuple | None) -> tuple | None:
+    """The split with more gain; of equals that of the first feature."""
+    if one is None or other is None:
+        return one or other
+    return max(one, other, key=lambda split: (split[0], -split[1]))
+
+
+def _spread(features: Sequence[int], widths: Sequence[int], parts: int) -> list[list[int]]:
+    """``features`` in at most ``parts`` groups of about equal numbers of bins."""
+    groups = [[] for _ in range(max(1, min(parts, len(features))))]
+    sizes = [0] * len(groups)
+    for f in sorted(features, key=lambda f: (-widths[f], f)):
+        least = sizes.index(min(sizes))
+        groups[least].append(f)
+        sizes[least] += widths[f]
+    return groups
+
+
+def _histogram(trees: list[Tree], tree: Tree, slots: np.ndarray, groups: list[list[int]], widths: Sequence[int],
                number: int, params: BoostedTreesParams, scale: float):
-    """For ``mapPartitions``: blocks to the (features, nodes, bins, 3) sums of all of them."""
-    def run(blocks: Iterator[tuple]) -> Iterator[np.ndarray]:
+    """For ``mapPartitions``: blocks to (group, sums of all of them), the (nodes, bins, 3) of a group's features, one after the other."""
+    def run(blocks: Iterator[tuple]) -> Iterator[tuple[int, np.ndarray]]:
         wanted = int(slots.max()) + 1
-        total = np.zeros((len(features), wanted, bins, 3))
+        total = {f: np.zeros((3, wanted * widths[f])) for group in groups for f in group}
         for row, x, label, weight, margin in blocks:
-            if params.row_sample < 1:
-                kept = np.flatnonzero(_uniform(row, number, params.seed) < params.row_sample)
-                x, label, weight, margin = x[kept], label[kept], weight[kept], margin[kept]
             slot = slots[tree.leaves_of(x)]
-            mine = np.flatnonzero(slot >= 0)
+            inside = slot >= 0
+            if params.row_sample < 1:
+                inside &= _uniform(row, number, params.seed) < params.row_sample
+            mine = np.flatnonzero(inside)
             if not len(mine):
                 continue
-            x, margin = x[mine], margin[mine]
+            x, margin, slot = x[:, mine], margin[mine], slot[mine]
             for grown in trees:
                 margin = margin + grown.value[grown.leaves_of(x)]
             g, h = _gradients(label[mine], weight[mine], margin, scale)
-            base = slot[mine] * bins
-            for i, f in enumerate(features):
-                place = base + x[:, f]
+            for f, sums in total.items():
+                place = slot * widths[f] + x[f]
                 for k, values in enumerate((g, h, None)):
-                    total[i, :, :, k] += np.bincount(place, values, wanted * bins).reshape(wanted, bins)
-        yield total
+                    sums[k] += np.bincount(place, values, len(sums[k]))
+        for i, group in enumerate(groups):
+            yield i, np.concatenate([total[f].reshape(3, wanted, widths[f]).transpose(1, 2, 0).ravel() for f in group])
+
+    return run
+
+
+def _group_splits(groups: list[list[int]], widths: Sequence[int], wanted: int, params: BoostedTreesParams, scale: float):
+    """(group, its sums over all rows) to the sums of each node and its best split among the group's features."""
+    def run(found: tuple[int, np.ndarray]) -> tuple[list, list[tuple | None]]:
+        group, flat = groups[found[0]], found[1]
+        start, best, sums = 0, [None] * wanted, None
+        for f in group:
+            size = wanted * widths[f] * 3
+            histogram = flat[start:start + size].reshape(1, wanted, widths[f], 3)
+            start += size
+            sums = histogram[0].sum(axis=1).tolist() if sums is None else sums
+            own = best_splits(histogram, params, scale)
+            best = [_better(b, o and (o[0], f, *o[2:])) for b, o in zip(best, own)]
+        return sums, best
 
     return run
 
@@ -279,10 +321,12 @@ def _arrays(nodes: list[Node], chosen: Sequence[int], params: BoostedTreesParams
 def grow_tree(blocks: RDD, trees: list[Tree], number: int, cuts: list[list[float]], params: BoostedTreesParams,
               scale: float) -> tuple[list[Node], list[int]]:
     """Nodes of the next tree and those that are split; ``trees``: grown since the margins of ``blocks`` were renewed."""
-    bins = 1 + max(map(len, cuts), default=0)
+    widths = [len(c) + 1 for c in cuts]
     random = np.random.default_rng([params.seed, number])
     n_features = max(1, math.ceil(params.column_sample * len(cuts)))
     features = sorted(random.choice(len(cuts), n_features, replace=False).tolist())
+    parts = blocks.getNumPartitions()
+    groups = _spread(features, widths, parts)
     most = params.leaves or math.inf
     nodes, chosen = [Node(0, 0.0, 0.0, 0)], []
     while True:
@@ -293,16 +337,18 @@ def grow_tree(blocks: RDD, trees: list[Tree], number: int, cuts: list[list[float
         slots = np.full(len(nodes), -1, np.int64)
         slots[wanted] = np.arange(len(wanted))
         partial = blocks.mapPartitions(
-            _histogram(trees, _arrays(nodes, chosen, params), slots, features, bins, number, params, scale))
-        total = partial.treeReduce(np.add)
+            _histogram(trees, _arrays(nodes, chosen, params), slots, groups, widths, number, params, scale))
+        whole = partial if parts == 1 else partial.reduceByKey(np.add, len(groups))
+        found = whole.map(_group_splits(groups, widths, len(wanted), params, scale)).collect()
         if 0 in wanted:
-            g, h, n = total[0, 0].sum(axis=0).tolist()
+            g, h, n = found[0][0][0]
             nodes[0] = Node(0, g / scale, h / scale, int(n))
-        for at, best in zip(wanted, best_splits(total, params, scale)):
+        for i, at in enumerate(wanted):
+            best = reduce(_better, (splits[i] for _, splits in found))
             node = nodes[at]
             node.seen = True
             if best:
-                node.best = (best[0], features[best[1]], *best[2:])
+                node.best = best
                 node.left, node.right = len(nodes), len(nodes) + 1
                 nodes += [Node(node.depth + 1, g / scale, h / scale, int(n)) for g, h, n in best[3:]]
         chosen = _chosen(nodes, most)
@@ -334,7 +380,7 @@ def _stager(trees: list[Tree], width: int):
         for batch in batches:
             x, label, margin = _bins(batch, width), batch.column(2).cast(pa.int32()), batch.column(5).to_numpy()
             for i, tree in enumerate(trees):
-                margin = margin + tree.value[tree.leaves_of(x)]
+                margin = margin + tree.value[tree.leaves_of(x.T)]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.full(len(x), i + 1, np.int32)), label, pa.array(margin)], names=["prefix", "y", "p"])
 
@@ -347,7 +393,7 @@ def _refresher(trees: list[Tree], width: int):
         for batch in batches:
             x, margin = _bins(batch, width), batch.column(5).to_numpy()
             for tree in trees:
-                margin = margin + tree.value[tree.leaves_of(x)]
+                margin = margin + tree.value[tree.leaves_of(x.T)]
             yield pa.RecordBatch.from_arrays([*batch.columns[:5], pa.array(margin)], names=batch.schema.names)
 
     return run
@@ -368,12 +414,17 @@ def _blocks(binned: DataFrame, partitions: int) -> RDD:
     """(row, bins, label, weight, margin) arrays of blocks of training rows."""
     def unpacked(block) -> tuple:
         row = np.frombuffer(block[0], np.int64)
-        return (row, np.frombuffer(block[1], np.uint8).reshape(len(row), -1), *(np.frombuffer(block[i], float) for i in (2, 3, 4)))
+        return (row, np.ascontiguousarray(np.frombuffer(block[1], np.uint8).reshape(len(row), -1).T), *(np.frombuffer(block[i], float) for i in (2, 3, 4)))
 
     train = binned.filter(~F.col("is_validation")).coalesce(partitions)
     return train.mapInArrow(_packer, "row binary, bins binary, label binary, weight binary, margin binary").rdd.map(unpacked)
 
 
+def block_partitions(rows: int, cores: int) -> int:
+    """Partitions of blocks: each one sends sums of its own in every pass, so there are no more of them than work needs."""
+    return max(min(rows // ROWS_PER_PARTITION + 1, cores), rows // MOST_ROWS + 1)
+
+
 def _renewed(trees: list[Tree]):
     def run(block: tuple) -> tuple:
         *other, margin = block
@@ -426,7 +477,7 @@ def fit_booster(rows: DataFrame, names: Sequence[str], params: BoostedTreesParam
     values = train.select(vector_to_array("features").alias("x")).select(*(F.get("x", F.lit(i)).alias(f"f{i}") for i in range(len(names))))
     cuts = cut_points(values, [f"f{i}" for i in range(len(names))], min(params.max_bins, 256))
     binned = binned_rows(rows, cuts, base)
-    first = _blocks(binned, n // ROWS_PER_PARTITION + 1).persist(StorageLevel.MEMORY_AND_DISK)
+    first = _blocks(binned, block_partitions(n, rows.sparkSession.sparkContext.defaultParallelism)).persist(StorageLevel.MEMORY_AND_DISK)
     held_out = None
     if params.patience is not None:
         held_out = stored(binned.filter("is_validation"), "held-out")

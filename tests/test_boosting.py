@@ -1,10 +1,12 @@
 """Boosted trees against plain loops, and what is computed from their node tables."""
 
 import math
+import pickle
 from dataclasses import replace
 
 import numpy as np
 import pytest
+from pyspark import RDD
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
@@ -179,3 +181,16 @@ def test_rows_without_a_choice(spark, frame):
     assert boosting.fit_booster(frame.limit(0), NAMES, WHOLE).base == 0.0
     one = frame.limit(1).select(boosting.fit_booster(only, NAMES, WHOLE).probability(vector_to_array("features"))).first()[0]
     assert one == 1.0
+
+
+def test_only_splits_reach_the_driver(spark, frame, monkeypatch):
+    """Histograms of several partitions are summed, and searched for splits, in tasks."""
+    monkeypatch.setattr(boosting, "ROWS_PER_PARTITION", 60)
+    sizes, collect = [], RDD.collect
+    monkeypatch.setattr(RDD, "collect", lambda rdd: (sizes.append(len(pickle.dumps(found := collect(rdd)))), found)[1])
+    model = boosting.fit_booster(frame.coalesce(1), NAMES, replace(WHOLE, trees=2))
+    assert model.n_trees == 2 and sizes and max(sizes) < 20_000
+
+
+def test_blocks_have_no_more_partitions_than_cores_while_they_are_small():
+    assert [boosting.block_partitions(n, 12) for n in (0, 1_000, 5_000_000, 50_000_000)] == [1, 1, 12, 51]
