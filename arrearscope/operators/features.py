@@ -122,9 +122,10 @@ def join_origination(snapshot: DataFrame, orig: DataFrame, loan: str = LOAN) ->
     """Inner equi-join on the loan key.
 
     The snapshot is already partitioned by loan, so a sort-merge plan only moves the
-    origination side.
+    origination side. The plan is asked for: origination grows with the loans, and from a small file it would be
+    broadcast by that file's size, whole and through one task.
     """
-    return snapshot.join(orig, loan, "inner")
+    return snapshot.join(orig.hint("merge"), loan, "inner")
 
 
 def modeling_table(

@@ -133,6 +133,8 @@ def _fit_forest(name: str, config: RiskConfig):
             featuresCol="features", labelCol="label", weightCol="weight",
             numTrees=config.forest.trees, maxDepth=config.forest.depth,
             minInstancesPerNode=config.forest.min_rows_per_leaf, seed=config.forest.seed,
+            # every row's node in every tree is kept between passes: the same trees, without walking each from its root
+            cacheNodeIds=True,
         )
         return PipelineModel([_without_summary(_named(learner, name).fit(rows.filter(~F.col("is_validation"))))])
 

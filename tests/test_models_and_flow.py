@@ -1,6 +1,9 @@
+import re
 from dataclasses import replace
 
 import pytest
+from pyspark.ml.classification import RandomForestClassifier
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
 from arrearscope.config import (
@@ -140,6 +143,28 @@ def test_wide_column_is_encoded_without_touching_narrow_ones(spark, monkeypatch)
     assert plan.count("BroadcastHashJoin") == 1 and plan.count("SortMergeJoin") == 1
 
 
+def test_forest_keeps_the_rows_nodes_and_grows_the_same_trees(spark):
+    rows = stored(spark.range(400).select(
+        array_to_vector(F.array(
+            (F.col("id") % 17).cast("double"), (F.col("id") * 7 % 31).cast("double"), F.lit(1.0))).alias("features"),
+        (F.col("id") * 7 % 31 + F.col("id") % 17 > 22).cast("double").alias("label"), F.lit(1.0).alias("weight"),
+        F.lit(False).alias("is_validation")), "forest-rows").coalesce(2)
+    found = models.learners(FAST)["random_forest"](rows, None, ["a", "b", "c"]).stages[-1]
+    assert found.getCacheNodeIds()
+    plain = RandomForestClassifier(
+        weightCol="weight", numTrees=FAST.forest.trees, maxDepth=FAST.forest.depth,
+        minInstancesPerNode=FAST.forest.min_rows_per_leaf, seed=FAST.forest.seed).fit(rows)
+    assert found.toDebugString.split("\n")[1:] == plain.toDebugString.split("\n")[1:] and found.totalNumNodes > FAST.forest.trees
+
+
+def test_origination_is_not_broadcast_by_the_size_of_its_file(spark):
+    folder = "/root/testdata/sf0.001"
+    table = features.modeling_table(panel.snapshot(testbed.panel(spark, folder)), testbed.origination(spark, folder))
+    plan = table._jdf.queryExecution().sparkPlan()
+    joins = [name for name in re.findall(r"(\w+Join) \[LOAN_SEQUENCE_NUMBER", plan.toString())]
+    assert joins == ["SortMergeJoin"]
+
+
 def test_whole_flow_from_raw_files(spark, tmp_path):
     folder, raw = "/root/testdata/sf0.01", str(tmp_path / "raw")
     _raw_lines(testbed.raw_origination(spark, folder), ORIGINATION_LAYOUT).write.text(f"{raw}/sample_orig_1999.txt")
