@@ -87,13 +87,21 @@ def _hashes(words: Column) -> Column:
     return F.transform(words, lambda t: F.xxhash64(t))
 
 
-def _windows(hashes: Column, size: int, table: Column) -> Column:
-    """(at, window): places and hashes of the windows of ``size`` hashed tokens that pass the table, none where there are fewer."""
-    def known(i: Column) -> Column:
-        return F.substring(table, (F.pmod(F.get(hashes, i), F.lit(TABLE)) + 1).cast("int"), F.lit(1)) == F.lit(bytearray([1]))
+def _known(hashes: Column, table: Column) -> Column:
+    """For each hashed token whether the table has it."""
+    return F.transform(hashes, lambda h: F.substring(table, (F.pmod(h, F.lit(TABLE)) + 1).cast("int"), F.lit(1)) == F.lit(bytearray([1])))
+
+
+def _windows(hashes: Column, size: int, known: Column, before: Column) -> Column:
+    """(at, window): places and hashes of the windows of ``size`` hashed tokens that pass the table, none where there are fewer.
+
+    ``known`` says it of the tokens from its place ``before`` on.
+    """
+    def passes(i: Column) -> Column:
+        return F.get(known, before + i)
 
     starts = F.filter(
-        F.sequence(F.lit(0), F.size(hashes) - size), lambda i: known(i) & known(i + size - 1) & known(i + size // 2))
+        F.sequence(F.lit(0), F.size(hashes) - size), lambda i: passes(i) & passes(i + size - 1) & passes(i + size // 2))
     return F.when(F.size(hashes) >= size, F.transform(starts, lambda i: F.struct(
         i.alias("at"), F.xxhash64(F.slice(hashes, i + 1, size)).alias("window")))).otherwise(F.array().cast("array<struct<at:int,window:long>>"))
 
@@ -154,11 +162,12 @@ def alignments(docs: DataFrame, items: DataFrame) -> DataFrame:
     texts = tokens.select("hash", _hashes(_plain(F.col("tokens"))).alias("words"), templates_of(F.col("tokens")).alias("template")).select(
         "hash", "words", _hashes(_collapsed(F.col("template"))).alias("slots"))
     none = F.array().cast("array<struct<plain:boolean,size:int,at:int,window:long>>")
-    table = _word_table(items)
+    # the table stands once in the plan: the driver writes plans out, with all of its bytes, for every change of one
+    texts = texts.withColumn("known", _known(F.concat("words", "slots"), _word_table(items)))
     every = F.concat(none, *(F.transform(
-        _windows(F.col(name), size, table), lambda w: F.struct(
+        _windows(F.col(name), size, F.col("known"), before), lambda w: F.struct(
             F.lit(name == "words").alias("plain"), F.lit(size).alias("size"), w["at"].alias("at"), w["window"].alias("window")))
-        for size in sizes for name in ("words", "slots")))
+        for size in sizes for name, before in (("words", F.lit(0)), ("slots", F.size("words")))))
     told = texts.select("hash", F.explode(every).alias("w")).select(
         "hash", "w.plain", "w.size", F.col("w.at").alias("d_at"), F.col("w.window").alias("window"))
     hits = told.join(_broadcast_if_small(windows.withColumnRenamed("hash", "window")), ["window", "plain", "size"])

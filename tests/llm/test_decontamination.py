@@ -86,3 +86,16 @@ def test_short_and_odd_items_are_found_verbatim(spark):
     texts = [f"please say: {items[0]} thanks", "he asked, Which river runs through the old town, or so", "**which river runs through the OLD town**",
              f"see {items[2].lower()} there", "What is 12 * 8 + 5?", OTHER]
     assert holding(spark, texts, items) == {(0, 0), (1, 1), (2, 1), (3, 2)}
+
+
+def test_word_table_stands_once_in_the_plan(spark):
+    docs = spark.createDataFrame(
+        [(1, "we ask how many pears a farmer with 12 trees and 3 dogs can sell in a week")], "doc_id long, text string")
+    items = spark.createDataFrame([
+        (1, "how many pears a farmer with 12 trees and 3 dogs can sell"), (2, "name the five rivers"),
+        (3, "which of the six old towns")], "item_id long, text string")
+    found = dc.alignments(docs, items)
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    # 65,536 bytes in hexadecimal digits, for all sizes of windows and both readings
+    assert len(re.findall(r"[0-9a-fA-F]{100000,}", plan)) == 1
+    assert {(r["item_id"], r["shift"]) for r in found.collect()} == {(1, 2)}
