@@ -20,6 +20,9 @@ a text are one text from the first hit on. Built-in functions only.
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -57,19 +60,34 @@ def tokens_of(text: Column) -> Column:
     return F.regexp_extract_all(text, F.lit(TOKEN), F.lit(0))
 
 
-def templates_of(tokens: Column) -> Column:
-    """Typed slots and lower-cased words of an array of tokens."""
-    def typed(token: Column, i: Column) -> Column:
-        word = F.lower(F.regexp_replace(token, _LEAD, ""))
-        follows = (i > 0) & F.coalesce(F.try_element_at(tokens, i).rlike(_NUMBER), F.lit(False))
-        return F.when(token.rlike(_NUMBER), NUMBER).when((i > 0) & token.rlike(_NAME), NAME).when(
-            word.isin(UNITS) & follows, UNIT).otherwise(word)
+def _first_in(token: Column, *ranges: str) -> Column:
+    """Whether the first byte is in one of the ASCII ranges, told by comparing bytes: a pattern's matcher costs many times that."""
+    return reduce(or_, ((token >= r[0]) & (token < chr(ord(r[1]) + 1)) for r in ranges))
 
-    return F.transform(tokens, typed)
+
+def _is_number(token: Column) -> Column:
+    return F.when(_first_in(token, "AZ", "az"), False).when(_first_in(token, "09"), True).otherwise(token.rlike(_NUMBER))
+
+
+def _is_name(token: Column) -> Column:
+    return F.when(_first_in(token, "az", "09"), False).otherwise(token.rlike(_NAME))
 
 
 def _plain(tokens: Column) -> Column:
-    return F.transform(tokens, lambda t: F.lower(F.regexp_replace(t, _LEAD, "")))
+    """Lower-cased words of an array of tokens, without the marks before them."""
+    return F.transform(tokens, lambda t: F.lower(
+        F.when(_first_in(t, "AZ", "az", "09"), t).otherwise(F.regexp_replace(t, _LEAD, ""))))
+
+
+def templates_of(tokens: Column, words: Column) -> Column:
+    """Typed slots and lower-cased words of an array of tokens; ``words`` are its ``_plain`` ones."""
+    def typed(token: Column, i: Column) -> Column:
+        word = F.get(words, i)
+        follows = (i > 0) & F.coalesce(_is_number(F.get(tokens, i - 1)), F.lit(False))
+        return F.when(_is_number(token), NUMBER).when((i > 0) & _is_name(token), NAME).when(
+            follows & word.isin(UNITS), UNIT).otherwise(word)
+
+    return F.transform(tokens, typed)
 
 
 def _kept(template: Column) -> Column:
@@ -118,8 +136,9 @@ def benchmark_windows(items: DataFrame) -> DataFrame:
     of a first token that is a capitalised word. Items without an id or text, or with fewer than ``LEAST_ITEM``
     tokens, have none.
     """
-    told = _told(items).filter(F.size("own") >= LEAST_ITEM).withColumn("template", templates_of(F.col("own")))
-    words = told.select("item_id", F.lit(True).alias("plain"), "own", _plain(F.col("own")).alias("words"))
+    told = _told(items).filter(F.size("own") >= LEAST_ITEM).withColumn("words", _plain(F.col("own"))).withColumn(
+        "template", templates_of(F.col("own"), F.col("words")))
+    words = told.select("item_id", F.lit(True).alias("plain"), "own", "words")
     slots = told.select("item_id", F.lit(False).alias("plain"), F.transform(
         _kept(F.col("template")), lambda i: F.get("own", i)).alias("own"), _collapsed(F.col("template")).alias("words"))
     sized = words.unionByName(slots).withColumn("n_tokens", F.size("words")).withColumn("size", F.least(F.col("n_tokens"), F.lit(WINDOW)))
@@ -140,9 +159,10 @@ def benchmark_windows(items: DataFrame) -> DataFrame:
 
 def _word_table(items: DataFrame) -> Column:
     """``TABLE`` bytes, 1 where a word or slot of ``items`` has its hash; as long whatever the size of the benchmark."""
-    own = F.concat(_plain(F.col("own")), templates_of(F.col("own")), F.array(F.lit(NAME)))
+    own = F.concat("words", templates_of(F.col("own"), F.col("words")), F.array(F.lit(NAME)))
     place = F.pmod(F.xxhash64("word"), F.lit(TABLE)).alias("place")
-    filled = {row["place"] for row in _told(items).select(F.explode(own).alias("word")).select(place).distinct().collect()}
+    told = _told(items).withColumn("words", _plain(F.col("own")))
+    filled = {row["place"] for row in told.select(F.explode(own).alias("word")).select(place).distinct().collect()}
     return F.lit(bytearray(i in filled for i in range(TABLE)))
 
 
@@ -159,7 +179,9 @@ def alignments(docs: DataFrame, items: DataFrame) -> DataFrame:
     sizes = [r["size"] for r in windows.select("size").distinct().collect()]  # at most WINDOW
     tokens = docs.filter(F.col("text").isNotNull()).select(
         F.xxhash64("text").alias("hash"), tokens_of(F.col("text")).alias("tokens"))
-    texts = tokens.select("hash", _hashes(_plain(F.col("tokens"))).alias("words"), templates_of(F.col("tokens")).alias("template")).select(
+    # one pass over the tokens makes the words of both readings; not called words, which inside a lambda would mean their hashes
+    texts = tokens.withColumn("lower", _plain(F.col("tokens"))).select(
+        "hash", _hashes(F.col("lower")).alias("words"), templates_of(F.col("tokens"), F.col("lower")).alias("template")).select(
         "hash", "words", _hashes(_collapsed(F.col("template"))).alias("slots"))
     none = F.array().cast("array<struct<plain:boolean,size:int,at:int,window:long>>")
     # the table stands once in the plan: the driver writes plans out, with all of its bytes, for every change of one
@@ -200,8 +222,8 @@ def contaminated(docs: DataFrame, items: DataFrame) -> DataFrame:
     texts = docs.filter(F.col("text").isNotNull()).select(F.xxhash64("text").alias("hash"), "text").join(hit, "hash").dropDuplicates(["hash"])
 
     def read(df: DataFrame, name: str) -> DataFrame:
-        kinds = templates_of(F.col(name))
-        return df.withColumns({f"{name}_kinds": kinds, f"{name}_words": _plain(F.col(name))}).withColumn(
+        return df.withColumn(f"{name}_words", _plain(F.col(name))).withColumn(
+            f"{name}_kinds", templates_of(F.col(name), F.col(f"{name}_words"))).withColumn(
             f"{name}_kept", _kept(F.col(f"{name}_kinds"))).drop(name)
 
     both = likely.join(read(texts.select("hash", tokens_of(F.col("text")).alias("found")), "found"), "hash").join(

@@ -99,3 +99,25 @@ def test_word_table_stands_once_in_the_plan(spark):
     # 65,536 bytes in hexadecimal digits, for all sizes of windows and both readings
     assert len(re.findall(r"[0-9a-fA-F]{100000,}", plan)) == 1
     assert {(r["item_id"], r["shift"]) for r in found.collect()} == {(1, 2)}
+
+
+def test_words_are_made_once_and_mostly_without_patterns(spark):
+    docs, items = frame(spark, [QUESTION, VARIANT]), bench(spark, [QUESTION])
+    plan = dc.alignments(docs, items)._jdf.queryExecution().optimizedPlan().toString()
+    # the marks before a token are taken off in one place, and only where it doesn't begin with an ASCII letter or digit
+    assert plan.count("regexp_replace(") == 1 and "CASE WHEN" in plan[:plan.index("regexp_replace(")][-400:]
+
+
+def test_slots_and_words_are_those_of_plain_patterns(spark):
+    texts = ["3 kg, 4 Kg. 5 KG (6 km) -7% «Été 12 mm» Ärger „Über uns“ İstanbul ²³ x² ٣ kg 5 miles|Seven hours 2/3 lb [A `b` {c @D ~e ^F",
+             "Z", "z9 Z9 Az aZ 9a 9 in in ß ẞ 'quoted Anna’s", "Ⅷ kg ½ kg .5 kg\nLine A.B.C. 3.kg 4\nkg"]
+    tokens = spark.createDataFrame([(t,) for t in texts], "text string").select(dc.tokens_of(dc.F.col("text")).alias("t")).withColumn(
+        "w", dc._plain(dc.F.col("t")))
+    number, lead = r"[^\W_]", r"^[\W_]+"
+    for row in tokens.withColumn("k", dc.templates_of(dc.F.col("t"), dc.F.col("w"))).collect():
+        bare = [re.sub(lead, "", t) for t in row.t]
+        assert row.w == [b.lower() for b in bare]
+        numeric = [re.match(number, b) is not None and not b[0].isalpha() for b in bare]
+        named = [i > 0 and len(t) > 1 and t[0].isupper() and t[0].isalpha() and t[1].islower() and t[1].isalpha() for i, t in enumerate(row.t)]
+        assert row.k == ["<number>" if n else "<name>" if c else "<unit>" if i and numeric[i - 1] and w in dc.UNITS else w
+                         for i, (n, c, w) in enumerate(zip(numeric, named, row.w))]
