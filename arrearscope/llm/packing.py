@@ -16,6 +16,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -173,13 +174,14 @@ def intervals(planned: list[tuple[Config, int]]) -> pd.DataFrame:
 
 def _place(shared):
     """Arrow UDF (length, rank) to (sequence_id, offset) by the broadcast intervals."""
-    @F.pandas_udf("struct<sequence_id:long,offset:long>")
-    def place(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
+    @F.arrow_udf("struct<sequence_id:long,offset:long>")
+    def place(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
         starts, sequences, offsets = shared.value
         for length, rank in batches:
-            key = (length.to_numpy(np.int64) << 48) + rank.to_numpy(np.int64)
+            key = (np.asarray(length, np.int64) << 48) + np.asarray(rank, np.int64)
             at = np.searchsorted(starts, key, side="right") - 1
-            yield pd.DataFrame({"sequence_id": sequences[at] + key - starts[at], "offset": offsets[at]})
+            yield pa.StructArray.from_arrays(
+                [pa.array(sequences[at] + key - starts[at]), pa.array(offsets[at])], names=["sequence_id", "offset"])
 
     return place
 

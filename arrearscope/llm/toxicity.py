@@ -22,7 +22,6 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -257,12 +256,21 @@ def _measure(likelihoods: np.ndarray) -> tuple[float, ...]:
     return toxic, ordinary, toxic - ordinary, *worst
 
 
+def _as_structs(measured: list[tuple[float, ...]]) -> pa.StructArray:
+    columns = np.array(measured, np.float64).reshape(-1, 5).T
+    return pa.StructArray.from_arrays([pa.array(c) for c in columns], names=["toxic_ll", "ordinary_ll", *_FEATURES])
+
+
 def measures(spark, model: Model):
-    """Arrow UDF: text to ``MEASURES``. Distinct words are scored once and kept for later texts."""
+    """Arrow UDF: text to ``MEASURES``. Distinct words are scored once and kept for later texts.
+
+    Texts are taken out of a batch one by one, and pandas isn't loaded: workers stay, with what they have used, beside
+    those of later steps.
+    """
     shared = spark.sparkContext.broadcast(vars(model))
 
-    @F.pandas_udf(MEASURES)
-    def measured(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+    @F.arrow_udf(MEASURES)
+    def measured(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         model, known, table = Model(**shared.value), {}, np.zeros((0, 2))
         for texts in batches:
             out, chunk, size = [], [], 0
@@ -280,7 +288,8 @@ def measures(spark, model: Model):
                     known.clear()
                     table = table[:0]
 
-            for text in texts:
+            for value in texts:
+                text = value.as_py()
                 words = _WORD.findall(text.lower()) if text else []
                 chunk.append(words)
                 size += len(words) * 8
@@ -288,7 +297,7 @@ def measures(spark, model: Model):
                     close()
                     size = 0
             close()
-            yield pd.DataFrame(out, columns=["toxic_ll", "ordinary_ll", *_FEATURES])
+            yield _as_structs(out)
 
     return measured
 
@@ -358,16 +367,17 @@ def _places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield block()
 
 
-def _measured_words(words: pd.Series) -> pd.DataFrame:
+def _measured_words(words: pa.Array) -> pa.Array:
     """Measures from the words' places and scores; a place that copies name twice has the same scores."""
     out = []
-    for parts in words:
+    for value in words:
+        parts = value.as_py()
         counts = [len(p["at"]) for p in parts]
         at = np.concatenate([p["at"] for p in parts])
         likelihoods = np.empty((int(at.max()) + 1, 2))
         likelihoods[at] = np.repeat([[p["ordinary"], p["toxic"]] for p in parts], counts, axis=0)
         out.append(_measure(likelihoods))
-    return pd.DataFrame(out, columns=["toxic_ll", "ordinary_ll", *_FEATURES])
+    return _as_structs(out)
 
 
 def text_measures(docs: DataFrame, counts: Counts) -> DataFrame:
@@ -377,7 +387,7 @@ def text_measures(docs: DataFrame, counts: Counts) -> DataFrame:
     scores = stored(word_scores(stored(places.select("word").distinct(), "vocabulary"), counts), "word_scores")
     return places.join(scores, "word").groupBy("hash").agg(
         F.collect_list(F.struct("at", "ordinary", "toxic")).alias("words")).select(
-        "hash", F.pandas_udf(_measured_words, MEASURES)("words").alias("m"))
+        "hash", F.arrow_udf(_measured_words, MEASURES)("words").alias("m"))
 
 
 def fit_curve(x: np.ndarray, y: np.ndarray, ridge: float = 1e-3, steps: int = 60) -> np.ndarray:

@@ -5,6 +5,8 @@ Each stage takes ``(spark, docs, sf_dir)`` and returns a DataFrame, which is wri
 the next one's ``docs``. All but the last keep the columns of ``docs``. Rows that a stage has no say on (null
 text, null doc_id) are kept; the single stages say how. Repeated rows are kept as they are, except that
 equal rows are near duplicates of each other only by doc_id: rows that share one stay or go together.
+
+Stages that run Python lower the session's ``spark.sql.execution.arrow.maxRecordsPerBatch`` to ``BATCH_ROWS``.
 """
 
 from __future__ import annotations
@@ -20,9 +22,20 @@ from arrearscope.sources.storage import stored
 #: than 44 of 80 coordinates (mean 64, deviation 3.6) with one of about 1e-07.
 NEAR = near_duplicates.Settings(percent=80, likely=44)
 
+#: Rows of whole texts that go to a Python worker at once: a batch is held there and, up to twice as large, off the executor's heap.
+BATCH_ROWS = 1_000
+_BATCH_SETTING = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def _in_small_batches(spark: SparkSession) -> None:
+    """Set the session's Arrow batches to ``BATCH_ROWS`` rows, unless they are smaller; a stage's plan is made after it returns, so they stay."""
+    if not 0 < int(spark.conf.get(_BATCH_SETTING)) <= BATCH_ROWS:
+        spark.conf.set(_BATCH_SETTING, str(BATCH_ROWS))
+
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the class-conditional models don't call toxic."""
+    _in_small_batches(spark)
     mark = "_toxic"
     while mark in docs.columns:
         mark += "_"
@@ -33,6 +46,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document with the smallest doc_id of each component, and those without doc_id or words; linked from 0.8 on."""
+    _in_small_batches(spark)
     links = near_duplicates.link_documents(docs, NEAR)
     gone = stored(links.filter(F.col("doc_id").isNotNull() & ~F.col("kept")).select(
         F.col("doc_id").alias("gone")).distinct(), "gone")
@@ -57,6 +71,7 @@ def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row a piece: where it goes in the token sequences."""
+    _in_small_batches(spark)
     return packing.pack_documents(docs)
 
 
