@@ -172,11 +172,13 @@ def train_all(
     config: RiskConfig = RiskConfig(),
     only: Sequence[str] | None = None,
     target: str = TARGET,
+    whole: bool = False,
 ) -> TrainedModels:
     """Fit the learners with class weights, then the ensemble weights on the validation rows.
 
     ``rows`` has an ``is_validation`` column (see ``splits.training_frame``) and is read
-    several times: pass a stored table. A learner that fails is logged and left out. With
+    several times: pass a stored table. A learner that fails is logged and left out, its error in ``failures``;
+    with ``whole`` it is a ``RuntimeError`` that names it, so that fewer models can't pass for all of them. With
     two or more models the ensemble weights are their validation AUCs divided by the sum.
     """
     use_checkpoints(rows.sparkSession)
@@ -200,12 +202,15 @@ def train_all(
         with ThreadPoolExecutor(max(len(chosen), 1)) as pool:
             fits = {name: pool.submit(copy_context().run, inheritable_thread_target(rows.sparkSession)(fit), weighted, stats, trained.feature_names)
                     for name, fit in chosen.items()}
+        cause = None
         for name, found in fits.items():
             try:
                 trained.models[name] = found.result()
             except Exception as error:  # noqa: BLE001 - one bad learner must not stop the others
                 logger.exception("training %s failed", name)
-                trained.failures[name] = str(error)
+                trained.failures[name], cause = str(error), cause or error
+        if whole and cause is not None:
+            raise RuntimeError(f"training failed: {', '.join(trained.failures)}") from cause
         if len(trained.models) >= 2:
             _weigh(trained, weighted.filter("is_validation"))
     finally:

@@ -16,7 +16,7 @@ from arrearscope.config import (
     RiskConfig,
 )
 from arrearscope.operators import encode, features, metrics, models, panel, splits
-from arrearscope.plans import flow, testbed
+from arrearscope.plans import catalog, flow, testbed
 from arrearscope.plans.catalog import _raw_lines
 from arrearscope.sources.storage import path_exists, scratch, stored
 from arrearscope.sources.tables import load_split, save_with_counts
@@ -130,6 +130,26 @@ def test_one_failing_learner_is_left_out(split):
     assert result.weights == {}
 
 
+def _fails(rows, stats, names):
+    raise ValueError("no trees")
+
+
+def test_a_failing_learner_is_an_error_where_all_are_wanted(split, monkeypatch):
+    logistic = models.learners(FAST)["logistic_regression"]
+    monkeypatch.setattr(models, "learners", lambda config: {"boosted_a": _fails, "logistic_regression": logistic})
+    with pytest.raises(RuntimeError, match="boosted_a") as raised:
+        models.train_all(splits.training_frame(split), FAST, whole=True)
+    assert str(raised.value.__cause__) == "no trees"
+
+
+@pytest.mark.parametrize("name", ["train_ensemble", "feature_importance_top15", "stored_models"])
+def test_queries_do_not_give_results_of_fewer_learners(spark, small, monkeypatch, name):
+    monkeypatch.setattr(models, "learners", lambda config: {"boosted_a": _fails, "logistic_regression": lambda *_: None})
+    monkeypatch.setattr(models, "score_splits", lambda *_: spark.range(1))
+    with pytest.raises(RuntimeError, match="boosted_a"):
+        catalog.QUERIES[name](spark, small)
+
+
 def test_wide_column_is_encoded_without_touching_narrow_ones(spark, monkeypatch):
     monkeypatch.setattr(encode, "BROADCAST_CODES", 100)
     frame = stored(spark.createDataFrame([(str(i), "ab"[i % 2]) for i in range(5000)], "wide string, narrow string"), "t")
