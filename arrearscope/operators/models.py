@@ -344,12 +344,12 @@ def node_rows(spark: SparkSession, model: PipelineModel | Booster, names: Sequen
 
 
 def score_by_nodes(spark: SparkSession, trained: TrainedModels, df: DataFrame) -> DataFrame:
-    """``df`` with the probability of every model of trees, from node tables alone and in one narrow pass."""
+    """``df`` with the probability of every model of trees, from node tables and built-in functions alone and in one narrow pass."""
     assembled = trained.features.transform(df).withColumn("_values", vector_to_array("features"))
     values, columns = F.col("_values"), {}
     for name, model in trained.models.items():
         if isinstance(model, Booster):
-            columns[name] = model.probability(values)
+            columns[name] = 1 / (1 + F.exp(-boosting.tree_sums(model.nodes, values, model.base)))
         elif hasattr(model.stages[-1], "getNumTrees"):
             columns[name] = boosting.tree_sums(node_rows(spark, model, trained.feature_names), values)
     return assembled.select(*df.columns, *(column.alias(name) for name, column in columns.items()))

@@ -151,6 +151,20 @@ def test_prefix_aucs_and_patience(spark, frame):
         assert abs(ranking_metrics(score_curve(scored, ["model"]), ["model"]).first()["auc_roc"] - aucs[trees - 1]) < 1e-9
 
 
+def test_rows_walk_the_trees_together_and_get_the_same_sums(spark, frame, monkeypatch):
+    monkeypatch.setattr(boosting, "WALK_ROWS", 50)
+    fitted = boosting.fit_booster(frame, NAMES, WHOLE)
+    nodes = [*fitted.nodes, (7, 0, *[None] * 7, 0.0, 1.0, 1, 0.25)]  # and a tree that is a leaf
+    odd = spark.createDataFrame(
+        [(None,), ([None, 1.0, 2.0, None],), ([math.nan, math.inf, -math.inf, 0.0],), ([0.1, 2.0, 0.3, 0.4],)], "x array<double>")
+    values = frame.select(vector_to_array("features").alias("x")).unionByName(odd)
+    for rows in (values, values.filter("x is null"), values.limit(0)):
+        found = rows.coalesce(1).select(boosting.walked_sums(nodes, F.col("x"), 0.5), boosting.tree_sums(nodes, F.col("x"), 0.5)).collect()
+        assert [r[0] for r in found] == [r[1] for r in found] and len(found) == rows.count()
+    plan = frame.select(fitted.probability(vector_to_array("features")))._jdf.queryExecution().executedPlan().toString()
+    assert "ArrowEvalPython" in plan and "aggregate(" not in plan  # a row alone took milliseconds for 300 trees
+
+
 @pytest.mark.parametrize(("aucs", "patience", "stop"), [
     ([0.5, 0.6, 0.6, 0.6], 2, 2), ([0.5, 0.6, 0.6], 2, None), ([0.9, 0.8, 0.95, 0.1, 0.1, 0.99], 2, 3), ([], 3, None)])
 def test_patience_rule(aucs, patience, stop):
