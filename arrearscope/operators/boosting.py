@@ -45,6 +45,8 @@ BLOCK_ROWS, ROWS_PER_PARTITION = 16_384, 128_000
 MOST_ROWS = 1_000_000
 #: Rows that walk a fitted model's trees together: their values stay in the processor's cache.
 WALK_ROWS = 4_096
+#: Joint bins of features that are added up as one: their sums stay in the processor's cache.
+PACK_BINS = 256
 #: Bits of a double's integers that a sum over all rows may take.
 SUM_BITS = 52
 #: A split must gain more than this.
@@ -77,11 +79,11 @@ class Tree:
     value: np.ndarray
     depth: int
 
-    def leaves_of(self, bins: np.ndarray) -> np.ndarray:
-        """The leaf each row reaches; ``bins`` has a column a row."""
-        flat, rows = bins.ravel(), np.arange(bins.shape[1])
+    def leaves_of(self, bins: np.ndarray, rows: np.ndarray | None = None) -> np.ndarray:
+        """The leaf each row reaches, or each of ``rows``; ``bins`` has a column a row."""
+        flat, rows = bins.ravel(), np.arange(bins.shape[1]) if rows is None else rows
         start, child = self.feature * bins.shape[1], np.stack([self.left, self.right], 1).ravel()
-        at = np.zeros(bins.shape[1], np.int64)
+        at = np.zeros(len(rows), np.int64)
         for _ in range(self.depth):
             right = flat.take(start.take(at) + rows) > self.bin.take(at)
             at = child.take(2 * at + right)
@@ -295,30 +297,64 @@ def _spread(features: Sequence[int], widths: Sequence[int], parts: int) -> list[
     return groups
 
 
+def _packs(features: Sequence[int], widths: Sequence[int]) -> list[tuple[int, list[int]]]:
+    """``features`` in packs whose joint bins are ``PACK_BINS`` at most, unless one alone has more; each with their number."""
+    packs = []
+    for f in sorted(features, key=lambda f: (-widths[f], f)):
+        for i, (size, members) in enumerate(packs):
+            if size * widths[f] <= PACK_BINS:
+                packs[i] = (size * widths[f], [*members, f])
+                break
+        else:
+            packs.append((widths[f], [f]))
+    return packs
+
+
+def _joint(x: np.ndarray, members: Sequence[int], widths: Sequence[int]) -> np.ndarray:
+    """The joint bin of a pack's features for each row."""
+    code = x[members[0]]
+    for f in members[1:]:
+        code = code.astype(np.uint16) * np.uint16(widths[f]) + x[f]
+    return code
+
+
 def _histogram(trees: list[Tree], tree: Tree, slots: np.ndarray, groups: list[list[int]], widths: Sequence[int],
                number: int, params: BoostedTreesParams, scale: float):
-    """For ``mapPartitions``: blocks to (group, sums of all of them), the (nodes, bins, 3) of a group's features, one after the other."""
+    """For ``mapPartitions``: blocks to (group, sums of all of them), the (nodes, bins, 3) of a group's features, one after the other.
+
+    Rows are added up by the joint bins of packs of narrow features, whose own sums are those over the others' bins.
+    """
+    packs = _packs([f for group in groups for f in group], widths)
+
     def run(blocks: Iterator[tuple]) -> Iterator[tuple[int, np.ndarray]]:
         wanted = int(slots.max()) + 1
-        total = {f: np.zeros((3, wanted * widths[f])) for group in groups for f in group}
+        joint = [np.zeros((3, wanted * size)) for size, _ in packs]
         for row, x, label, weight, margin in blocks:
-            slot = slots[tree.leaves_of(x)]
-            inside = slot >= 0
+            mine = np.arange(len(row))
             if params.row_sample < 1:
-                inside &= _uniform(row, number, params.seed) < params.row_sample
-            mine = np.flatnonzero(inside)
+                mine = np.flatnonzero(_uniform(row, number, params.seed) < params.row_sample)
+            slot = slots[tree.leaves_of(x, mine)]
+            inside = slot >= 0
+            if not inside.all():
+                mine, slot = mine[inside], slot[inside]
             if not len(mine):
                 continue
-            x, margin, slot = x[:, mine], margin[mine], slot[mine]
+            margin = margin[mine]
             for grown in trees:
-                margin = margin + grown.value[grown.leaves_of(x)]
+                margin = margin + grown.value[grown.leaves_of(x, mine)]
             g, h = _gradients(label[mine], weight[mine], margin, scale)
-            for f, sums in total.items():
-                place = slot * widths[f] + x[f]
+            for (size, members), sums in zip(packs, joint):
+                code = _joint(x, members, widths)
+                place = slot * size + (code if len(mine) == len(row) else code.take(mine))
                 for k, values in enumerate((g, h, None)):
                     sums[k] += np.bincount(place, values, len(sums[k]))
+        total = {}
+        for (_, members), sums in zip(packs, joint):
+            cube = sums.reshape(3, wanted, *(widths[f] for f in members))
+            for i, f in enumerate(members):
+                total[f] = cube.sum(axis=tuple(j + 2 for j in range(len(members)) if j != i))
         for i, group in enumerate(groups):
-            yield i, np.concatenate([total[f].reshape(3, wanted, widths[f]).transpose(1, 2, 0).ravel() for f in group])
+            yield i, np.concatenate([total[f].transpose(1, 2, 0).ravel() for f in group])
 
     return run
 

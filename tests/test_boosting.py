@@ -151,6 +151,26 @@ def test_prefix_aucs_and_patience(spark, frame):
         assert abs(ranking_metrics(score_curve(scored, ["model"]), ["model"]).first()["auc_roc"] - aucs[trees - 1]) < 1e-9
 
 
+def test_narrow_features_are_added_up_together():
+    rng = np.random.default_rng(3)
+    widths, n = [40, 3, 1, 300, 2, 5, 2, 7], 500
+    x = np.stack([rng.integers(0, min(w, 256), n).astype(np.uint8) for w in widths])
+    label, weight, margin = rng.integers(0, 2, n).astype(float), rng.integers(1, 4, n).astype(float), rng.normal(size=n)
+    packs = boosting._packs([0, 1, 3, 4, 5, 6, 7], widths)
+    assert sorted(f for _, members in packs for f in members) == [0, 1, 3, 4, 5, 6, 7] and len(packs) == 3
+    assert all(size <= 256 or len(members) == 1 for size, members in packs)
+    tree = boosting.Tree(np.array([1, 0, 0]), np.array([0, 0, 0]), np.array([1, 1, 2]), np.array([2, 1, 2]), np.zeros(3), 1)
+    groups, slots = [[0, 5, 3], [1, 2, 4, 6, 7]], np.array([-1, -1, 0])
+    for params in (WHOLE, replace(WHOLE, row_sample=0.5)):
+        blocks = [(np.arange(n)[i:i + 200], x[:, i:i + 200], label[i:i + 200], weight[i:i + 200], margin[i:i + 200]) for i in (0, 200, 400)]
+        found = dict(boosting._histogram([tree], tree, slots, groups, widths, 1, params, 2.0**20)(iter(blocks)))
+        mine = (x[1] > 0) & (boosting._uniform(np.arange(n), 1, params.seed) < params.row_sample)
+        g, h = boosting._gradients(label, weight, margin, 2.0**20)
+        for i, group in enumerate(groups):
+            wanted = [np.stack([np.bincount(x[f][mine], v[mine], widths[f]) for v in (g, h, np.ones(n))], 1).ravel() for f in group]
+            assert (found[i] == np.concatenate(wanted)).all()
+
+
 def test_rows_walk_the_trees_together_and_get_the_same_sums(spark, frame, monkeypatch):
     monkeypatch.setattr(boosting, "WALK_ROWS", 50)
     fitted = boosting.fit_booster(frame, NAMES, WHOLE)
