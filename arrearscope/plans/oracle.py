@@ -459,12 +459,19 @@ SELECT count(*) AS n_loans, CAST(sum(y) AS BIGINT) AS n_defaults, CAST(sum(1 - y
     q["max_ks"] = f"SELECT model, split, max(ks) AS max_ks, arg_max(decile, (ks, -decile)) AS decile FROM ({sql(_DECILES, 'scored')}) GROUP BY ALL"
     trained = """
 SELECT model, split, count(*) AS n_total, CAST(sum(y) AS BIGINT) AS n_positive, round_even(100.0::DOUBLE*sum(y)/count(*), 2) AS default_rate_pct,
- CAST(0 AS BIGINT) AS n_outside, trees{floor} FROM parts, (VALUES {learners}) learners(model, trees) GROUP BY ALL"""
+ CAST(0 AS BIGINT) AS n_outside, trees, 1 AS auc_above_floor FROM parts, (VALUES {learners}) learners(model, trees) GROUP BY ALL"""
+    # trees are held to the floor from ten times the rows of their least leaf on
+    grown = """
+SELECT model, split, count(*) AS n_total, CAST(sum(y) AS BIGINT) AS n_positive, round_even(100.0::DOUBLE*sum(y)/count(*), 2) AS default_rate_pct,
+ CAST(0 AS BIGINT) AS n_outside, trees, CASE WHEN n_train >= least THEN 1 END AS auc_above_floor
+FROM parts, (VALUES {learners}) learners(model, least, trees), (SELECT count(*) AS n_train FROM split WHERE split_oot = 'train') trained GROUP BY ALL"""
     learners = {"boosted_a": 300, "boosted_b": 300, "random_forest": 200, "logistic_regression": 0, "ensemble": 0}
-    for name in [*learners][:-1]:
-        q[f"train_{name}"] = sql(trained.format(
-            learners=f"('{name}', {learners[name]})", floor=", 1 AS auc_above_floor" if name in ("boosted_b", "logistic_regression") else ""), "parts")
-    q["train_ensemble"] = sql(trained.format(learners=", ".join(f"('{n}', {k})" for n, k in learners.items()), floor=""), "parts")
+    least = {"boosted_a": 800, "random_forest": 300}
+    for name in ("boosted_b", "logistic_regression"):
+        q[f"train_{name}"] = sql(trained.format(learners=f"('{name}', {learners[name]})"), "parts")
+    for name in least:
+        q[f"train_{name}"] = sql(grown.format(learners=f"('{name}', {least[name]}, {learners[name]})"), "parts")
+    q["train_ensemble"] = sql(grown.format(learners=", ".join(f"('{n}', {least.get(n, 0)}, {k})" for n, k in learners.items())), "parts")
     q["stored_models"] = sql("""
 SELECT split_oos, count(*) AS n_loans, CAST(0 AS BIGINT) AS n_different FROM split GROUP BY split_oos""", "split")
     q["assembled_features"] = sql(f"""

@@ -5,6 +5,7 @@ from dataclasses import replace
 import pytest
 
 import __spark_entry__ as entry
+from arrearscope.operators import boosting, models
 from arrearscope.plans import catalog
 from tests.oracle_check import compare, connect
 
@@ -49,3 +50,23 @@ def test_flagship(spark):
 @pytest.mark.parametrize("name", ["train_boosted_b", "train_logistic_regression"])
 def test_training_queries_hold_their_models_to_an_auc(name):
     assert "auc_above_floor" in SQL[name]
+
+
+@pytest.mark.parametrize("name", ["train_boosted_a", "train_random_forest", "train_ensemble"])
+def test_all_training_queries_hold_their_models_to_an_auc(name):
+    assert "auc_above_floor" in SQL[name]
+
+
+@pytest.mark.parametrize("name", ["train_random_forest", "train_ensemble"])
+def test_models_exceed_the_floor_where_rows_are_enough(spark, name, monkeypatch):
+    folder = "/root/testdata/sf0.01"
+    some = {kind: replace(getattr(catalog.TRAINING, kind), trees=12) for kind in ("boosted_a", "boosted_b")}
+    monkeypatch.setattr(catalog, "TRAINING", replace(catalog.TRAINING, **some))
+    assert {r["auc_above_floor"] for r in connect(folder).execute(SQL[name]).fetchdf().to_dict("records")} == {1}
+    assert compare(QUERIES[name](spark, folder), connect(folder), SQL[name].replace(", 300)", ", 12)")) is None
+
+
+def test_a_model_without_knowledge_is_below_the_floor(spark, small, monkeypatch):
+    monkeypatch.setattr(models, "learners", lambda config: {"boosted_a": lambda *_: boosting.Booster(0.0, [], [])})
+    monkeypatch.setattr(catalog, "LEAST_LEAVES", 0)
+    assert {r["auc_above_floor"] for r in QUERIES["train_boosted_a"](spark, small).collect()} == {0}
